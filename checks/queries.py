@@ -208,7 +208,7 @@ def join_parts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def scrub_pii(spark: SparkSession, sf: str) -> DataFrame:
     rules = (*pii.DEFAULT_RULES, PAREN_PHONE_RULE)
-    return V.table(spark, sf, "documents").select(
+    return lake.spread(V.table(spark, sf, "documents")).select(
         "doc_id", pii.scrub(F.col("text"), rules).alias("text")
     )
 
@@ -288,7 +288,7 @@ def term_match_postings(spark: SparkSession, sf: str) -> DataFrame:
 def term_match_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Terms of four languages in whole documents."""
     found = V.LANGUAGE_TERMS.matches(F.lower("text"))
-    return V.table(spark, sf, "documents").select(
+    return lake.spread(V.table(spark, sf, "documents")).select(
         "doc_id", "lang", F.array_join(found, ",").alias("terms")
     )
 

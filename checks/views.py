@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.terms import SUBSTRING, Gazetteer
 from tidemark.operators.terms import term_extract
 from tidemark.plans.pipeline import postings_norm
+from tidemark.sources import lake
 
 FETCHED = "2024-02-01T00:00:00+00:00"
 
@@ -176,14 +177,14 @@ def flat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.date_format("o_orderdate", "yyyyMMdd")
         ),
     }
-    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    joined = lake.spread(orders).join(customer, F.col("o_custkey") == F.col("c_custkey"))
     return joined.select(*[c.alias(n) for n, c in columns.items()])
 
 
 def nested_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payloads of the nested source, one per turn of a conversation; the items are the lines of
     the turn's text."""
-    conversations = table(spark, sf_dir, "conversations")
+    conversations = lake.spread(table(spark, sf_dir, "conversations"))
     turn, text = F.col("turn"), F.col("text")
     items = F.transform(
         F.split(text, "\n"),

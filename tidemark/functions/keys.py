@@ -7,12 +7,16 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import once
+
 
 def url_param(url: Column, name: str) -> Column:
     """First non-blank value of a query parameter, decoded; null when absent."""
     pattern = rf"^[^?#]*\?(?:[^#]*?&)?{re.escape(name)}=([^&#]+)"
-    raw = F.nullif(F.regexp_extract(url, pattern, 1), F.lit(""))
-    return F.coalesce(F.try_url_decode(raw), raw)
+    return once(
+        F.regexp_extract(url, pattern, 1),
+        lambda raw: F.when(raw != "", F.coalesce(F.try_url_decode(raw), raw)),
+    )
 
 
 def text_id(text: Column, modulus: int | None = None) -> Column:

@@ -18,6 +18,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import once
+
 BOUNDED, SUBSTRING = "bounded", "substring"
 # The gazetteer becomes literals of the plan, so its size is checked.
 MAX_ALIASES = 20_000
@@ -110,24 +112,28 @@ class Gazetteer:
             else:
                 verify.setdefault(a.anchor, []).append((_bounded_pattern(a.alias), where))
 
-        text = F.coalesce(text, F.lit(""))
-        found = []
-        if whole_word or verify:
-            anchors = sorted({*whole_word, *verify})
-            words = F.array_intersect(F.split(text, "[^a-z0-9]+"), F.lit(anchors))
-            found.append(F.flatten(F.transform(words, _lookup(text, whole_word, verify))))
-        if contained:
-            found.append(_contained(text, contained))
-        if not found:
+        if not self.aliases:
             return F.array().cast("array<string>")
-        positions = F.sort_array(F.array_distinct(F.concat(*found)))
-        terms = F.lit(list(self.terms))
-        return F.transform(positions, lambda i: F.element_at(terms, i))
+
+        def found(text: Column) -> Column:
+            parts = []
+            if whole_word or verify:
+                anchors = sorted({*whole_word, *verify})
+                words = F.array_intersect(F.split(text, "[^a-z0-9]+"), F.lit(anchors))
+                parts.append(F.flatten(F.transform(words, _lookup(text, whole_word, verify))))
+            if contained:
+                parts.append(_contained(text, contained))
+            positions = F.sort_array(F.array_distinct(F.concat(*parts)))
+            return F.transform(positions, lambda i: F.element_at(F.lit(list(self.terms)), i))
+
+        return once(F.coalesce(text, F.lit("")), found)
 
 
 def _bounded_pattern(alias: str) -> str:
+    # The literal comes first, so that the matcher skips along the text by it and looks at the
+    # characters around a hit only.
     literal = alias.replace("\\E", r"\E\\E\Q")
-    return rf"(?<![a-z0-9])\Q{literal}\E(?![a-z0-9])"
+    return rf"\Q{literal}\E(?<![a-z0-9]\Q{literal}\E)(?![a-z0-9])"
 
 
 def _lookup(text: Column, whole_word: dict, verify: dict):

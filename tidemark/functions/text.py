@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,13 +22,22 @@ YEARS_RULES = (
 )
 
 # Region patterns and the label when none matches.
-CITY_PATTERN = r"(?d)^(.{2,3}?[市縣])"
+CITY_PATTERN = r"(?d)^(.{2,3}?[市縣])[\s\S]*$"
 REGION_PATTERN = r"(遠端|.{2,3}?[市縣])"
 REGION_DEFAULT = "其他"
 
 # Unicode white space plus the four separators U+001C..U+001F.
 _SPACE = r"[\s\x1c-\x1f]"
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# A number that is not negative, with underscores between digits allowed.
+_DIGITS = "[0-9]+(?:_[0-9]+)*"
+_NUMBER = rf"\+?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+_WIDE_DIGITS, _PLAIN_DIGITS = "０１２３４５６７８９", "0123456789"
+
+
+def once(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """fn(value) with the value computed once per row, however often fn uses it. Without this
+    the optimizer copies the expression to every use, also into the branches of a condition."""
+    return F.get(F.transform(F.array(value), fn), 0)
 
 
 def strip(text: Column) -> Column:
@@ -42,41 +51,39 @@ def none_if_empty(text: Column) -> Column:
 
 def parse_number(value: Column, commas: bool = True) -> Column:
     """Positive finite double, or null. `commas` drops thousands commas first."""
-    text = value.cast("string")
-    if commas:
-        text = F.regexp_replace(text, ",", "")
-    text = F.translate(strip(text), "０１２３４５６７８９", "0123456789")
-    text = F.regexp_replace(text, r"(?<=\d)_(?=\d)", "")
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    return F.when((number > 0) & (number < float("inf")), number)
+    # translate drops a character that has no counterpart
+    text = F.translate(value.cast("string"), _WIDE_DIGITS + ("," if commas else ""), _PLAIN_DIGITS)
+    digits = F.regexp_extract(text, rf"(?U)^{_SPACE}*({_NUMBER}){_SPACE}*$", 1)
+    number = F.translate(digits, "_", "").try_cast("double")
+    return F.get(F.filter(F.array(number), lambda n: (n > 0) & (n < float("inf"))), 0)
 
 
 def headcount(value: Column, commas: bool = True) -> Column:
     """Whole part of a positive number as int; zero is null."""
-    return F.nullif(parse_number(value, commas).try_cast("int"), F.lit(0))
+    whole = parse_number(value, commas).try_cast("int")
+    return once(whole, lambda n: F.when(n != 0, n))
 
 
 def city_prefix(city: Column) -> Column:
     """Leading 2-3 characters up to 市 or 縣, else the whole trimmed text; empty is null."""
-    trimmed = strip(city)
-    prefix = F.regexp_extract(trimmed, CITY_PATTERN, 1)
-    return F.when(city != "", F.when(prefix != "", prefix).otherwise(trimmed))
+    return F.when(city != "", F.regexp_replace(strip(city), CITY_PATTERN, "$1"))
 
 
 def region_extract(city: Column) -> Column:
     """First city-like match anywhere in the text, else the default label."""
     hit = F.regexp_extract(F.coalesce(city, F.lit("")), REGION_PATTERN, 1)
-    return F.when(hit == "", F.lit(REGION_DEFAULT)).otherwise(hit)
+    return once(hit, lambda h: F.when(h == "", F.lit(REGION_DEFAULT)).otherwise(h))
 
 
 def iso_date(value: Column, digits_only: bool = False) -> Column:
     """Eight characters yyyymmdd to yyyy-mm-dd, else null. `digits_only` drops other
     characters first. The date itself is not checked."""
+    def dashed(text: Column) -> Column:
+        parts = [F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)]
+        return F.when(F.length(text) == 8, F.concat_ws("-", *parts))
+
     text = value.cast("string")
-    if digits_only:
-        text = F.regexp_replace(text, r"(?U)\D", "")
-    parts = [F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)]
-    return F.when(F.length(text) == 8, F.concat_ws("-", *parts))
+    return once(F.regexp_replace(text, r"(?U)\D", ""), dashed) if digits_only else dashed(text)
 
 
 def year_month(posted: Column, fetched: Column) -> Column:

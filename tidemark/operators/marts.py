@@ -36,21 +36,21 @@ def demand_monthly(skills: DataFrame) -> DataFrame:
 
 
 def skill_totals(skills: DataFrame) -> DataFrame:
-    """(skill, category, total_postings), over all rows with or without a month."""
-    return skills.groupBy("skill").agg(
-        F.max("category").alias("category"), F.count_distinct(_uid()).alias("total_postings")
-    )
+    """(skill, category, total_postings), over all rows with or without a month. The category
+    belongs to the skill (it is joined by skill), so it is a key, not an aggregate: an aggregate
+    of text would make the whole distinct count sort-based."""
+    return skills.groupBy("skill", "category").agg(F.count_distinct(_uid()).alias("total_postings"))
 
 
 def demand_rollup(skills: DataFrame) -> DataFrame:
     """Distinct postings by (skill, month) and by skill from one pass over the rows:
-    (skill, year_month, is_total, category, postings). It feeds both demand marts."""
+    (skill, category, year_month, is_total, postings). It feeds both demand marts."""
+    sets = [["skill", "category", "year_month"], ["skill", "category"]]
     return (
         skills.withColumn("_uid", _uid())
-        .groupingSets([["skill", "year_month"], ["skill"]], "skill", "year_month")
+        .groupingSets(sets, "skill", "category", "year_month")
         .agg(
             (F.grouping("year_month") == 1).alias("is_total"),
-            F.max("category").alias("category"),
             F.count_distinct("_uid").alias("postings"),
         )
     )
@@ -93,9 +93,8 @@ def overview_from_rollup(rollup: DataFrame, calendar: bool = False) -> DataFrame
     )
     month = F.struct("year_month", "postings", "prev_count", "mom_pct")
     return (
-        rows.groupBy("skill")
+        rows.groupBy("skill", "category")
         .agg(
-            F.max("category").alias("category"),
             F.max(F.when(F.col("is_total"), F.col("postings"))).alias("total_postings"),
             F.max(F.when(F.col("_is_month"), month)).alias("_latest"),
         )

@@ -104,7 +104,7 @@ def parse_flat(
     r = {k: F.col(k) for k in KEYS}
     unit_label = X.strip(F.coalesce(r["SALARYCD"], F.lit("")))
     labelled = [F.when(r[k] != "", F.concat(F.lit(v), r[k])) for k, v in REQUIREMENT_LABELS.items()]
-    requirements = X.none_if_empty(X.join_present(*labelled))
+    requirements = X.once(X.join_present(*labelled), X.none_if_empty)
     columns = {
         "source": F.lit(source),
         "job_id": K.url_id(r["URL_QUERY"], r["OCCU_DESC"], ID_PARAM, id_modulus),

@@ -47,6 +47,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt out to all cores where the input has fewer splits than cores, for work that
+    is heavy next to the size of its rows. A frame with a split per core is left as it is, so a
+    large table is never shuffled by this."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # Landing
 
 def land_bronze(postings: DataFrame, path: str, fmt: str = "parquet") -> None:
