@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 # The percentiles of the benchmark and their column names.
 PAY_PERCENTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
+# Widths of the parts an unrounded quantile is narrowed down by. A double between 10,000 and
+# 1,000,000 has at most 39 bits after the point: 2**20 parts of a unit, 2**19 values in a part.
+PART_WIDTHS = (1.0, 2.0**-20)
+
 
 def rank_select(
     counts: DataFrame, by: Sequence[str], value: str, weight: str = "n"
@@ -64,27 +68,37 @@ def pay_percentiles(
 def exact_quantile(df: DataFrame, value: str, prob: float, into: str) -> DataFrame:
     """One row with the unrounded discrete quantile of a column, null when there are no values.
 
-    Two passes over the one column: count by whole part to find the part the rank falls into,
-    then count the values inside that part only.
+    Every pass counts the rows of the range the rank is known to lie in by parts of that range,
+    and finds the part the rank falls into; the last pass counts single values. For values inside
+    the pay band no pass has more than about a million parts, whatever the number of rows.
     """
-    known = df.filter(F.col(value).isNotNull()).select(value, F.floor(value).alias("_part"))
-    overall = Window.partitionBy(F.lit(0))
-    upto = overall.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = known.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = parts.withColumns({"_upto": F.sum("_n").over(upto), "_total": F.sum("_n").over(overall)})
-    reached = ranked.filter(F.col("_upto") >= F.col("_total") * prob)
-    # A single row, so it may be broadcast.
-    target = reached.agg(
-        F.min_by(
-            F.struct("_part", (F.col("_upto") - F.col("_n")).alias("_before"), "_total"), "_part"
-        ).alias("_t")
-    ).select("_t.*")
-    inside = known.join(F.broadcast(target), "_part")
-    counts = inside.groupBy(value, "_before", "_total").agg(F.count(F.lit(1)).alias("_n"))
-    running = Window.partitionBy("_before", "_total").orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    known = df.filter(F.col(value).isNotNull()).select(value)
+    rows = known.withColumns({"_before": F.lit(0), "_total": F.lit(None).cast("long")})
+    for width in PART_WIDTHS:
+        part = F.floor(F.col(value) / width)
+        # The target is a single row, so it may be broadcast.
+        target = F.broadcast(_part_of_rank(rows, part, prob))
+        rows = known.withColumn("_part", part).join(target, "_part").drop("_part")
+    return _part_of_rank(rows, F.col(value), prob).select(F.col("_part").alias(into))
+
+
+def _part_of_rank(rows: DataFrame, part: Column, prob: float) -> DataFrame:
+    """(_part, _before, _total): the part with the rank, the rows before it, all rows. `rows` have
+    the number of rows before them, and of all rows once that is known."""
+    every = Window.partitionBy(F.lit(0))
+    upto = every.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = rows.groupBy(part.alias("_part")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max("_before").alias("_before"),
+        F.max("_total").alias("_total"),
     )
-    hit = counts.withColumn("_upto", F.col("_before") + F.sum("_n").over(running))
-    return hit.agg(
-        F.min(F.when(F.col("_upto") >= F.col("_total") * prob, F.col(value))).alias(into)
+    ranked = counts.withColumns(
+        {
+            "_upto": F.col("_before") + F.sum("_n").over(upto),
+            "_total": F.coalesce("_total", F.sum("_n").over(every)),
+        }
     )
+    reached = ranked.filter(F.col("_upto") >= F.col("_total") * prob)
+    before = (F.col("_upto") - F.col("_n")).alias("_before")
+    first = F.min_by(F.struct("_part", before, "_total"), "_part")
+    return reached.agg(first.alias("_first")).select("_first.*")
