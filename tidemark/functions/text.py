@@ -27,7 +27,10 @@ REGION_PATTERN = r"(遠端|.{2,3}?[市縣])"
 REGION_DEFAULT = "其他"
 
 # Unicode white space plus the four separators U+001C..U+001F.
-_SPACE = r"[\s\x1c-\x1f]"
+_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # A number that is not negative, with underscores between digits allowed.
 _DIGITS = "[0-9]+(?:_[0-9]+)*"
 _NUMBER = rf"\+?(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
@@ -42,7 +45,7 @@ def once(value: Column, fn: Callable[[Column], Column]) -> Column:
 
 def strip(text: Column) -> Column:
     """Trim Unicode white space (F.trim takes ASCII spaces only)."""
-    return F.regexp_replace(text, rf"(?U)^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(text, F.lit(_SPACES))
 
 
 def none_if_empty(text: Column) -> Column:
@@ -53,7 +56,7 @@ def parse_number(value: Column, commas: bool = True) -> Column:
     """Positive finite double, or null. `commas` drops thousands commas first."""
     # translate drops a character that has no counterpart
     text = F.translate(value.cast("string"), _WIDE_DIGITS + ("," if commas else ""), _PLAIN_DIGITS)
-    digits = F.regexp_extract(text, rf"(?U)^{_SPACE}*({_NUMBER}){_SPACE}*$", 1)
+    digits = F.regexp_extract(strip(text), rf"\A({_NUMBER})\z", 1)
     number = F.translate(digits, "_", "").try_cast("double")
     return F.get(F.filter(F.array(number), lambda n: (n > 0) & (n < float("inf"))), 0)
 

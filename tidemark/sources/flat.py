@@ -53,18 +53,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Records as JSON lines, the form that splits. Keys need not be the same in every record;
     nothing is inferred, so the files are read once."""
     record = F.from_json("value", "map<string,string>")
-    entries = F.transform(
-        F.map_entries(record),
-        lambda e: F.struct(
-            X.strip(F.substring_index(e["key"], SUFFIX_MARK, 1)).alias("k"), e["value"].alias("v")
-        ),
+    keys = F.transform(F.map_keys("_r"), lambda k: X.strip(F.substring_index(k, SUFFIX_MARK, 1)))
+    lines = (
+        spark.read.text(path)
+        .select(record.alias("_r"))
+        # Of keys that are the same without their suffix the last one counts.
+        .select(F.reverse(keys).alias("_k"), F.reverse(F.map_values("_r")).alias("_v"))
     )
-    lines = spark.read.text(path).select(entries.alias("_e"))
 
     def value(key: str) -> Column:
-        return F.filter("_e", lambda e: e["k"] == key).getField("v")
+        return F.get("_v", F.array_position("_k", key) - 1)
 
-    return lines.select(*[F.try_element_at(value(k), F.lit(-1)).alias(k) for k in KEYS])
+    return lines.select(*[value(k).alias(k) for k in KEYS])
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:
