@@ -71,14 +71,13 @@ def _iso(day: Column) -> Column:
 
 def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(l_orderkey, description): the distinct part names of an order, sorted and joined. The
-    distinct comes first, so an order with very many lines is reduced before it is collected."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    distinct comes first, on two numbers, so an order with very many lines is reduced before its
+    names are gathered."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").distinct()
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    names = lines.join(parts, lines.l_partkey == parts.p_partkey).select("l_orderkey", "p_name")
-    words = names.distinct().groupBy("l_orderkey").agg(F.collect_list("p_name").alias("names"))
-    return words.select(
-        "l_orderkey", F.array_join(F.sort_array("names"), " ").alias("description")
-    )
+    sold = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    names = F.sort_array(F.collect_set("p_name"))
+    return sold.groupBy("l_orderkey").agg(F.array_join(names, " ").alias("description"))
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,9 @@ count twice.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,5 +111,11 @@ def write_marts(
         "skill_salary_benchmark": M.salary_benchmark(skills, accuracy=accuracy),
         "market_kpi": M.market_kpi(norm, skills, accuracy),
     }
-    for name, df in marts.items():
-        lake.write_mart(df, name, gold, jdbc)
+    # The marts do not depend on each other; side by side, one fills the cores another leaves idle.
+    with ThreadPoolExecutor(len(marts)) as pool:
+        writes = [
+            pool.submit(inheritable_thread_target(spark)(lake.write_mart), df, name, gold, jdbc)
+            for name, df in marts.items()
+        ]
+        for write in writes:
+            write.result()

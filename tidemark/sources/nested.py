@@ -79,10 +79,6 @@ def _first(values: list[Column], kind: str = "string") -> Column:
     return F.coalesce(*values) if values else F.lit(None).cast(kind)
 
 
-def _nonempty(text: Column) -> Column:
-    return X.none_if_empty(text)
-
-
 def _get(item: Column, kind: T.DataType, field: str) -> Column:
     if isinstance(kind, T.VariantType):
         return F.try_variant_get(item, f"$.{field}", "string")
@@ -91,13 +87,14 @@ def _get(item: Column, kind: T.DataType, field: str) -> Column:
     return F.lit(None).cast("string")
 
 
-def _variant_kind(value: Column) -> Column:
-    return F.schema_of_variant(value)
+def _plain_text(variant: Column) -> Column:
+    is_text = F.schema_of_variant(variant) == "STRING"
+    return F.when(is_text, F.try_variant_get(variant, "$", "string"))
 
 
 def _as_list(value: Column, kind: T.DataType) -> tuple[Column, T.DataType]:
     if isinstance(kind, T.VariantType):
-        is_list = _variant_kind(value).startswith("ARRAY")
+        is_list = F.schema_of_variant(value).startswith("ARRAY")
         return F.when(is_list, F.try_variant_get(value, "$", "array<variant>")), kind
     if isinstance(kind, T.ArrayType):
         return value, kind.elementType
@@ -111,11 +108,10 @@ def _item_texts(value: Column, kind: T.DataType) -> Column:
         if isinstance(element, T.StringType):
             return item
         named = F.coalesce(
-            _nonempty(_get(item, element, "description")), _nonempty(_get(item, element, "name"))
+            *[X.none_if_empty(_get(item, element, name)) for name in ("description", "name")]
         )
         if isinstance(element, T.VariantType):
-            plain = F.when(_variant_kind(item) == "STRING", F.try_variant_get(item, "$", "string"))
-            return F.coalesce(named, plain)
+            return F.coalesce(named, _plain_text(item))
         return named
 
     return F.transform(items, text)
@@ -127,8 +123,7 @@ def _head_text(value: Column, kind: T.DataType) -> Column:
     items, element = _as_list(value, kind)
     head = _get(F.get(items, 0), element, "description")
     if isinstance(kind, T.VariantType):
-        plain = F.when(_variant_kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
-        return F.coalesce(head, plain)
+        return F.coalesce(head, _plain_text(value))
     return head
 
 
@@ -152,10 +147,10 @@ def parse_nested(
     arrays of structs, arrays of strings or variants; absent fields count as null."""
     record = _Record(df)
     ids = [F.col(p).cast("string") for p in ("jobId", "data.jobId") if record.type_of(p) is not None]
-    job_id = _first([_nonempty(i) for i in ids])
+    job_id = _first([X.none_if_empty(i) for i in ids])
     salary_text = record.text("jobDetail.salary")
     region = F.coalesce(
-        _nonempty(record.text("jobDetail.addressRegion")), record.text("jobDetail.jobAddrNoDesc")
+        X.none_if_empty(record.text("jobDetail.addressRegion")), record.text("jobDetail.jobAddrNoDesc")
     )
     columns = {
         "source": F.lit(source),
