@@ -275,7 +275,7 @@ SELECTS: dict[str, str] = {
     "silver_roundtrip": "SELECT * FROM cleaned",
     "mart_sink": "SELECT * FROM benchmark",
     "stage_counts": """
-        SELECT 'cleaned' AS stage, count(*) AS rows FROM cleaned
+        SELECT 'cleaned' AS stage, count(*) AS n_rows FROM cleaned
         UNION ALL SELECT 'deduplicated', count(*) FROM deduped
         UNION ALL SELECT 'with_pay', count(salary_monthly_mid) FROM norm
         UNION ALL SELECT 'skill_rows', count(*) FROM skills""",
@@ -284,8 +284,7 @@ SELECTS: dict[str, str] = {
     "parse_nested": "SELECT * FROM nested",
     "union_sources": "SELECT * FROM parsed",
     "topic_filter": f"""
-        SELECT title AS "OCCU_DESC", category AS "CJOB_NAME1", name2 AS "CJOB_NAME2",
-               url AS "URL_QUERY"
+        SELECT title, category, name2 AS subcategory, url
         FROM (SELECT *, CASE WHEN regexp_extract(url, '(\\d+)$', 1)::BIGINT % 8 = 0
                              THEN '雲端服務' ELSE '其他' END AS name2 FROM flat )
         WHERE regexp_matches(title || ' ' || category || ' ' || name2, '(?i)({_TOPIC})')""",
@@ -328,7 +327,7 @@ SELECTS: dict[str, str] = {
                CASE WHEN o_orderkey % 7 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'month'
                     WHEN o_orderstatus = 'O' THEN 'year' ELSE 'negotiable' END AS from_text
         FROM orders""",
-    "join_parts": 'SELECT job_id AS "jobId", requirements FROM payload',
+    "join_parts": 'SELECT job_id, requirements FROM payload',
     "scrub_pii": rf"""
         SELECT doc_id, regexp_replace({_scrubbed('text')}, '\(\d{{3}}\) \d{{3}}-\d{{4}}',
                                       '[phone-removed]', 'g') AS text
@@ -389,8 +388,8 @@ SELECTS: dict[str, str] = {
     "trend_pivot": """
         SELECT year_month, max(postings) FILTER (skill = 'widget') AS widget,
                max(postings) FILTER (skill = 'red') AS red,
-               max(postings) FILTER (skill = 'red-widget') AS "red-widget"
-        FROM monthly WHERE skill IN ('widget', 'red', 'red-widget') GROUP BY year_month""",
+               max(postings) FILTER (skill = 'bolt') AS bolt
+        FROM monthly WHERE skill IN ('widget', 'red', 'bolt') GROUP BY year_month""",
 }
 
 ORACLES = {name: _sql(select) for name, select in SELECTS.items()}

@@ -79,7 +79,7 @@ def stage_counts(spark: SparkSession, sf: str) -> DataFrame:
     counts = pipeline.write_silver_tables(
         V.postings(spark, sf), silver, V.PART_TERMS, V.region()
     )
-    return spark.createDataFrame(list(counts.items()), "stage string, rows long")
+    return spark.createDataFrame(list(counts.items()), "stage string, n_rows long")
 
 
 @named("conform")
@@ -105,7 +105,12 @@ def union_sources(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def topic_filter(spark: SparkSession, sf: str) -> DataFrame:
     kept = flat.topic_filter(flat.bare_columns(V.flat_records(spark, sf)))
-    return kept.select("OCCU_DESC", "CJOB_NAME1", "CJOB_NAME2", "URL_QUERY")
+    return kept.select(
+        F.col("OCCU_DESC").alias("title"),
+        F.col("CJOB_NAME1").alias("category"),
+        F.col("CJOB_NAME2").alias("subcategory"),
+        F.col("URL_QUERY").alias("url"),
+    )
 
 
 @query
@@ -202,7 +207,7 @@ def pay_unit(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def join_parts(spark: SparkSession, sf: str) -> DataFrame:
     payloads = V.nested_payloads(spark, sf)
-    return payloads.select("jobId", nested.join_parts(payloads).alias("requirements"))
+    return payloads.select(F.col("jobId").alias("job_id"), nested.join_parts(payloads).alias("requirements"))
 
 
 @query
@@ -375,4 +380,4 @@ def skill_medians(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def trend_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    return feeds.trend_pivot(demand_monthly(spark, sf), ["widget", "red", "red-widget"])
+    return feeds.trend_pivot(demand_monthly(spark, sf), ["widget", "red", "bolt"])

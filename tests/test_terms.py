@@ -95,6 +95,14 @@ def test_random_texts_match_the_definition(values):
     assert values(TECH.matches, texts) == [definition(TECH, t) for t in texts]
 
 
+def test_many_anchors_take_the_other_way(values, monkeypatch):
+    rng = random.Random(8)
+    pieces = [a.alias for a in TECH.aliases] + list(" .-_x9")
+    texts = ["".join(rng.choices(pieces, k=8)) for _ in range(300)]
+    monkeypatch.setattr("tidemark.functions.terms.FEW_ANCHORS", 1)
+    assert values(TECH.matches, texts) == [definition(TECH, t) for t in texts]
+
+
 def test_alias_with_quoting_marks(values):
     g = Gazetteer([Alias("q", "c", "a\\e b", BOUNDED), Alias("s", "c", "'\"", SUBSTRING)])
     assert values(g.matches, ["x a\\e b", "xa\\e b", "'\""]) == [["q"], [], ["s"]]

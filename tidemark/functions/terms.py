@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import re
+import zlib
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, replace
 
@@ -23,6 +24,8 @@ from tidemark.functions.text import once
 BOUNDED, SUBSTRING = "bounded", "substring"
 # The gazetteer becomes literals of the plan, so its size is checked.
 MAX_ALIASES = 20_000
+# Up to this many anchors the words of a text are intersected with them before the lookup.
+FEW_ANCHORS = 500
 
 _WORD = re.compile("[a-z0-9]+")
 _BOUNDED_ALIAS = re.compile("[a-z0-9 .+#/]+")
@@ -98,8 +101,7 @@ class Gazetteer:
         The text is taken as it is; lower-case it first (see functions.text.full_text).
         """
         position = {term: i + 1 for i, term in enumerate(self.terms)}
-        whole_word: dict[str, set[int]] = {}
-        verify: dict[str, list[tuple[str, int]]] = {}
+        anchored: dict[str, dict] = {}
         contained: list[tuple[str, int, str | None]] = []
         for a in self.aliases:
             where = position[a.canonical]
@@ -107,20 +109,19 @@ class Gazetteer:
                 # Without a word there is no letter or digit to touch, except around it.
                 pattern = _bounded_pattern(a.alias) if a.mode == BOUNDED else None
                 contained.append((a.alias, where, pattern))
-            elif a.anchor == a.alias:
-                whole_word.setdefault(a.anchor, set()).add(where)
+                continue
+            entry = anchored.setdefault(a.anchor, {"sure": [], "check": []})
+            if a.anchor == a.alias:
+                entry["sure"].append(where)
             else:
-                verify.setdefault(a.anchor, []).append((_bounded_pattern(a.alias), where))
-
+                entry["check"].append({"pattern": _bounded_pattern(a.alias), "position": where})
         if not self.aliases:
             return F.array().cast("array<string>")
 
         def found(text: Column) -> Column:
             parts = []
-            if whole_word or verify:
-                anchors = sorted({*whole_word, *verify})
-                words = F.array_intersect(F.split(text, "[^a-z0-9]+"), F.lit(anchors))
-                parts.append(F.flatten(F.transform(words, _lookup(text, whole_word, verify))))
+            if anchored:
+                parts.append(_anchored(text, anchored))
             if contained:
                 parts.append(_contained(text, contained))
             positions = F.sort_array(F.array_distinct(F.concat(*parts)))
@@ -136,23 +137,38 @@ def _bounded_pattern(alias: str) -> str:
     return rf"\Q{literal}\E(?<![a-z0-9]\Q{literal}\E)(?![a-z0-9])"
 
 
-def _lookup(text: Column, whole_word: dict, verify: dict):
-    """word -> positions of the terms it stands for, multi-word aliases checked on the text."""
-    direct = _map({w: sorted(ps) for w, ps in whole_word.items()}, "map<string,array<int>>")
-    checks = _map(
-        {w: [{"pattern": p, "position": i} for p, i in rows] for w, rows in verify.items()},
-        "map<string,array<struct<pattern:string,position:int>>>",
-    )
-
-    def positions(word: Column) -> Column:
-        hits = F.filter(F.try_element_at(checks, word), lambda c: F.rlike(text, c["pattern"]))
-        none = F.array().cast("array<int>")
-        return F.concat(
-            F.coalesce(F.try_element_at(direct, word), none),
-            F.coalesce(F.transform(hits, lambda c: c["position"]), none),
-        )
+def _anchored(text: Column, anchored: dict[str, dict]) -> Column:
+    """Positions of the terms whose anchor is a word of the text: those of one-word aliases, and
+    those of longer aliases that are found in the text."""
+    words = F.split(text, "[^a-z0-9]+")
+    if len(anchored) <= FEW_ANCHORS:
+        words = F.array_intersect(words, F.lit(sorted(anchored)))
+    else:
+        words = F.array_distinct(words)
+    entry = _hash_table(anchored, "struct<sure:array<int>,check:array<struct<pattern:string,position:int>>>")
+    entries = F.filter(F.transform(words, entry), lambda e: e.isNotNull())
+
+    def positions(e: Column) -> Column:
+        hits = F.filter(e["check"], lambda c: F.rlike(text, c["pattern"]))
+        return F.concat(e["sure"], F.transform(hits, lambda c: c["position"]))
+
+    return F.flatten(F.transform(entries, positions))
+
 
-    return positions
+def _hash_table(mapping: dict[str, dict], ddl: str):
+    """word -> its entry or null, from a constant. A map is searched from end to end, so the entries
+    are dealt out by checksum to an array of maps of a few entries each. from_json on a literal is
+    folded by the optimizer."""
+    buckets: list[dict] = [{} for _ in range(max(len(mapping) // 2, 1))]
+    for word, entry in mapping.items():
+        buckets[zlib.crc32(word.encode()) % len(buckets)][word] = entry
+    table = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{ddl}>>")
+
+    def lookup(word: Column) -> Column:
+        bucket = F.get(table, (F.crc32(word) % len(buckets)).cast("int"))
+        return F.try_element_at(bucket, word)
+
+    return lookup
 
 
 def _contained(text: Column, rows: list) -> Column:
@@ -161,8 +177,3 @@ def _contained(text: Column, rows: list) -> Column:
         for alias, where, pattern in rows
     ]
     return F.array_compact(F.array(*found))
-
-
-def _map(mapping: dict, ddl: str) -> Column:
-    """A constant map; from_json on a literal is folded by the optimizer."""
-    return F.from_json(F.lit(json.dumps(mapping)), ddl)
