@@ -56,7 +56,8 @@ def pay_percentiles(
 ) -> DataFrame:
     """Percentiles, rounded to whole amounts, and row count per group of the rows with a value.
 
-    Exact by default; `accuracy` uses percentile_approx instead (1000 is its usual setting).
+    Exact by default, for values inside a band such as that of pay_norm, which bounds the number of
+    whole amounts; `accuracy` uses percentile_approx instead (1000 is its usual setting).
     """
     known = df.filter(F.col(value).isNotNull())
     if accuracy is not None:
