@@ -275,7 +275,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     # Every document that occurs in a list of two or more may be asked for; its set is kept once.
     live = staged(lists.select("doc_id").distinct().join(reps, "doc_id").select(F.col("rep").alias("doc_id")).distinct(), "live")
     chosen = docs.join(small_side(live, live.count(), BROADCAST_IDS), "doc_id", "left_semi")
-    sets = staged(chosen.mapInArrow(_live_sets(size, shared), "doc_id long, members binary").distinct(), "sets")
+    sets = staged(chosen.mapInArrow(_live_sets(size, shared), "doc_id long, members binary"), "sets")
 
     # Texts that share an id belong together, whatever their sets.
     several = classes.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("m")).where("b <> m").select("doc_id", "b")
