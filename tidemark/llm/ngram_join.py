@@ -12,7 +12,7 @@ binary search until T is reached or out of reach.
 * Postings of short lists are dealt out by shingle and sorted, which merges the lists of all queries
   at once. The merge streams: the first member of a list is its pivot, and each other member is paired
   with it, so a list of any length takes no memory and gives no more pairs than members.
-* Pairs that reach T make components. Only pairs of one list in *different* components can still join
+* Of its pivots a document is compared with PIVOTS first; pairs that reach T make components. Only pairs of one list in *different* components can still join
   anything, so only those are looked at next: near copies by the thousand are never paired with each
   other, and no link between components is lost.
 * Documents with equal sets are one class. Copies are dropped where they meet, before any shuffle of
@@ -41,6 +41,10 @@ COUNTERS = 1 << 18
 SLICES = 64
 #: Ids up to this many are sent to all executors to pick out documents (16 bytes each); more are joined.
 BROADCAST_IDS = 1_000_000
+#: Pivots that a document is compared with first. Which ones they are only decides how much is left.
+PIVOTS = 4
+#: Turns of other pivots at most. What they leave is compared pair by pair.
+MAX_TURNS = 8
 #: Bytes of sets in one Arrow batch of the probing step.
 BATCH_BYTES = 16 << 20
 
@@ -263,14 +267,19 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     lists = staged(lists.mapInArrow(_with_pivots, kept), "lists")
 
     def by_class(pairs: DataFrame) -> DataFrame:
-        """Pairs of documents to pairs of class representatives, each once."""
+        """Pairs of documents (x, y) to pairs of class representatives (a, b), each once."""
         a = reps.select(F.col("doc_id").alias("x"), F.col("rep").alias("a"))
         b = reps.select(F.col("doc_id").alias("y"), F.col("rep").alias("b"))
         both = pairs.distinct().join(a, "x").join(b, "y").where("a <> b")
-        return both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        return both.select("a", "b").distinct()
+
+    def turned(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
     first = lists.where("doc_id <> pivot").where(_can_link("n", "pos", "pivot_n", "pivot_pos", percent))
-    first = staged(by_class(first.select(F.col("doc_id").alias("x"), F.col("pivot").alias("y"))), "pairs")
+    first = by_class(first.select(F.col("doc_id").alias("x"), F.col("pivot").alias("y")))
+    nearest = F.slice(F.array_sort(F.collect_set(F.struct(F.xxhash64("b"), "b"))), 1, PIVOTS)
+    first = staged(turned(first.groupBy("a").agg(nearest.alias("bs")).select("a", F.explode("bs.b").alias("b"))), "pairs")
 
     # Every document that occurs in a list of two or more may be asked for; its set is kept once.
     live = staged(lists.select("doc_id").distinct().join(reps, "doc_id").select(F.col("rep").alias("doc_id")).distinct(), "live")
@@ -280,19 +289,33 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     # Texts that share an id belong together, whatever their sets.
     several = classes.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("m")).where("b <> m").select("doc_id", "b")
     same_id = classes.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
-    edges = staged(_verified(first, sets, percent).unionByName(same_id), "links")
+    edges, tested = staged(_verified(first, sets, percent).unionByName(same_id), "links"), first
     label = staged(components(edges), "labels")
 
-    # What is left: members of one list in different components.
-    of = reps.join(label, reps.rep == label.node, "left").select("doc_id", F.coalesce("component", "rep").alias("label"))
-    of = of.groupBy("doc_id").agg(F.min("label").alias("label"))
-    pivot_of = of.select(F.col("doc_id").alias("pivot"), F.col("label").alias("pivot_label"))
-    marked = staged(lists.join(of, "doc_id").join(pivot_of, "pivot"), "marked")
-    aside = marked.where("label <> pivot_label").select("shingle", F.col("doc_id").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xp"), F.col("label").alias("xl"))
-    pairs = aside.join(marked.select("shingle", "doc_id", "n", "pos", "label"), "shingle").where("label <> xl")
-    pairs = pairs.where(_can_link("n", "pos", "xn", "xp", percent))
-    second = by_class(pairs.select(F.greatest("x", "doc_id").alias("x"), F.least("x", "doc_id").alias("y")))
-    second = staged(second.join(first, ["a", "b"], "left_anti"), "pairs")
+    # What is left: members of one list in different components. Other pivots first, while all pairs of
+    # them would be many more than the members.
+    for turn in range(MAX_TURNS):
+        of = reps.join(label, reps.rep == label.node, "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("label"))
+        marked = lists.select("shingle", "doc_id", "n", "pos").join(of, "doc_id")
+        several = marked.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        lists = staged(marked.join(several.select("shingle"), "shingle", "left_semi"), "lists")
+        held = lists.groupBy("shingle", "label").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
+        members, all_pairs = held.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum(F.expr("(m * m - s) / 2")), F.lit(0))).first()
+        if all_pairs <= 2 * members:
+            break
+        pivots = lists.groupBy("shingle").agg(F.min_by(F.struct("doc_id", "n", "pos", "label"), F.xxhash64(F.lit(turn), "doc_id")).alias("p"))
+        near = lists.join(pivots, "shingle").where("label <> p.label").where(_can_link("n", "pos", "p.n", "p.pos", percent))
+        near = by_class(near.select(F.col("doc_id").alias("x"), F.col("p.doc_id").alias("y")))
+        near = turned(near.groupBy("a").agg(nearest.alias("bs")).select("a", F.explode("bs.b").alias("b")))
+        near = staged(near.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(near)
+        edges = edges.unionByName(staged(_verified(near, sets, percent), "links"))
+        label = staged(components(edges), "labels")
+
+    aside = lists.select("shingle", F.col("doc_id").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xp"), F.col("label").alias("xl"))
+    pairs = aside.join(lists, "shingle").where("label < xl").where(_can_link("n", "pos", "xn", "xp", percent))
+    second = turned(by_class(pairs.select("x", F.col("doc_id").alias("y"))))
+    second = staged(second.join(tested, ["a", "b"], "left_anti"), "pairs")
     more = staged(_verified(second, sets, percent), "links")
     final = components(edges.unionByName(more)) if more.take(1) else label
 
