@@ -4,9 +4,9 @@ Documents are dealt out by ranges of ids and sorted in each range, so a shard ho
 documents and shards are in order. A task encodes and writes its range; where a document's ids begin
 follows from the counts in the manifest, a row per shard.
 
-The tokenizer cuts a text before it merges, and never puts a space that stands between two characters
-other than white space together with what is before it. So a text is cut there first, and each
-distinct piece of a task is encoded once.
+The tokenizer cuts a text before it merges, so a text can be cut at places where it always does: before a
+space or a line end between two characters other than white space, and between a letter and a mark.
+Pieces are hashed by array operations, and each distinct piece of a task is encoded once.
 
 Null text: empty, which is the end id alone. Null ids come first, repeated ids in the order of their
 texts. A text of any length is whole in one shard. An empty table gives no shard and no row. Other
@@ -16,7 +16,6 @@ columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 
 import numpy as np
@@ -27,93 +26,156 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.files import read_part, size_of, write_whole
 from tidemark.llm.wavelet import pack, unpack
+from tidemark.llm.words import SPACED, chunks
 from tidemark.sources.lake import new_folder, staged
 
 SHARD_IDS = 1 << 20
-#: Distinct pieces that a task keeps encoded at a time.
-PIECES = 300_000
-
-# White space of any definition: where it stands next to a space, the text is not cut there.
-_WHITE = r"\s\x1c-\x1f\x85᠎​-‏  ⁠﻿"
-_TOUCHING = re.compile(f" [{_WHITE}]|[{_WHITE}] |^ | $")
-_CUT = re.compile(f"(?<=[^{_WHITE}]) (?=[^{_WHITE}])")
+#: Slots of a task's table of pieces, a power of two. It is emptied when half of them are taken.
+SLOTS = 1 << 21
+
+_VISIBLE = np.zeros(256, bool)
+_VISIBLE[0x21:0x7F] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,;:!?)\"")] = True
+_AFTER_C3 = np.zeros(256, bool)
+_AFTER_C3[[x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)]] = True
+
+
+def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces begin, each text's first one included; a text without bytes has none."""
+    n = len(data)
+    begins = np.zeros(n + 2, bool)
+    if n > 2:
+        left, mid, right = data[:-2], data[1:-1], data[2:]
+        letter = _LETTER[left]
+        far = np.zeros(n - 2, bool)
+        far[1:] = (data[:-3] == 0xC3) & _AFTER_C3[left[1:]]
+        letter |= far
+        visible = (_VISIBLE[left] | far) & (_VISIBLE[right] | (right == 0xC3))
+        line = (mid == 0x0A) & visible
+        begins[1 : n - 1] = ((mid == 0x20) & visible) | line | (letter & _MARK[mid])
+        begins[2:n] |= line
+    begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(begins[:n])
 
 
 class Encoder:
-    """Ids of texts as little-endian uint32 bytes."""
+    """Ids of whole chunks of texts, by a hash table of encoded pieces. A piece's key has 64 bits."""
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _learn(self, known: dict[str, bytes], pieces: list[str], before: str) -> None:
-        if new := list({p for p in pieces if p not in known}):
-            for piece, e in zip(new, self.tokenizer.encode_batch_fast([before + p for p in new], add_special_tokens=False), strict=True):
-                known[piece] = np.array(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.later) > PIECES:
-            self.later.clear()
-        if len(self.first) > PIECES // 4:
-            self.first.clear()
-        cut = [(_CUT.split(t) if _TOUCHING.search(t) else t.split(" ")) if t else [] for t in texts]
-        self._learn(self.first, [c[0] for c in cut if c], "")
-        self._learn(self.later, [p for c in cut for p in c[1:]], " ")
-        later = self.later.__getitem__
-        return [self.first[c[0]] + b"".join(map(later, c[1:])) if c else b"" for c in cut]
-
-    @property
-    def largest(self) -> int:
-        return self.tokenizer.get_vocab_size(with_added_tokens=True) - 1
-
-
-def _groups(texts: list[str], most: int = 1 << 20):
-    """Positions of the texts in groups of about `most` characters."""
-    start, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= most:
-            yield start, i + 1
-            start, held = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.bits = max(size - 1, end_id).bit_length()
+        self.kind = np.uint16 if self.bits <= 16 else np.uint32
+        self.end_id = end_id
+        self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
+        self.empty()
+
+    def empty(self) -> None:
+        self.keys = np.zeros(SLOTS, np.uint64)
+        self.at, self.count = np.zeros(SLOTS + 1, np.int64), np.zeros(SLOTS + 1, np.int64)
+        self.pool = np.full(1, self.end_id, self.kind)  # the last slot is the end of a text
+        self.count[SLOTS] = 1
+        self.used = 0
+
+    def _look(self, keys: np.ndarray) -> np.ndarray:
+        """Slot of each key, or of the free place where it belongs."""
+        mask = np.uint64(SLOTS - 1)
+        slots = (keys & mask).astype(np.int64)
+        found = self.keys[slots]
+        todo = np.flatnonzero((found != keys) & (found != 0))
+        while len(todo):
+            slots[todo] = (slots[todo] + 1) & (SLOTS - 1)
+            found = self.keys[slots[todo]]
+            todo = todo[(found != keys[todo]) & (found != 0)]
+        return slots
+
+    def _encoded(self, pieces: list[bytes]) -> list[np.ndarray]:
+        """Ids of distinct pieces. Those of a space and what is visible are encoded in one text, as the
+        tokenizer cuts it before each of them: a new piece begins where an id begins with a space."""
+        out: list[np.ndarray] = [np.empty(0, self.kind)] * len(pieces)
+        plain = [i for i, p in enumerate(pieces) if p[:1] == b" " and len(p.split()) == 1 and p.count(b" ") == 1 and p.isascii() and p[-1] > 0x20]
+        rest = sorted(set(range(len(pieces))) - set(plain))
+        if plain:
+            ids = np.array(self.tokenizer.encode(b"".join(pieces[i] for i in plain).decode(), add_special_tokens=False).ids)
+            begins = np.flatnonzero(self.spaced[ids])
+            if len(begins) == len(plain) and begins[0] == 0:
+                for i, x in zip(plain, np.split(ids.astype(self.kind), begins[1:]), strict=True):
+                    out[i] = x
+            else:
+                rest = list(range(len(pieces)))
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False), strict=True):
+            out[i] = np.array(e.ids, self.kind)
+        return out
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        ids = self._encoded(pieces)
+        counts = np.array([len(x) for x in ids], np.int64)
+        at = len(self.pool) + np.cumsum(counts) - counts
+        self.pool = np.concatenate([self.pool, *ids])
+        todo = np.arange(len(keys))
+        while len(todo):  # of keys that want the same place the last one gets it
+            slots = self._look(keys[todo])
+            self.keys[slots] = keys[todo]
+            mine = self.keys[slots] == keys[todo]
+            self.at[slots[mine]], self.count[slots[mine]] = at[todo[mine]], counts[todo[mine]]
+            todo = todo[~mine]
+        self.used += len(keys)
+
+    def encode(self, chunk) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of the chunk, each closed by the end id; number of ids of each)."""
+        if self.used > SLOTS // 2:
+            self.empty()
+        starts = cuts(chunk.data, chunk.offsets)
+        ends = np.append(starts[1:], len(chunk.data))
+        keys = chunk.span_hashes(starts, ends) | np.uint64(1)  # 0 is a free slot
+        slots = self._look(keys)
+        if (new := np.flatnonzero(self.keys[slots] == 0)).size:
+            fresh, first = np.unique(keys[new], return_index=True)
+            raw = chunk.data.tobytes()
+            if self.used + len(fresh) > SLOTS * 3 // 4:
+                raise ValueError(f"more than {SLOTS * 3 // 4} distinct pieces in one text")
+            self._learn(fresh, [raw[starts[i] : ends[i]] for i in new[first]])
+            slots[new] = self._look(keys[new])
+        bounds = np.searchsorted(starts, chunk.offsets[1:])
+        slots = np.insert(slots, bounds, SLOTS)
+        counts = self.count[slots]
+        total = np.concatenate([[0], np.cumsum(counts)])
+        ids = self.pool[np.repeat(self.at[slots] - total[:-1], counts) + np.arange(total[-1])]
+        return ids, np.diff(total[bounds + np.arange(1, len(bounds) + 1)], prepend=0)
 
 
 def _write(folder: str, tokenizer_file: str, end_id: int, shard_ids: int):
     def run(batches):
-        encoder = Encoder(tokenizer_file)
-        bits = max(encoder.largest, end_id).bit_length()
-        kind = np.uint16 if bits <= 16 else np.uint32
-        part, seq = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
-        ids, counts, held = [], [], 0
-        documents: list[int | None] = []
+        encoder, part, seq = Encoder(tokenizer_file, end_id), TaskContext.get().partitionId(), 0
+        ids, counts, documents, held = [], [], [], 0
 
         def close():
             nonlocal ids, counts, documents, held, seq
             path = f"{folder}/part-{part:07d}-{seq:05d}.wm"
-            tokens = np.concatenate([np.frombuffer(x, "<u4").astype(kind) for x in ids])
             nulls = np.array([d is None for d in documents])
-            write_whole(path, pack(tokens, bits, np.array([d or 0 for d in documents], np.int64), nulls, np.array(counts, np.uint64)))
+            own = np.concatenate(counts)
+            write_whole(path, pack(np.concatenate(ids), encoder.bits, np.array([d or 0 for d in documents], np.int64), nulls, own))
             row = pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "seq": pa.array([seq], pa.int32()), "path": [path],
-                                              "n_docs": pa.array([len(counts)], pa.int64()), "n_ids": pa.array([held], pa.int64())})
+                                              "n_docs": pa.array([len(own)], pa.int64()), "n_ids": pa.array([held], pa.int64())})
             ids, counts, documents, held, seq = [], [], [], 0, seq + 1
             return row
 
         for batch in batches:
-            names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for i, j in _groups(texts.to_pylist()):
-                for name, x in zip(names[i:j], encoder.encode(texts[i:j].to_pylist()), strict=True):
-                    ids.append(x + end)
-                    counts.append(len(x) // 4 + 1)
-                    documents.append(name)
-                    held += counts[-1]
-                    if held >= shard_ids:
-                        yield close()
+            names = batch.column("doc_id").to_pylist()
+            for chunk in chunks(batch.column("text"), SPACED, lower=False):
+                tokens, own = encoder.encode(chunk)
+                ids.append(tokens)
+                counts.append(own)
+                documents += names[chunk.first_row : chunk.first_row + chunk.rows]
+                held += len(tokens)
+                if held >= shard_ids:
+                    yield close()
         if counts:
             yield close()
 

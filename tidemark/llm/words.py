@@ -77,13 +77,17 @@ class Chunk:
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of every word."""
+        return self.span_hashes(self.starts, self.ends)
+
+    def span_hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """64-bit hash of the bytes of every span."""
         n = len(self.data)
-        if not len(self.starts):
+        if not len(starts):
             return np.empty(0, np.uint64)
         up, down = _POWERS.get(n)
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE[self.data] * up, out=sums[1:])
-        return mixed((sums[self.ends] - sums[self.starts]) * down[self.starts])
+        return mixed((sums[ends] - sums[starts]) * down[starts])
 
 
 def chunks(texts: pa.Array, word_bytes: np.ndarray, lower: bool, most: int = CHUNK_BYTES) -> Iterator[Chunk]:
