@@ -16,6 +16,7 @@ columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -43,6 +44,10 @@ _AFTER_C3 = np.zeros(256, bool)
 _AFTER_C3[[x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)]] = True
 
 
+_SPACED_WORD = re.compile(rb" (?:[\x21-\x7e]|\xc3[\x80-\xbf])+")
+_WORD = re.compile(rb"(?:[\x21-\x7e]|\xc3[\x80-\xbf])+")
+
+
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where pieces begin, each text's first one included; a text without bytes has none."""
     n = len(data)
@@ -73,6 +78,8 @@ class Encoder:
         self.bits = max(size - 1, end_id).bit_length()
         self.kind = np.uint16 if self.bits <= 16 else np.uint32
         self.end_id = end_id
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else -1
         self.spaced = np.array([(self.tokenizer.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
         self.empty()
 
@@ -95,29 +102,38 @@ class Encoder:
             todo = todo[(found != keys[todo]) & (found != 0)]
         return slots
 
-    def _encoded(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of distinct pieces. Those of a space and what is visible are encoded in one text, as the
-        tokenizer cuts it before each of them: a new piece begins where an id begins with a space."""
-        out: list[np.ndarray] = [np.empty(0, self.kind)] * len(pieces)
-        plain = [i for i, p in enumerate(pieces) if p[:1] == b" " and len(p.split()) == 1 and p.count(b" ") == 1 and p.isascii() and p[-1] > 0x20]
-        rest = sorted(set(range(len(pieces))) - set(plain))
-        if plain:
-            ids = np.array(self.tokenizer.encode(b"".join(pieces[i] for i in plain).decode(), add_special_tokens=False).ids)
-            begins = np.flatnonzero(self.spaced[ids])
-            if len(begins) == len(plain) and begins[0] == 0:
-                for i, x in zip(plain, np.split(ids.astype(self.kind), begins[1:]), strict=True):
-                    out[i] = x
-            else:
-                rest = list(range(len(pieces)))
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, self.kind)
-        return out
+    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order, counts in that order, their ids) of distinct pieces. Words with a space before them are
+        encoded in one text, and words without one in another, a line each: the tokenizer cuts those
+        texts before every piece, where an id begins with a space, or at every line end."""
+        spaced = [i for i, p in enumerate(pieces) if _SPACED_WORD.fullmatch(p)]
+        bare = [i for i, p in enumerate(pieces) if _WORD.fullmatch(p)]
+        order, counts, ids = [], [], []
+        for own, before, begins in ((spaced, b"", lambda x: self.spaced[x]), (bare, b"\n", lambda x: x == self.line)):
+            if not own:
+                continue
+            x = np.array(self.tokenizer.encode((before + before.join(pieces[i] for i in own)).decode(), add_special_tokens=False).ids)
+            at = np.flatnonzero(begins(x))
+            if len(at) != len(own) or at[0]:
+                continue  # left to be encoded one by one
+            n = np.diff(np.append(at, len(x)))
+            if before:
+                x, n = np.delete(x, at), n - 1
+            order += own
+            counts.append(n)
+            ids.append(x.astype(self.kind))
+        done = set(order)
+        rest = [i for i in range(len(pieces)) if i not in done]
+        each = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[i].decode() for i in rest], add_special_tokens=False)]
+        counts.append(np.array([len(x) for x in each], np.int64))
+        ids += [np.array(x, self.kind) for x in each]
+        return np.array(order + rest, np.int64), np.concatenate(counts), np.concatenate(ids)
 
     def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
-        ids = self._encoded(pieces)
-        counts = np.array([len(x) for x in ids], np.int64)
+        order, counts, ids = self._encoded(pieces)
+        keys = keys[order]
         at = len(self.pool) + np.cumsum(counts) - counts
-        self.pool = np.concatenate([self.pool, *ids])
+        self.pool = np.concatenate([self.pool, ids])
         todo = np.arange(len(keys))
         while len(todo):  # of keys that want the same place the last one gets it
             slots = self._look(keys[todo])
