@@ -27,6 +27,7 @@ from tidemark.sources.lake import staged
 
 MIN_CHARS = 12
 BROADCAST_DOCS = 200_000
+BROADCAST_VARIANTS = 1_000_000
 
 
 def _place() -> Column:
@@ -46,50 +47,47 @@ def _half_keys(text: Column, n: Column) -> Column:
     return F.when(n >= MIN_CHARS - 1, F.flatten(F.transform(halves, of)))
 
 
-def _variants(n: Column) -> Column:
-    """The place left out in each variant, and 0 for the line itself."""
-    return F.explode(F.sequence(F.lit(0), n))
-
-
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, h, removed: places of the lines that go) of documents that lose a line."""
     keyed = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     lines = keyed.select("doc_id", "h", F.posexplode(F.split("text", "\n")).alias("line", "content")).where(F.trim(F.translate("content", "\t\x0b\x0c\r", "    ")) != "")
     k1, k2 = _keys(F.col("content"))
-    lines = lines.select(_place().alias("place"), k1.alias("k1"), k2.alias("k2"), F.char_length("content").alias("n"), _half_keys(F.col("content"), F.char_length("content")).alias("halves"))
-    places = staged(lines, "lines")
-    distinct = staged(places.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.min("n").alias("n"), F.min("halves").alias("halves")), "distinct-lines")
+    lines = lines.withColumns({"place": _place(), "k1": k1, "k2": k2, "n": F.char_length("content")})
+    places = staged(lines.select("place", "k1", "k2"), "lines")
+    halves = _half_keys(F.col("content"), F.col("n"))
+    distinct = lines.select("place", "k1", "k2", "n", halves.alias("halves")).groupBy("k1", "k2")
+    distinct = staged(distinct.agg(F.min("place").alias("first"), F.min("n").alias("n"), F.min("halves").alias("halves")), "distinct-lines")
 
     # Lines that share a half with another line.
-    halves = distinct.where(f"n >= {MIN_CHARS - 1}").select("k1", "k2", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.count("*").alias("lines")).where("lines > 1").select("half")
-    live = halves.join(shared, "half", "left_semi").select("k1", "k2").distinct()
-    live = distinct.join(live, ["k1", "k2"], "left_semi").where(f"n >= {MIN_CHARS}").select("first.*", "n")
+    halves = distinct.where(f"n >= {MIN_CHARS}").select("k1", F.explode("halves").alias("half"))
+    shared = halves.groupBy("half").agg(F.min("k1").alias("low"), F.max("k1").alias("high")).where("low < high")
+    live = halves.join(shared.select("half"), "half", "left_semi").select("k1").distinct()
+    live = distinct.join(live, "k1", "left_semi").where(f"n >= {MIN_CHARS}").select("first.*", "n")
     live = staged(live.groupBy("doc_id", "h").agg(F.collect_list(F.col("line")).alias("wanted")), "live")
     live = live.select(F.col("doc_id").alias("d"), F.col("h").alias("k"), "wanted")
     same = [F.col("doc_id").eqNullSafe(F.col("d")), F.col("h") == F.col("k")]
     held = keyed.join(small_side(live, live.count(), BROADCAST_DOCS), same).select("doc_id", "h", "wanted", F.split("text", "\n").alias("all"))
     held = held.select("doc_id", "h", "all", F.explode("wanted").alias("line"))
     held = held.select(_place().alias("place"), F.get("all", F.col("line")).alias("content"))
-    held = staged(held.distinct(), "live-lines")
-
-    # Every variant with one character left out, and the line itself.
-    n = F.char_length("content")
-    rows = held.select("place", "content", _variants(n).alias("out"))
-    variant = F.when(F.col("out") == 0, F.col("content")).otherwise(F.concat(F.expr("substring(content, 1, out - 1)"), F.expr("substring(content, out + 1)")))
-    v1, v2 = _keys(variant)
-    variants = staged(rows.select("place", "out", v1.alias("v1"), v2.alias("v2")), "variants")
-    changed = variants.where("out > 0").groupBy("v1", "v2", "out").agg(F.min("place").alias("first"), F.count("*").alias("rows")).where("rows > 1")
-    changed = variants.where("out > 0").join(changed, ["v1", "v2", "out"]).where("first < place").select("place", "first")
-    longer = variants.groupBy("v1", "v2").agg(
-        F.min(F.when(F.col("out") == 0, F.col("place"))).alias("whole"), F.min(F.when(F.col("out") > 0, F.col("place"))).alias("cut")).where("whole IS NOT NULL AND cut IS NOT NULL")
-    longer = variants.join(longer, ["v1", "v2"]).select("place", F.when(F.col("out") == 0, F.col("cut")).otherwise(F.col("whole")).alias("first")).where("first < place")
-    partner = changed.unionByName(longer).groupBy("place").agg(F.min("first").alias("first"))
+    # Numbered in their order: the number is the partition of the sort and the place in it.
+    held = staged(held.distinct().orderBy("place").withColumn("id", F.monotonically_increasing_id()), "live-lines")
+
+    # Every variant with one character left out, and the line itself. Only variants of two lines stay.
+    content = F.col("content")
+    rows = held.repartition("id").select("id", "content", F.explode(F.sequence(F.lit(0), F.char_length("content"))).alias("out"))
+    variant = F.when(F.col("out") == 0, content).otherwise(F.concat(F.expr("substring(content, 1, out - 1)"), F.expr("substring(content, out + 1)")))
+    variants = rows.select("id", "out", F.xxhash64(variant).alias("v"))
+    shared = staged(variants.groupBy("v").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("v"), "shared")
+    variants = staged(variants.join(small_side(shared, shared.count(), BROADCAST_VARIANTS), "v", "left_semi"), "variants")
+    changed = variants.where("out > 0").groupBy("v", "out").agg(F.min("id").alias("first"))
+    changed = variants.join(changed, ["v", "out"]).where("first < id").select("id", "first")
+    longer = variants.groupBy("v").agg(F.min(F.when(F.col("out") == 0, F.col("id"))).alias("whole"), F.min(F.when(F.col("out") > 0, F.col("id"))).alias("cut"))
+    longer = variants.join(longer, "v").select("id", F.when(F.col("out") == 0, F.col("cut")).otherwise(F.col("whole")).alias("first")).where("first < id")
+    partner = changed.unionByName(longer).groupBy("id").agg(F.min("first").alias("first"))
 
     # Verified on the lines themselves.
-    text_of = held.select(F.col("place").alias("p"), F.col("content").alias("own"))
-    near = partner.join(text_of, F.col("place") == F.col("p")).drop("p")
-    near = near.join(held.select(F.col("place").alias("p"), F.col("content").alias("earlier")), F.col("first") == F.col("p"))
+    near = partner.join(held.select("id", F.col("content").alias("own")), "id")
+    near = near.join(held.select(F.col("id").alias("first"), F.col("content").alias("earlier")), "first")
     near = near.where(F.levenshtein("own", "earlier", 1) >= 0).where(F.least(F.char_length("own"), F.char_length("earlier")) >= MIN_CHARS)
     near = staged(near.select(*[x.alias(n) for x, n in zip(_keys(F.col("own")), ("k1", "k2"), strict=True)]).distinct(), "near")
 
