@@ -115,7 +115,7 @@ def topic_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def record_cap(spark: SparkSession, sf: str) -> DataFrame:
-    return flat.record_cap(union_sources(spark, sf), "source", "job_id")
+    return flat.record_cap(union_sources(spark, sf), "source", "job_id", limit=1500)
 
 
 @named("upsert_latest")
@@ -213,7 +213,7 @@ def join_parts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def scrub_pii(spark: SparkSession, sf: str) -> DataFrame:
     rules = (*pii.DEFAULT_RULES, PAREN_PHONE_RULE)
-    return lake.spread(V.table(spark, sf, "documents")).select(
+    return V.table(spark, sf, "documents").select(
         "doc_id", pii.scrub(F.col("text"), rules).alias("text")
     )
 
@@ -293,7 +293,7 @@ def term_match_postings(spark: SparkSession, sf: str) -> DataFrame:
 def term_match_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Terms of four languages in whole documents."""
     found = V.LANGUAGE_TERMS.matches(F.lower("text"))
-    return lake.spread(V.table(spark, sf, "documents")).select(
+    return V.table(spark, sf, "documents").select(
         "doc_id", "lang", F.array_join(found, ",").alias("terms")
     )
 

@@ -125,8 +125,9 @@ def test_staged_tables_go_to_the_folder_the_session_names(spark, tmp_path):
     assert lake.staged(spark.range(3), "t").agg(F.sum("id")).first()[0] == 3
 
 
-def test_spread(spark):
-    few = spark.range(10, numPartitions=1)
-    many = spark.range(10, numPartitions=16)
-    assert lake.spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert lake.spread(many) is many
+def test_record_cap_needs_a_limit(spark):
+    from tidemark.sources import flat
+
+    with pytest.raises(TypeError):
+        flat.record_cap(spark.range(3), "id")
+    assert flat.record_cap(spark.range(9), "id", limit=2).count() == 2

@@ -180,3 +180,18 @@ def test_row_wise_operators_accept_a_stream(spark, tmp_path):
     assert query.awaitTermination(120)
     batch = plan(spark.read.schema(nested.PAYLOAD).json(str(tmp_path / "in")))
     assert spark.table("streamed").collect() == batch.collect() and batch.count() == 2
+
+
+def test_nested_requirements_take_strings_only(spark, tmp_path):
+    payloads = [
+        {"jobId": "1", "condition": {"workExp": "1y", "major": ["CS", "EE"], "language": [{"language": "en"}], "edu": 5, "skill": [{"description": "py"}]}},
+        {"jobId": "2", "data": {"condition": {"edu": "BA", "other": {"a": 1}, "major": "CS", "workExp": True}}},
+        {"jobId": "3"},
+    ]
+    path = tmp_path / "p.json"
+    path.write_text("\n".join(map(json.dumps, payloads)), encoding="utf-8")
+    df = nested.read_payloads(spark, str(path))
+    got = {r.jobId: r.x for r in df.select("jobId", nested.join_parts(df).alias("x")).collect()}
+    assert got == {"1": "py | 1y", "2": "BA | CS", "3": ""}
+    parsed = {r.job_id: (r.education, r.experience) for r in nested.parse_nested(df).collect()}
+    assert parsed == {"1": ("5", "1y"), "2": ("BA", "true"), "3": (None, None)}

@@ -17,9 +17,8 @@ NEGOTIABLE_WORD = "面議"
 NEGOTIABLE = "negotiable"
 
 # Hours and days of a month, months of a year, band of plausible monthly pay.
-HOURS_PER_MONTH = 176
-DAYS_PER_MONTH = 22
-MONTHS_PER_YEAR = 12.0
+MONTHLY_FACTORS = {"month": 1, "hour": 176, "day": 22}
+MONTHLY_DIVISORS = {"year": 12.0}
 PAY_BAND = (10_000, 1_000_000)
 
 
@@ -41,14 +40,16 @@ def unit_from_text(text: Column, words: Mapping[str, str] = UNIT_WORDS) -> Colum
     )
 
 
-def to_monthly(amount: Column, unit: Column) -> Column:
-    """Monthly amount; units without a factor (piece, negotiable, null) give null."""
-    return (
-        F.when(unit == "month", amount)
-        .when(unit == "year", amount / MONTHS_PER_YEAR)
-        .when(unit == "hour", amount * HOURS_PER_MONTH)
-        .when(unit == "day", amount * DAYS_PER_MONTH)
-    )
+def to_monthly(
+    amount: Column,
+    unit: Column,
+    factors: Mapping[str, float] = MONTHLY_FACTORS,
+    divisors: Mapping[str, float] = MONTHLY_DIVISORS,
+) -> Column:
+    """Amount per month. A unit that neither table knows (piece, negotiable, null) gives null."""
+    known = {u: amount * f if f != 1 else amount for u, f in factors.items()}
+    known |= {u: amount / d for u, d in divisors.items()}
+    return F.coalesce(*[F.when(unit == u, per_month) for u, per_month in known.items()])
 
 
 def mid_pay(low: Column, high: Column) -> Column:

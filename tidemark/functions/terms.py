@@ -3,9 +3,10 @@
 An alias of letters, digits, space and ``. + # /`` (ASCII, lower case) is *bounded*: it must
 not touch another ``[a-z0-9]``. Any other alias is a *substring*. Since the boundary class is
 the same as the word class, the longest ``[a-z0-9]+`` run of a bounded alias, its anchor, is a
-whole word of every text the alias occurs in. So a text is split into words once, its words are
-intersected with the anchors by hash, and only the aliases of the anchors found are looked at
-again. Every row is handled on its own: no join, no shuffle, no Python.
+whole word of every text the alias occurs in. Any other alias is anchored by its first two
+characters (or its only one). So a text is cut into its distinct words and runs once, these are looked
+up among the anchors by hash, and only the aliases of the anchors found are looked at again: the time
+does not grow with the gazetteer. Every row is handled on its own: no join, no shuffle, no Python.
 """
 
 from __future__ import annotations
@@ -22,12 +23,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import once
 
 BOUNDED, SUBSTRING = "bounded", "substring"
-# The gazetteer becomes literals of the plan, so its size is checked.
-MAX_ALIASES = 20_000
-# Up to this many anchors the words of a text are intersected with them before the lookup.
-FEW_ANCHORS = 500
 
 _WORD = re.compile("[a-z0-9]+")
+# Fixed value: the characters of a bounded alias.
 _BOUNDED_ALIAS = re.compile("[a-z0-9 .+#/]+")
 
 
@@ -55,8 +53,6 @@ class Gazetteer:
             if text:
                 seen[replace(a, alias=text)] = None
         self.aliases = tuple(seen)
-        if len(self.aliases) > MAX_ALIASES:
-            raise ValueError(f"{len(self.aliases)} aliases, at most {MAX_ALIASES} are supported")
         # A term listed twice keeps its first position and its last category.
         self.categories: dict[str, str] = {}
         for a in self.aliases:
@@ -92,7 +88,7 @@ class Gazetteer:
             return cls.from_mapping(yaml.safe_load(f), modes)
 
     def dim(self, spark: SparkSession) -> DataFrame:
-        """(skill, category), one row per term; at most MAX_ALIASES rows."""
+        """(skill, category), one row per term."""
         return spark.createDataFrame(list(self.categories.items()), "skill string, category string")
 
     def matches(self, text: Column) -> Column:
@@ -101,29 +97,27 @@ class Gazetteer:
         The text is taken as it is; lower-case it first (see functions.text.full_text).
         """
         position = {term: i + 1 for i, term in enumerate(self.terms)}
-        anchored: dict[str, dict] = {}
-        contained: list[tuple[str, int, str | None]] = []
+        words: dict[str, dict] = {}
+        runs: dict[str, dict] = {}
         for a in self.aliases:
             where = position[a.canonical]
-            if a.anchor is None:
-                # Without a word there is no letter or digit to touch, except around it.
-                pattern = _bounded_pattern(a.alias) if a.mode == BOUNDED else None
-                contained.append((a.alias, where, pattern))
-                continue
-            entry = anchored.setdefault(a.anchor, {"sure": [], "check": []})
-            if a.anchor == a.alias:
+            table, anchor = (words, a.anchor) if a.anchor is not None else (runs, a.alias[:2])
+            entry = table.setdefault(anchor, {"sure": [], "check": []})
+            # Without a word there is no letter or digit to touch, except around it.
+            pattern = _bounded_pattern(a.alias) if a.mode == BOUNDED else None
+            if anchor == a.alias and (table is words or pattern is None):
                 entry["sure"].append(where)
             else:
-                entry["check"].append({"pattern": _bounded_pattern(a.alias), "position": where})
+                entry["check"].append({"alias": a.alias, "pattern": pattern, "position": where})
         if not self.aliases:
             return F.array().cast("array<string>")
 
         def found(text: Column) -> Column:
             parts = []
-            if anchored:
-                parts.append(_anchored(text, anchored))
-            if contained:
-                parts.append(_contained(text, contained))
+            if words:
+                parts.append(_anchored(text, F.split(text, "[^a-z0-9]+"), words))
+            if runs:
+                parts.append(_anchored(text, _runs(text), runs))
             positions = F.sort_array(F.array_distinct(F.concat(*parts)))
             return F.transform(positions, lambda i: F.element_at(F.lit(list(self.terms)), i))
 
@@ -137,19 +131,27 @@ def _bounded_pattern(alias: str) -> str:
     return rf"\Q{literal}\E(?<![a-z0-9]\Q{literal}\E)(?![a-z0-9])"
 
 
-def _anchored(text: Column, anchored: dict[str, dict]) -> Column:
-    """Positions of the terms whose anchor is a word of the text: those of one-word aliases, and
-    those of longer aliases that are found in the text."""
-    words = F.split(text, "[^a-z0-9]+")
-    if len(anchored) <= FEW_ANCHORS:
-        words = F.array_intersect(words, F.lit(sorted(anchored)))
-    else:
-        words = F.array_distinct(words)
-    entry = _hash_table(anchored, "struct<sure:array<int>,check:array<struct<pattern:string,position:int>>>")
-    entries = F.filter(F.transform(words, entry), lambda e: e.isNotNull())
+def _runs(text: Column) -> Column:
+    """Every character of the text, and every two that stand side by side. A character outside the
+    basic plane is kept whole."""
+
+    def pairs(characters: Column) -> Column:
+        two = F.transform(characters, lambda c, i: F.concat(c, F.coalesce(F.get(characters, i + 1), F.lit(""))))
+        return F.concat(characters, two)
+
+    return once(F.regexp_extract_all(text, F.lit(r"(?s)(.)"), 1), pairs)
+
+
+def _anchored(text: Column, parts: Column, anchored: dict[str, dict]) -> Column:
+    """Positions of the terms whose anchor is one of the parts of the text: those of aliases that are
+    the anchor, and those of longer aliases that are found in the text."""
+    check = "struct<alias:string,pattern:string,position:int>"
+    entry = _hash_table(anchored, f"struct<sure:array<int>,check:array<{check}>>")
+    entries = F.filter(F.transform(F.array_distinct(parts), entry), lambda e: e.isNotNull())
 
     def positions(e: Column) -> Column:
-        hits = F.filter(e["check"], lambda c: F.rlike(text, c["pattern"]))
+        # A pattern is compiled for each row and alias, so only for aliases that do occur.
+        hits = F.filter(e["check"], lambda c: F.when(F.contains(text, c["alias"]), c["pattern"].isNull() | F.rlike(text, c["pattern"])))
         return F.concat(e["sure"], F.transform(hits, lambda c: c["position"]))
 
     return F.flatten(F.transform(entries, positions))
@@ -169,11 +171,3 @@ def _hash_table(mapping: dict[str, dict], ddl: str):
         return F.try_element_at(bucket, word)
 
     return lookup
-
-
-def _contained(text: Column, rows: list) -> Column:
-    found = [
-        F.when(text.contains(alias) if pattern is None else text.rlike(pattern), F.lit(where))
-        for alias, where, pattern in rows
-    ]
-    return F.array_compact(F.array(*found))

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.pay import PAY_BAND
+
 # The percentiles of the benchmark and their column names.
 PAY_PERCENTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -41,6 +43,14 @@ def rank_select(
     )
 
 
+def _in_band(df: DataFrame, value: str, band: tuple[float, float]) -> DataFrame:
+    """The rows with a value; the query fails where one is outside the band, which is what bounds the
+    number of counts."""
+    outside = F.raise_error(F.concat(F.lit(f"{value} outside {band}: "), F.col(value).cast("string")))
+    held = F.when(F.col(value).between(*band), F.col(value)).otherwise(outside.cast("double"))
+    return df.filter(F.col(value).isNotNull()).withColumn(value, held)
+
+
 def approx_percentiles(value: str, accuracy: int) -> list[Column]:
     """The same columns as aggregates of a bounded sketch."""
     sketch = F.percentile_approx(value, list(PAY_PERCENTILES.values()), accuracy)
@@ -53,27 +63,30 @@ def pay_percentiles(
     by: Sequence[str],
     value: str = "salary_monthly_mid",
     accuracy: int | None = None,
+    band: tuple[float, float] = PAY_BAND,
 ) -> DataFrame:
     """Percentiles, rounded to whole amounts, and row count per group of the rows with a value.
 
-    Exact by default, for values inside a band such as that of pay_norm, which bounds the number of
-    whole amounts; `accuracy` uses percentile_approx instead (1000 is its usual setting).
+    Exact by default, for values inside the band, which bounds the number of whole amounts; `accuracy` uses percentile_approx instead (1000 is its usual setting).
     """
     known = df.filter(F.col(value).isNotNull())
     if accuracy is not None:
         return known.groupBy(*by).agg(*approx_percentiles(value, accuracy))
+    known = _in_band(df, value, band)
     counts = known.groupBy(*by, F.round(value).alias("_pay")).agg(F.count(F.lit(1)).alias("n"))
     return rank_select(counts, by, "_pay")
 
 
-def exact_quantile(df: DataFrame, value: str, prob: float, into: str) -> DataFrame:
+def exact_quantile(
+    df: DataFrame, value: str, prob: float, into: str, band: tuple[float, float] = PAY_BAND
+) -> DataFrame:
     """One row with the unrounded discrete quantile of a column, null when there are no values.
 
     Every pass counts the rows of the range the rank is known to lie in by parts of that range,
     and finds the part the rank falls into; the last pass counts single values. For values inside
-    the pay band no pass has more than about a million parts, whatever the number of rows.
+    the band, which is checked, no pass has more than about a million parts, whatever the number of rows.
     """
-    known = df.filter(F.col(value).isNotNull()).select(value)
+    known = _in_band(df.select(value), value, band)
     rows = known.withColumns({"_before": F.lit(0), "_total": F.lit(None).cast("long")})
     for width in PART_WIDTHS:
         part = F.floor(F.col(value) / width)

@@ -23,6 +23,6 @@ def term_match(
 def term_extract(df: DataFrame, gazetteer: Gazetteer, text: str = "full_text") -> DataFrame:
     """One row per posting and term with the term's category; postings without terms drop out."""
     found = df.select(*LONG_COLUMNS[1:], F.explode(gazetteer.matches(F.col(text))).alias("skill"))
-    # The dim has at most terms.MAX_ALIASES rows, so it may be broadcast.
-    dim = F.broadcast(gazetteer.dim(df.sparkSession))
+    # Spark broadcasts the dim while its size is under the session's threshold.
+    dim = gazetteer.dim(df.sparkSession)
     return found.select(*LONG_COLUMNS).join(dim, "skill", "left")

@@ -14,7 +14,7 @@ from tidemark.functions import text as X
 from tidemark.operators.conform import conform
 
 # Source label, mark that starts a key's suffix, wrappers of the array, names of
-# the record's keys, parameter with the id, labels of the requirement parts, record cap.
+# the record's keys, parameter with the id, labels of the requirement parts.
 SOURCE = "govt"
 SUFFIX_MARK = "（"
 WRAPPERS = ("data", "result")
@@ -24,7 +24,6 @@ KEYS = (
 )
 ID_PARAM = "HIRE_ID"
 REQUIREMENT_LABELS = {"EXPERIENCE": "經驗:", "EDGRDESC": "學歷:", "WKTIME": "工時:"}
-RECORD_CAP = 1500
 
 # Words of the topic filter, any letter case.
 TOPIC_WORDS = (
@@ -87,7 +86,7 @@ def topic_filter(df: DataFrame, pattern: str = TOPIC_PATTERN, columns=None) -> D
     return df.filter(F.concat_ws(" ", *columns).rlike(pattern))
 
 
-def record_cap(df: DataFrame, *order: Column | str, limit: int = RECORD_CAP) -> DataFrame:
+def record_cap(df: DataFrame, *order: Column | str, limit: int) -> DataFrame:
     """The first `limit` records in the given order."""
     return df.orderBy(*order).limit(limit)
 

@@ -24,9 +24,14 @@ ROWS_PER_FILE = 5_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors reach: the session's spark.checkpoint.dir. Only where that is unset,
-    as in tests on one machine, a temporary folder is made, one per process."""
-    return spark.conf.get("spark.checkpoint.dir", "") or _temporary_folder()
+    """Folder all executors reach: the session's spark.checkpoint.dir. Where that is unset, a session
+    on one machine gets a temporary folder, one per process; a cluster has no folder to guess."""
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _temporary_folder()
 
 
 @functools.cache
@@ -47,14 +52,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The rows dealt out to all cores where the input has fewer splits than cores, for work that
-    is heavy next to the size of its rows. A frame with a split per core is left as it is, so a
-    large table is never shuffled by this."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 # Landing
 
 def land_bronze(postings: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -18,13 +18,13 @@ URL_PREFIX = "https://www.104.com.tw/job/"
 ITEM_LISTS = ("skill", "specialty", "tools")
 ITEM_TEXTS = ("workExp", "edu", "major", "other", "language")
 
-# Fields that are an array of objects, an array of strings or a plain string are read as variant.
+# Fields that may be something else than a plain string are read as variant.
 _BODY = """
     header struct<jobName string, custName string, appearDate string>,
     jobDetail struct<jobDescription string, salary string, salaryMin string, salaryMax string,
                      addressRegion string, jobAddrNoDesc string, needEmp string,
                      jobCategory variant>,
-    condition struct<workExp string, edu string, major string, other string, language string,
+    condition struct<workExp variant, edu variant, major variant, other variant, language variant,
                      skill variant, specialty variant, tools variant>
 """
 PAYLOAD = f"jobId string, data struct<jobId string, {_BODY}>, {_BODY}"
@@ -64,7 +64,11 @@ class _Record:
         return found
 
     def text(self, path: str) -> Column:
-        return _first([v.cast("string") for v, _ in self.fields(path)])
+        return _first([_scalar_text(v, t) for v, t in self.fields(path)])
+
+    def string(self, path: str) -> Column:
+        """The value where it is a string; numbers, arrays and objects are no text."""
+        return _first([_string_only(v, t) for v, t in self.fields(path)])
 
     def items(self, path: str) -> Column:
         """array<string> of the item texts; null or '' where an item has none."""
@@ -92,6 +96,20 @@ def _plain_text(variant: Column) -> Column:
     return F.when(is_text, F.try_variant_get(variant, "$", "string"))
 
 
+def _scalar_text(value: Column, kind: T.DataType) -> Column:
+    """Text of a string, number or boolean; null for arrays and objects of a variant."""
+    if not isinstance(kind, T.VariantType):
+        return value.cast("string")
+    nested = F.schema_of_variant(value).rlike("^(ARRAY|OBJECT)")
+    return F.when(~nested, F.try_variant_get(value, "$", "string"))
+
+
+def _string_only(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.VariantType):
+        return _plain_text(value)
+    return value if isinstance(kind, T.StringType) else F.lit(None).cast("string")
+
+
 def _as_list(value: Column, kind: T.DataType) -> tuple[Column, T.DataType]:
     if isinstance(kind, T.VariantType):
         is_list = F.schema_of_variant(value).startswith("ARRAY")
@@ -131,7 +149,7 @@ def join_parts(df: DataFrame) -> Column:
     """Requirements of a payload: item texts, then the single texts, empties left out."""
     record = _Record(df)
     lists = [F.coalesce(record.items(f"condition.{k}"), F.array()) for k in ITEM_LISTS]
-    texts = [F.array(record.text(f"condition.{k}")) for k in ITEM_TEXTS]
+    texts = [F.array(record.string(f"condition.{k}")) for k in ITEM_TEXTS]
     parts = F.filter(F.concat(*lists, *texts), lambda p: p.isNotNull() & (p != ""))
     return F.array_join(parts, " | ")
 
