@@ -108,7 +108,7 @@ _REWRITE = re.compile(
     r"|(?P<dot>[ \t]{0,3}[\[({<][ \t]{0,2}(?:dot|\.)[ \t]{0,2}[\])}>][ \t]{0,3})"
     rf"|(?P<bare>(?<=[A-Za-z0-9]) at (?=[A-Za-z0-9-]{{1,63}}(?: dot [A-Za-z0-9-]{{1,63}}){{0,4}} dot (?:{_TOP})\b))"
     r"|(?P<bare_dot>(?<=[A-Za-z0-9]) dot (?=[A-Za-z0-9]))",
-    re.IGNORECASE)
+    re.IGNORECASE | re.ASCII)
 _CHARACTER = re.compile(_character)
 _FAR = re.compile("[\u00ad\u0250-\U0010ffff]")  # holds all of them, and is quicker to look for
 _PAIR = re.compile(rf"(?:{_number})[ \t,-]{{1,3}}(?:{_number})\b")
@@ -125,7 +125,7 @@ def _worth(text: str) -> bool:
     return " dot " in low or bool((_PAIR if any(w in low for w in _OTHERS) else _ONES).search(low))
 
 
-_NUMBER = re.compile(rf"plus|{_number}", re.IGNORECASE)
+_NUMBER = re.compile(rf"plus|{_number}", re.IGNORECASE | re.ASCII)
 
 
 class Rewritten:
