@@ -74,9 +74,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
     # Every variant with one character left out, and the line itself. Only variants of two lines stay.
     content = F.col("content")
-    rows = held.repartition("id").select("id", "content", F.explode(F.sequence(F.lit(0), F.char_length("content"))).alias("out"))
+    shards = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = held.repartition(shards, "id").select("id", "content", F.explode(F.sequence(F.lit(0), F.char_length("content"))).alias("out"))
     variant = F.when(F.col("out") == 0, content).otherwise(F.concat(F.expr("substring(content, 1, out - 1)"), F.expr("substring(content, out + 1)")))
-    variants = rows.select("id", "out", F.xxhash64(variant).alias("v"))
+    variants = staged(rows.select("id", "out", F.xxhash64(variant).alias("v")), "all-variants")
     shared = staged(variants.groupBy("v").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("v"), "shared")
     variants = staged(variants.join(small_side(shared, shared.count(), BROADCAST_VARIANTS), "v", "left_semi"), "variants")
     changed = variants.where("out > 0").groupBy("v", "out").agg(F.min("id").alias("first"))
