@@ -32,6 +32,8 @@ PASSES = 3
 SLOTS = 1 << 18
 #: Sources up to this many are broadcast.
 BROADCAST_SOURCES = 50_000
+#: The same for their bounds, which are up to 2 KB each.
+BROADCAST_BOUNDS = 2_000
 
 _BITS = 40  # of van der Corput points and stretches
 _CELL_BITS = 16  # slots and stretches meet by the cell of the unit interval they fall in
@@ -95,10 +97,11 @@ def schedule(spark: SparkSession, weighted: DataFrame, slots: int, block: int, p
     shift = _BITS - _CELL_BITS
     points = points.withColumn("cell", F.shiftright("point", shift))
     spans = weighted.where("high > low").select(
-        "sid", "low", "high", _pieces(F.col("low")).alias("below_low"), _pieces(F.col("high")).alias("below_high"),
-        F.ceil(F.col("source_size") / F.lit(block)).alias("n_blocks"),
+        "sid", "low", "high", F.ceil(F.col("source_size") / F.lit(block)).alias("n_blocks"),
         F.explode(F.sequence(F.shiftright("low", shift), F.shiftright(F.col("high") - 1, shift))).alias("cell"))
     met = points.join(spans, "cell").where("point >= low AND point < high AND n_blocks > 0")
+    bounds = weighted.select("sid", _pieces(F.col("low")).alias("below_low"), _pieces(F.col("high")).alias("below_high"))
+    met = met.join(small_side(bounds, weighted.count(), BROADCAST_BOUNDS), "sid")
     rank = _points_below(F.col("slot"), F.col("below_high")) - _points_below(F.col("slot"), F.col("below_low"))
     ranked = met.select("slot", "sid", "n_blocks", rank.alias("rank"))
     return ranked.select("slot", "sid", "rank", F.expr("rank div n_blocks").alias("pass"), F.expr("rank % n_blocks").alias("block")).where(F.col("pass") < passes)
