@@ -182,7 +182,11 @@ def parse_transcripts(lines: DataFrame, model: Model) -> DataFrame:
         return pd.DataFrame({"conv_id": [conv], "stretch": [stretch], "fine": [fine], "part": [part], "m": [m.matrix(seen).ravel()], "start": [start]})
 
     keyed = rows.select("conv_id", "segment.*", "line_no", "h", "seen", "line")
-    narrow = keyed.drop("line")
+    by = ["conv_id", "stretch", "fine", "part"]
+    # Few bytes, but work for all tasks: so many partitions are kept.
+    spark = lines.sparkSession
+    shards = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    narrow = keyed.drop("line").repartition(shards, *by)
     kinds = "conv_id long, stretch long, fine long, part long, m array<double>, start array<double>"
     products = narrow.groupBy("conv_id", "stretch", "fine", "part").applyInPandas(product, kinds)
 
@@ -205,7 +209,7 @@ def parse_transcripts(lines: DataFrame, model: Model) -> DataFrame:
                 state = entry[i] = int(back[i][state])
         return own[["conv_id", "stretch", "fine", "part"]].assign(entry=entry, leave=leave)
 
-    ends = staged(products.groupBy("conv_id").applyInPandas(chain, "conv_id long, stretch long, fine long, part long, entry int, leave int"), "ends")
+    ends = staged(products.repartition(shards, "conv_id").groupBy("conv_id").applyInPandas(chain, "conv_id long, stretch long, fine long, part long, entry int, leave int"), "ends")
 
     def decode(key: tuple, own: pd.DataFrame, bounds: pd.DataFrame) -> pd.DataFrame:
         if not len(own):
@@ -216,7 +220,6 @@ def parse_transcripts(lines: DataFrame, model: Model) -> DataFrame:
         begins = states % 2 == 1
         return own[["conv_id", "stretch", "fine", "part", "line_no", "line", "h"]].assign(role=[ROLES[s // 2] for s in states], begins=begins, turn=np.cumsum(begins))
 
-    by = ["conv_id", "stretch", "fine", "part"]
     decoded = keyed.groupBy(*by).cogroup(ends.groupBy(*by)).applyInPandas(
         decode, "conv_id long, stretch long, fine long, part long, line_no long, line string, h long, role string, begins boolean, turn long")
     decoded = staged(decoded, "decoded")
