@@ -44,7 +44,7 @@ BROADCAST_IDS = 1_000_000
 #: Pivots that a document is compared with first. Which ones they are only decides how much is left.
 PIVOTS = 4
 #: Turns of other pivots at most. What they leave is compared pair by pair.
-MAX_TURNS = 8
+MAX_TURNS = 3
 #: Bytes of sets in one Arrow batch of the probing step.
 BATCH_BYTES = 16 << 20
 
