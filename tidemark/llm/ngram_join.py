@@ -12,9 +12,12 @@ binary search until T is reached or out of reach.
 * Postings of short lists are dealt out by shingle and sorted, which merges the lists of all queries
   at once. The merge streams: the first member of a list is its pivot, and each other member is paired
   with it, so a list of any length takes no memory and gives no more pairs than members.
-* Of its pivots a document is compared with PIVOTS first; pairs that reach T make components. Only pairs of one list in *different* components can still join
-  anything, so only those are looked at next: near copies by the thousand are never paired with each
-  other, and no link between components is lost.
+* Every set has a 256-bit signature, which bounds from below how many members two sets differ in. A
+  pair that the bound rules out is not probed; none that links is ruled out.
+* Members are compared with the pivots of their lists first; pairs that reach T make components. Only
+  pairs of one list in *different* components can still join anything, so only those are looked at
+  next: near copies by the thousand are never paired with each other, and no link between components
+  is lost.
 * Documents with equal sets are one class. Copies are dropped where they meet, before any shuffle of
   postings, and come back with their class.
 
@@ -38,13 +41,13 @@ from tidemark.llm.words import SPACED, chunks, mixed, shingle_hashes
 from tidemark.sources.lake import staged
 
 COUNTERS = 1 << 18
+#: Columns of a set's signature.
+SIGN = ["s1", "s2", "s3", "s4"]
 SLICES = 64
 #: Ids up to this many are sent to all executors to pick out documents (16 bytes each); more are joined.
 BROADCAST_IDS = 1_000_000
-#: Pivots that a document is compared with first. Which ones they are only decides how much is left.
-PIVOTS = 4
 #: Turns of other pivots at most. What they leave is compared pair by pair.
-MAX_TURNS = 3
+MAX_TURNS = 1
 #: Bytes of sets in one Arrow batch of the probing step.
 BATCH_BYTES = 16 << 20
 
@@ -64,36 +67,50 @@ def _finger(s: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in np.array(both, np.uint64).view(np.int64))
 
 
+def _sign(s: np.ndarray) -> np.ndarray:
+    """256 bits of a set: in each, whether an odd number of its members falls there."""
+    odd = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _signs_allow(a: str, b: str, percent: int):
+    """Whether sets with these signatures may reach the threshold. Every bit that differs is a member
+    that only one of them has, and a pair that links has at most (1 - t) / (1 + t) of both sizes of those."""
+    apart = " + ".join(f"bit_count({a}{c} ^ {b}{c})" for c in SIGN)
+    return F.expr(f"coalesce({100 + percent}L * ({apart}) <= {100 - percent}L * ({a}n + {b}n), true)")
+
+
 def _describe(size: int):
     """One row for each document (its set's size and fingerprint), and one for each slice of the
     partition's counters."""
 
+    names = ["doc_id", "n", "f1", "f2", *SIGN, "slice", "counts"]
+
     def run(batches):
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            n, f1, f2 = [], [], []
+            n, f1, f2, signs = [], [], [], []
             for _, s in _sets(batch.column("text"), size):
                 counts += np.bincount(s & np.uint64(COUNTERS - 1), minlength=COUNTERS) if len(s) > COUNTERS // 8 else 0
                 if len(s) <= COUNTERS // 8:
                     np.add.at(counts, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
                 a, b = _finger(s)
-                n.append(len(s)), f1.append(a), f2.append(b)
+                n.append(len(s)), f1.append(a), f2.append(b), signs.append(_sign(s))
             m = len(n)
+            signs = np.array(signs, np.int64).reshape(m, len(SIGN))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
-                 pa.array(f2, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())],
-                ["doc_id", "n", "f1", "f2", "slice", "counts"])
+                 pa.array(f2, pa.int64()), *(pa.array(x) for x in signs.T), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
         width = COUNTERS // SLICES
         parts = [counts[i * width : (i + 1) * width].astype("<u4").tobytes() for i in range(SLICES)]
         null = pa.nulls(SLICES, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [null, null, null, null, pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())],
-            ["doc_id", "n", "f1", "f2", "slice", "counts"])
+            [null, null, null, null, *(null for _ in SIGN), pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names)
 
     return run
 
 
-_DESCRIBED = "doc_id long, n long, f1 long, f2 long, slice int, counts binary"
+_DESCRIBED = f"doc_id long, n long, f1 long, f2 long, {', '.join(f'{c} long' for c in SIGN)}, slice int, counts binary"
 
 
 def _add_slices(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,25 +269,25 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = staged(docs.mapInArrow(_describe(size), _DESCRIBED), "described")
-    rows = described.where("slice IS NULL").select("doc_id", "n", "f1", "f2")
+    rows = described.where("slice IS NULL").select("doc_id", "n", "f1", "f2", *SIGN)
     shared = spark.sparkContext.broadcast(_counters(described))
 
     named = rows.where("n > 0 AND doc_id IS NOT NULL")
     heads = named.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
-    classes = staged(named.join(heads, ["f1", "f2"]).select("doc_id", "n", "rep"), "classes")
-    reps = classes.select("doc_id", "rep").distinct()
+    classes = staged(named.join(heads, ["f1", "f2"]).select("doc_id", "n", "rep", *SIGN), "classes")
+    reps = classes.distinct()
 
     posted = docs.mapInArrow(_postings(size, percent, shared), "shingle long, doc_id long, n int, pos int")
     shards = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    lists = posted.repartition(shards, "shingle").sortWithinPartitions("shingle", F.xxhash64("doc_id"), "doc_id")
+    lists = posted.repartition(shards, "shingle").sortWithinPartitions("shingle", F.xxhash64("shingle", "doc_id"), "doc_id")
     kept = "shingle long, doc_id long, n int, pos int, pivot long, pivot_n int, pivot_pos int"
     lists = staged(lists.mapInArrow(_with_pivots, kept), "lists")
 
     def by_class(pairs: DataFrame) -> DataFrame:
         """Pairs of documents (x, y) to pairs of class representatives (a, b), each once."""
-        a = reps.select(F.col("doc_id").alias("x"), F.col("rep").alias("a"))
-        b = reps.select(F.col("doc_id").alias("y"), F.col("rep").alias("b"))
-        both = pairs.distinct().join(a, "x").join(b, "y").where("a <> b")
+        a = reps.select(F.col("doc_id").alias("x"), F.col("rep").alias("a"), *(F.col(c).alias("a_" + c) for c in ("n", *SIGN)))
+        b = reps.select(F.col("doc_id").alias("y"), F.col("rep").alias("b"), *(F.col(c).alias("b_" + c) for c in ("n", *SIGN)))
+        both = pairs.distinct().join(a, "x").join(b, "y").where("a <> b").where(_signs_allow("a_", "b_", percent))
         return both.select("a", "b").distinct()
 
     def turned(pairs: DataFrame) -> DataFrame:
@@ -278,8 +295,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
 
     first = lists.where("doc_id <> pivot").where(_can_link("n", "pos", "pivot_n", "pivot_pos", percent))
     first = by_class(first.select(F.col("doc_id").alias("x"), F.col("pivot").alias("y")))
-    nearest = F.slice(F.array_sort(F.collect_set(F.struct(F.xxhash64("b"), "b"))), 1, PIVOTS)
-    first = staged(turned(first.groupBy("a").agg(nearest.alias("bs")).select("a", F.explode("bs.b").alias("b"))), "pairs")
+    first = staged(turned(first), "pairs")
 
     # Every document that occurs in a list of two or more may be asked for; its set is kept once.
     live = staged(lists.select("doc_id").distinct().join(reps, "doc_id").select(F.col("rep").alias("doc_id")).distinct(), "live")
@@ -294,26 +310,26 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
 
     # What is left: members of one list in different components. Other pivots first, while all pairs of
     # them would be many more than the members.
-    for turn in range(MAX_TURNS):
-        of = reps.join(label, reps.rep == label.node, "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("label"))
+    for turn in range(MAX_TURNS + 1):
+        of = reps.join(label, reps.rep == label.node, "left").groupBy("doc_id").agg(
+            F.min(F.coalesce("component", "rep")).alias("label"), *(F.expr(f"if(min(rep) = max(rep), min({c}), NULL)").alias(c) for c in SIGN))
         marked = lists.select("shingle", "doc_id", "n", "pos").join(of, "doc_id")
         several = marked.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         lists = staged(marked.join(several.select("shingle"), "shingle", "left_semi"), "lists")
         held = lists.groupBy("shingle", "label").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
         members, all_pairs = held.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum(F.expr("(m * m - s) / 2")), F.lit(0))).first()
-        if all_pairs <= 2 * members:
+        if all_pairs <= 2 * members or turn == MAX_TURNS:
             break
-        pivots = lists.groupBy("shingle").agg(F.min_by(F.struct("doc_id", "n", "pos", "label"), F.xxhash64(F.lit(turn), "doc_id")).alias("p"))
+        pivots = lists.groupBy("shingle").agg(F.min_by(F.struct("doc_id", "n", "pos", "label"), F.xxhash64(F.lit(turn), "shingle", "doc_id")).alias("p"))
         near = lists.join(pivots, "shingle").where("label <> p.label").where(_can_link("n", "pos", "p.n", "p.pos", percent))
-        near = by_class(near.select(F.col("doc_id").alias("x"), F.col("p.doc_id").alias("y")))
-        near = turned(near.groupBy("a").agg(nearest.alias("bs")).select("a", F.explode("bs.b").alias("b")))
+        near = turned(by_class(near.select(F.col("doc_id").alias("x"), F.col("p.doc_id").alias("y"))))
         near = staged(near.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(near)
         edges = edges.unionByName(staged(_verified(near, sets, percent), "links"))
         label = staged(components(edges), "labels")
 
-    aside = lists.select("shingle", F.col("doc_id").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xp"), F.col("label").alias("xl"))
-    pairs = aside.join(lists, "shingle").where("label < xl").where(_can_link("n", "pos", "xn", "xp", percent))
+    aside = lists.select("shingle", F.col("doc_id").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xp"), F.col("label").alias("xl"), *(F.col(c).alias("x" + c) for c in SIGN))
+    pairs = aside.join(lists, "shingle").where("label < xl").where(_can_link("n", "pos", "xn", "xp", percent)).where(_signs_allow("", "x", percent))
     second = turned(by_class(pairs.select("x", F.col("doc_id").alias("y"))))
     second = staged(second.join(tested, ["a", "b"], "left_anti"), "pairs")
     more = staged(_verified(second, sets, percent), "links")
