@@ -16,7 +16,6 @@ columns are ignored.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 
 import numpy as np
@@ -44,8 +43,16 @@ _AFTER_C3 = np.zeros(256, bool)
 _AFTER_C3[[x for x in range(0x80, 0xC0) if x not in (0x97, 0xB7)]] = True
 
 
-_SPACED_WORD = re.compile(rb" (?:[\x21-\x7e]|\xc3[\x80-\xbf])+")
-_WORD = re.compile(rb"(?:[\x21-\x7e]|\xc3[\x80-\xbf])+")
+#: Bytes of words that are encoded together: visible ASCII, and C3 with the byte after it.
+_TOGETHER = _VISIBLE.copy()
+_TOGETHER[0xC3] = True
+
+
+def _strange(data: np.ndarray) -> np.ndarray:
+    """How many bytes before each place are in no word that is encoded together."""
+    fine = _TOGETHER[data]
+    fine[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] < 0xC0)
+    return np.concatenate([[0], np.cumsum(~fine)])
 
 
 def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -102,24 +109,23 @@ class Encoder:
             todo = todo[(found != keys[todo]) & (found != 0)]
         return slots
 
-    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _encoded(self, pieces: list[bytes], spaced: np.ndarray, bare: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(order, counts in that order, their ids) of distinct pieces. Words with a space before them are
         encoded in one text, and words without one in another, a line each: the tokenizer cuts those
         texts before every piece, where an id begins with a space, or at every line end."""
-        spaced = [i for i, p in enumerate(pieces) if _SPACED_WORD.fullmatch(p)]
-        bare = [i for i, p in enumerate(pieces) if _WORD.fullmatch(p)]
         order, counts, ids = [], [], []
         for own, before, begins in ((spaced, b"", lambda x: self.spaced[x]), (bare, b"\n", lambda x: x == self.line)):
-            if not own:
+            if not len(own):
                 continue
-            x = np.array(self.tokenizer.encode((before + before.join(pieces[i] for i in own)).decode(), add_special_tokens=False).ids)
+            text = (before + before.join([pieces[i] for i in own])).decode()
+            x = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids)
             at = np.flatnonzero(begins(x))
             if len(at) != len(own) or at[0]:
                 continue  # left to be encoded one by one
             n = np.diff(np.append(at, len(x)))
             if before:
                 x, n = np.delete(x, at), n - 1
-            order += own
+            order += own.tolist()
             counts.append(n)
             ids.append(x.astype(self.kind))
         done = set(order)
@@ -129,8 +135,8 @@ class Encoder:
         ids += [np.array(x, self.kind) for x in each]
         return np.array(order + rest, np.int64), np.concatenate(counts), np.concatenate(ids)
 
-    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
-        order, counts, ids = self._encoded(pieces)
+    def _learn(self, keys: np.ndarray, pieces: list[bytes], spaced: np.ndarray, bare: np.ndarray) -> None:
+        order, counts, ids = self._encoded(pieces, spaced, bare)
         keys = keys[order]
         at = len(self.pool) + np.cumsum(counts) - counts
         self.pool = np.concatenate([self.pool, ids])
@@ -156,7 +162,12 @@ class Encoder:
             raw = chunk.data.tobytes()
             if self.used + len(fresh) > SLOTS * 3 // 4:
                 raise ValueError(f"more than {SLOTS * 3 // 4} distinct pieces in one text")
-            self._learn(fresh, [raw[starts[i] : ends[i]] for i in new[first]])
+            s, e = starts[new[first]], ends[new[first]]
+            strange, space = _strange(chunk.data), chunk.data[s] == 0x20
+            # A piece with one strange byte, the space before it, or with none at all.
+            odd = strange[e] - strange[s]
+            pieces = [raw[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)]
+            self._learn(fresh, pieces, np.flatnonzero(space & (odd == 1) & (e - s > 1)), np.flatnonzero(odd == 0))
             slots[new] = self._look(keys[new])
         bounds = np.searchsorted(starts, chunk.offsets[1:])
         slots = np.insert(slots, bounds, SLOTS)
