@@ -274,6 +274,9 @@ SELECTS: dict[str, str] = {
         FROM postings""",
     "silver_roundtrip": "SELECT * FROM cleaned",
     "mart_sink": "SELECT * FROM benchmark",
+    "mart_sink_monthly": "SELECT * FROM monthly",
+    "mart_sink_overview": "SELECT * FROM overview",
+    "mart_sink_kpi": "SELECT * FROM kpi",
     "stage_counts": """
         SELECT 'cleaned' AS stage, count(*) AS n_rows FROM cleaned
         UNION ALL SELECT 'deduplicated', count(*) FROM deduped
@@ -368,6 +371,7 @@ SELECTS: dict[str, str] = {
     ),
     "skill_overview": "SELECT * FROM overview",
     "pay_percentiles": _percentiles("skill, region, seniority", "skill, region, seniority"),
+    "pay_percentiles_sketch": _percentiles("skill, region, seniority", "skill, region, seniority"),
     "salary_benchmark": "SELECT * FROM benchmark",
     "market_kpi": "SELECT * FROM kpi",
     "feed_skills": """

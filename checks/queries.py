@@ -68,9 +68,28 @@ def silver_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def mart_sink(spark: SparkSession, sf: str) -> DataFrame:
     """The whole pipeline to its marts, and the benchmark read back."""
+    return _mart(spark, sf, "skill_salary_benchmark")
+
+
+@query
+def mart_sink_monthly(spark: SparkSession, sf: str) -> DataFrame:
+    return _mart(spark, sf, "skill_demand_monthly")
+
+
+@query
+def mart_sink_overview(spark: SparkSession, sf: str) -> DataFrame:
+    return _mart(spark, sf, "skill_overview")
+
+
+@query
+def mart_sink_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    return _mart(spark, sf, "market_kpi")
+
+
+def _mart(spark: SparkSession, sf: str, name: str) -> DataFrame:
     root = lake.new_folder(spark, "lake")
     pipeline.run(V.postings(spark, sf), root, V.PART_TERMS, region=V.region())
-    return lake.read_mart(spark, f"{root}/gold", "skill_salary_benchmark")
+    return lake.read_mart(spark, f"{root}/gold", name)
 
 
 @query
@@ -335,6 +354,13 @@ def pay_percentiles_by_region(spark: SparkSession, sf: str) -> DataFrame:
     return pay_percentiles(V.skills(spark, sf), ["skill", "region", "seniority"])
 
 
+@query
+def pay_percentiles_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    """The sketch, exact for groups of fewer rows than its accuracy."""
+    by = ["skill", "region", "seniority"]
+    return pay_percentiles(V.skills(spark, sf), by, accuracy=10_000_000)
+
+
 @query
 def salary_benchmark(spark: SparkSession, sf: str) -> DataFrame:
     return M.salary_benchmark(V.skills(spark, sf))

@@ -131,10 +131,12 @@ def salary_benchmark(
         grouped = known.groupingSets(sets, "skill", "region", "seniority")
         out = grouped.agg(*rolled, *approx_percentiles(pay, accuracy))
     else:
-        whole = known.select("skill", "region", "seniority", F.round(pay).alias("_pay"))
+        # Counted before the grains: only distinct amounts of a cell are expanded, not rows.
+        cells = ["skill", "region", "seniority", "_pay"]
+        whole = known.withColumn("_pay", F.round(pay)).groupBy(*cells).agg(F.count(F.lit(1)).alias("_n"))
         sets = [["skill", "_pay"], ["skill", "region", "_pay"], ["skill", "seniority", "_pay"]]
         grouped = whole.groupingSets(sets, "skill", "region", "seniority", "_pay")
-        out = rank_select(grouped.agg(*rolled, F.count(F.lit(1)).alias("n")), grain, "_pay")
+        out = rank_select(grouped.agg(*rolled, F.sum("_n").alias("n")), grain, "_pay")
 
     def cell(name: str, flag: str) -> Column:
         return F.when(F.col(flag) == 1, F.lit(ALL)).otherwise(F.col(name)).alias(name)

@@ -12,6 +12,9 @@ LONG_COLUMNS = (
     "salary_monthly_mid", "company", "title",
 )
 
+#: Terms, of two short texts each, up to which the category table is broadcast; more are joined by a shuffle.
+BROADCAST_TERMS = 500_000
+
 
 def term_match(
     df: DataFrame, gazetteer: Gazetteer, text: str = "full_text", into: str = "skills"
@@ -23,6 +26,8 @@ def term_match(
 def term_extract(df: DataFrame, gazetteer: Gazetteer, text: str = "full_text") -> DataFrame:
     """One row per posting and term with the term's category; postings without terms drop out."""
     found = df.select(*LONG_COLUMNS[1:], F.explode(gazetteer.matches(F.col(text))).alias("skill"))
-    # Spark broadcasts the dim while its size is under the session's threshold.
+    # Spark cannot tell the size of rows made on the driver, but the gazetteer can.
     dim = gazetteer.dim(df.sparkSession)
+    if len(gazetteer.categories) <= BROADCAST_TERMS:
+        dim = F.broadcast(dim)
     return found.select(*LONG_COLUMNS).join(dim, "skill", "left")
