@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.errors import SparkRuntimeException
 
 from tidemark.operators import marts as M
 from tidemark.operators.percentiles import exact_quantile, pay_percentiles
@@ -128,7 +129,13 @@ def test_exact_quantile(spark, p):
     rng = random.Random(11)
     data = [rng.choice([round(rng.uniform(1, 9), 3), 4.25]) for _ in range(1001)]
     df = spark.createDataFrame([(v,) for v in data] + [(None,)], "v double")
-    assert exact_quantile(df, "v", p, "q").collect()[0].q == disc(data, p)
+    assert exact_quantile(df, "v", p, "q", band=(1, 9)).collect()[0].q == disc(data, p)
+
+
+def test_values_outside_the_band_fail(spark):
+    df = spark.createDataFrame([(4.25,), (50_000.0,)], "v double")
+    with pytest.raises(SparkRuntimeException, match="v outside"):
+        exact_quantile(df, "v", 0.5, "q").collect()
 
 
 def test_exact_quantile_without_values(spark):
