@@ -31,11 +31,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item. A document with a null id can't be named in a
-    finding and is told by its text."""
+    """Documents that hold no window of a benchmark item. A finding is told by id and text, so rows that
+    repeat an id, or have none, stay or go each by its own text."""
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    clean = found.where("NOT contaminated").select("doc_id").distinct()
-    return docs.join(clean.withColumnRenamed("doc_id", "clean_id"), F.col("doc_id").eqNullSafe(F.col("clean_id")), "left_semi")
+    clean = found.where("NOT contaminated").select(F.col("doc_id").alias("clean_id"), F.col("h").alias("clean_h")).distinct()
+    same = [F.col("doc_id").eqNullSafe(F.col("clean_id")), F.xxhash64("text") == F.col("clean_h")]
+    return docs.join(clean, same, "left_semi")
 
 
 def source_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

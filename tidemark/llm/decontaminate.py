@@ -84,9 +84,9 @@ def _covered(spans: Column) -> Column:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, near: int = NEAR) -> DataFrame:
-    """One row for each row of docs (doc_id, text): doc_id, n_words, n_hit (words inside an occurrence
-    of a window of `size` test words), n_items, items (their ids, sorted), contaminated, n_near (items
-    with a proximity match)."""
+    """One row for each row of docs (doc_id, text): doc_id, h (the text's hash), n_words, n_hit (words
+    inside an occurrence of a window of `size` test words), n_items, items (their ids, sorted),
+    contaminated, n_near (items with a proximity match)."""
     items = staged(test_items(benchmark), "items")
     vocabulary = staged(items.select(F.explode("words").alias("term")).distinct(), "vocabulary")
     counted = staged(frequencies(docs, vocabulary, vocabulary.count()), "frequencies")
@@ -120,12 +120,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, nea
         F.size(F.array_distinct(F.flatten(F.collect_list(F.when(F.col("close"), F.transform("windows", lambda w: w["item_id"])))))).cast("long").alias("n_near"))
 
     rows = keyed(docs).join(found, [F.col("doc_id").eqNullSafe(F.col("id")), F.col("h") == F.col("k")], "left")
-    rows = rows.select("doc_id", split_words(F.col("text")).alias("words"), "candidates", "n_near")
+    rows = rows.select("doc_id", "h", split_words(F.col("text")).alias("words"), "candidates", "n_near")
     same = lambda c: F.slice(F.col("words"), c["at"] + 1, F.size(c["words"])) == c["words"]
     matched = F.filter(F.coalesce("candidates", F.expr("array()")), same)
-    rows = rows.select("doc_id", "n_near", F.expr("size(words) - int(words[0] = '') - int(size(words) > 1 AND words[size(words) - 1] = '')").cast("long").alias("n_words"), matched.alias("m"))
+    rows = rows.select("doc_id", "h", "n_near", F.expr("size(words) - int(words[0] = '') - int(size(words) > 1 AND words[size(words) - 1] = '')").cast("long").alias("n_words"), matched.alias("m"))
     spans = F.array_sort(F.transform("m", lambda c: F.struct(c["at"].alias("at"), (c["at"] + F.size(c["words"])).alias("end"))))
     ids = F.array_sort(F.array_distinct(F.transform("m", lambda c: c["item_id"])))
-    rows = rows.select("doc_id", "n_words", "n_near", F.when(F.size("m") > 0, _covered(spans)).otherwise(F.lit(0)).cast("long").alias("n_hit"), ids.alias("items"))
-    return rows.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
+    rows = rows.select("doc_id", "h", "n_words", "n_near", F.when(F.size("m") > 0, _covered(spans)).otherwise(F.lit(0)).cast("long").alias("n_hit"), ids.alias("items"))
+    return rows.select("doc_id", "h", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items",
                        (F.col("n_hit") > 0).alias("contaminated"), F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"))
