@@ -189,6 +189,36 @@ def test_mixture(documents, sample):
     assert mixed == +per_doc
 
 
+def test_mixture_of_small_sources_in_large_blocks(documents):
+    sizes = {"a": 90_000, "b": 77, "c": 5, "d": 64, "e": 1, "f": 640, "g": 130}
+    rows = [(i, " ".join(["w"] * min(97, n - at)), s) for s, n in sizes.items() for i, at in enumerate(range(0, n, 97))]
+    empty = [(7, None, "a"), (7, None, "a"), (7, "", "c"), (7, "", "c"), (7, "", "c"), (None, " ", "h")]
+    out = mixing.mixture(documents(rows + empty), slots=100).collect()
+    assert Counter((r.doc_id, r.source, r.size) for r in out) == Counter((d, s, len((t or "").split())) for d, t, s in rows + empty)
+    taken, target = Counter(), {}
+    for r in out:
+        assert r.taken <= 3 * r.size
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    for s in [*sizes, "h"]:
+        assert abs(taken[s] - target[s]) <= 0.5, s
+    assert all(target[s] == 3 * n for s, n in sizes.items() if s != "a")
+
+
+def test_schedule_has_every_rank_once(spark):
+    sized = spark.createDataFrame([(f"s{i:03}", n) for i, n in enumerate([100_000, 3, 70, 64, 0, 5000, 1] + [9] * 40)], "source string, size long")
+    weighted = mixing.sources(sized, 64)
+    want = {r.sid: r for r in weighted.collect()}
+    got = mixing.schedule(spark, weighted, sum(r.ranks for r in want.values()), len(want)).collect()
+    assert Counter((r.sid, r.rank) for r in got) == Counter((s, k) for s, r in want.items() for k in range(r.ranks))
+    assert len({r.slot for r in got}) == len(got)
+    words = Counter()
+    for r in got:
+        words[r.sid] += r.last if r.last is not None else min(64, want[r.sid].source_size - r.block * 64)
+        assert r["pass"] < 3
+    assert all(abs(words[s] - r.target) <= 0.5 for s, r in want.items())
+
+
 def test_licenses(documents, sample):
     notice = "x " * 40 + "Permission is hereby granted, free of charge, to any person obtaining a copy of this software" + " and associated documentation files. y" * 1
     rows = sample + [(9300, notice), (9301, "the MIT  License; Apache-License general public license mit license"), (9302, "licensed under cc by nc"), (9303, "Licensed under CC BY-NC 4.0. z")]

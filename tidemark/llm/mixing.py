@@ -1,13 +1,16 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Every slot of the schedule stands for a block of equally many words. Slot i takes the source whose
-stretch of the cumulative weights holds the van der Corput point of i, so after any number of slots each
-source is close to its share. How often a source came before slot i, its rank there, is computed from i
+Every slot of the schedule stands for a block of equally many words, at most BLOCK of them whatever the
+input, so slots grow with it. Slot i takes the source whose stretch of the cumulative weights holds the
+van der Corput point of i, so after any number of slots each source is close to its share. How often a source came before slot i, its rank there, is computed from i
 and the stretch alone: a bound of the stretch is a sum of powers of two, and points below each such piece
 are the i of one residue. No slot waits for another and no group of slots is ever sorted.
 
-A source's documents are put in hash order and cut into blocks. Rank r reads block r modulo the number
-of blocks; a source is read at most PASSES times over. Where documents begin in their source follows
+A source's documents are put in hash order and cut into blocks, the last one of each pass with the words
+that are left. Rank r reads block r modulo the number of blocks; a source is read at most PASSES times
+over. A source has as many ranks as its target takes, the last one cut to the words still missing. Ranks
+that the points leave out, a few of each source, are the last slots. So every source gets its target
+to the word, also one whose target is smaller than a block. Where documents begin in their source follows
 from sums per stretch of the hash order, so a source with most documents is spread over many groups.
 
 Null text: size 0. A null source is a source of its own, last. Rows that repeat an id, or everything,
@@ -28,15 +31,17 @@ from tidemark.sources.lake import staged
 
 WEIGHTS = (5, 2, 1)
 PASSES = 3
-#: Slots in a schedule, about. More slots come nearer to small targets; fewer make larger blocks.
+#: Slots in a schedule, at least about, of small inputs: blocks have a word or more.
 SLOTS = 1 << 18
+#: Words of a block at most. Larger inputs have more slots.
+BLOCK = 64
 #: Sources up to this many are broadcast.
 BROADCAST_SOURCES = 50_000
 #: The same for their bounds, which are up to 2 KB each.
 BROADCAST_BOUNDS = 2_000
 
 _BITS = 40  # of van der Corput points and stretches
-_CELL_BITS = 16  # slots and stretches meet by the cell of the unit interval they fall in
+_CELL_BITS = 16  # slots and stretches meet by the cell of the unit interval they fall in; more for many sources
 
 
 def word_count(text: Column) -> Column:
@@ -50,9 +55,10 @@ def _reversed_bits(number: Column, bits: Column) -> Column:
     return F.when(bits > 0, F.conv(text, 2, 10).cast("long")).otherwise(F.lit(0).cast("long"))
 
 
-def sources(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES) -> DataFrame:
-    """(sid, source, source_size, target, low, high): sources by code point, null last; target words;
-    and their stretch of the unit interval in 2 ** -_BITS. A row per source, in one task."""
+def sources(sized: DataFrame, block: int, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES) -> DataFrame:
+    """(sid, source, source_size, target, n_blocks, ranks, last, low, high): sources by code point, null
+    last; target words; blocks of a pass; ranks that the target takes and the words that the last one
+    reads; and their stretch of the unit interval in 2 ** -_BITS. A row per source, in one task."""
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = sums.withColumn("sid", F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1)
     weight = F.element_at(F.lit([float(w) for w in weights]), (F.col("sid") % len(weights) + 1).cast("int"))
@@ -67,10 +73,17 @@ def sources(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int =
     level = (F.sum("source_size").over(everyone) - F.coalesce(F.sum(F.when(F.col("full"), F.col("limit"))).over(everyone), F.lit(0.0))) / F.sum(
         F.when(~F.col("full"), F.col("weight"))).over(everyone)
     filled = filled.withColumn("target", F.when(F.col("full"), F.col("limit")).otherwise(F.least("limit", F.col("weight") * level)))
-    share = F.sum("target").over(Window.orderBy("sid")) / F.greatest(F.sum("target").over(everyone), F.lit(1e-300))
+    filled = filled.withColumn("quota", F.least(F.round("target").cast("long"), F.lit(passes) * F.col("source_size")))
+    filled = filled.withColumn("n_blocks", F.expr(f"(source_size + {block - 1}) div {block}"))
+    # Whole passes, and of the one after them the blocks that the rest of the quota takes.
+    filled = filled.withColumn("rest", F.when(F.col("quota") > 0, (F.col("quota") - 1) % F.col("source_size") + 1).otherwise(F.lit(0)))
+    whole = F.when(F.col("quota") > 0, F.expr("(quota - 1) div source_size")).otherwise(F.lit(0))
+    filled = filled.withColumn("ranks", whole * F.col("n_blocks") + F.expr(f"(rest + {block - 1}) div {block}"))
+    filled = filled.withColumn("last", F.when(F.col("rest") > 0, (F.col("rest") - 1) % F.lit(block) + 1).otherwise(F.lit(0)))
+    share = F.sum("ranks").over(Window.orderBy("sid")) / F.greatest(F.sum("ranks").over(everyone), F.lit(1))
     filled = filled.withColumn("high", F.least(F.round(share * float(1 << _BITS)).cast("long"), F.lit(1 << _BITS)))
     low = F.coalesce(F.lag("high").over(Window.orderBy("sid")), F.lit(0).cast("long"))
-    return filled.select("sid", "source", "source_size", "target", low.alias("low"), "high")
+    return filled.select("sid", "source", "source_size", "target", "n_blocks", "ranks", "last", low.alias("low"), "high")
 
 
 def _pieces(bound: Column) -> Column:
@@ -91,20 +104,33 @@ def _points_below(n: Column, pieces: Column) -> Column:
     return F.aggregate(pieces, F.lit(0).cast("long"), lambda a, x: a + count(x))
 
 
-def schedule(spark: SparkSession, weighted: DataFrame, slots: int, block: int, passes: int = PASSES) -> DataFrame:
-    """(slot, sid, rank, pass, block): what each slot reads. A source stops after its last pass."""
+def schedule(spark: SparkSession, weighted: DataFrame, slots: int, n_sources: int) -> DataFrame:
+    """(slot, sid, rank, pass, block, last): what each slot reads; last is how many words of its block,
+    of a source's last rank, and null for the others, which read it whole. Every rank of a source has
+    one slot."""
     points = spark.range(slots).select(F.col("id").alias("slot"), _reversed_bits(F.col("id"), F.lit(_BITS)).alias("point"))
-    shift = _BITS - _CELL_BITS
+    shift = _BITS - min(max(_CELL_BITS, n_sources.bit_length() + 2), _BITS - 8)
     points = points.withColumn("cell", F.shiftright("point", shift))
     spans = weighted.where("high > low").select(
-        "sid", "low", "high", F.ceil(F.col("source_size") / F.lit(block)).alias("n_blocks"),
+        "sid", "low", "high", "n_blocks", "ranks", "last",
         F.explode(F.sequence(F.shiftright("low", shift), F.shiftright(F.col("high") - 1, shift))).alias("cell"))
-    met = points.join(spans, "cell").where("point >= low AND point < high AND n_blocks > 0")
+    met = points.join(spans, "cell").where("point >= low AND point < high")
     bounds = weighted.select("sid", _pieces(F.col("low")).alias("below_low"), _pieces(F.col("high")).alias("below_high"))
-    met = met.join(small_side(bounds, weighted.count(), BROADCAST_BOUNDS), "sid")
-    rank = _points_below(F.col("slot"), F.col("below_high")) - _points_below(F.col("slot"), F.col("below_low"))
-    ranked = met.select("slot", "sid", "n_blocks", rank.alias("rank"))
-    return ranked.select("slot", "sid", "rank", F.expr("rank div n_blocks").alias("pass"), F.expr("rank % n_blocks").alias("block")).where(F.col("pass") < passes)
+    met = met.join(small_side(bounds, n_sources, BROADCAST_BOUNDS), "sid")
+
+    def met_before(n):
+        return _points_below(n, F.col("below_high")) - _points_below(n, F.col("below_low"))
+
+    ranked = met.select("slot", "sid", "n_blocks", "ranks", "last", met_before(F.col("slot")).alias("rank")).where("rank < ranks")
+    # The ranks that no point falls to: a few of each source.
+    left = weighted.join(small_side(bounds, n_sources, BROADCAST_BOUNDS), "sid").withColumn("had", met_before(F.lit(slots).cast("long"))).where("had < ranks")
+    before = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)
+    left = left.withColumn("base", F.lit(slots) + F.coalesce(F.sum(F.col("ranks") - F.col("had")).over(before), F.lit(0)))
+    left = left.select("sid", "n_blocks", "ranks", "last", "had", "base", F.explode(F.expr("sequence(had, ranks - 1)")).alias("rank"))
+    left = left.select((F.col("base") + F.col("rank") - F.col("had")).alias("slot"), "sid", "n_blocks", "ranks", "last", "rank")
+    every = ranked.unionByName(left)
+    return every.select("slot", "sid", "rank", F.expr("rank div n_blocks").alias("pass"), F.expr("rank % n_blocks").alias("block"),
+                        F.when(F.col("rank") == F.col("ranks") - 1, F.col("last")).alias("last"))
 
 
 def _shuffled(sized: DataFrame, n_rows: int) -> DataFrame:
@@ -127,22 +153,26 @@ def mixture(docs: DataFrame, slots: int = SLOTS, weights: tuple[int, ...] = WEIG
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("h"), word_count(F.col("text")).alias("size"))
     rows = staged(rows, "sized")
-    weighted = staged(sources(rows, weights, passes), "sources")
     n_rows, words = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    block = max(-(-words // slots), 1)
-    plan = schedule(spark, weighted, -(-words // block), block, passes)
-    uses = plan.groupBy("sid", "block").agg(F.count("*").alias("uses"))
+    block = min(max(-(-words // slots), 1), BLOCK)
+    weighted = staged(sources(rows, block, weights, passes), "sources")
+    n_sources, n_ranks = weighted.agg(F.count("*"), F.coalesce(F.sum("ranks"), F.lit(0))).first()
+    plan = schedule(spark, weighted, n_ranks, n_sources)
+    uses = plan.groupBy("sid", "block").agg(F.count_if(F.col("last").isNull()).alias("uses"), F.max("last").alias("last"))
 
-    n_sources = weighted.count()
     known = weighted.select("sid", F.col("source").alias("name"))
     rows = rows.join(small_side(known, n_sources, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("name"))).drop("name", "source")
-    placed = _shuffled(rows, n_rows)
+    placed = _shuffled(rows.where("size > 0"), n_rows)
     end = F.col("begin") + F.col("size")
-    cut = F.when(F.col("size") > 0, F.sequence(F.expr(f"begin div {block}"), F.expr(f"(begin + size - 1) div {block}")))
-    pieces = placed.select("*", F.explode_outer(cut).alias("block"))
-    length = F.least(end, (F.col("block") + 1) * block) - F.greatest(F.col("begin"), F.col("block") * block)
-    read = pieces.withColumn("length", length).join(uses, ["sid", "block"], "left")
-    taken = read.groupBy("doc_id", "h", "sid", "size", "begin").agg(F.coalesce(F.sum(F.col("length") * F.col("uses")), F.lit(0)).cast("long").alias("taken"))
+    cut = F.sequence(F.expr(f"begin div {block}"), F.expr(f"(begin + size - 1) div {block}"))
+    pieces = placed.select("*", F.explode(cut).alias("block"))
+    low, high = F.greatest(F.col("begin") - F.col("block") * block, F.lit(0)), F.least(end - F.col("block") * block, F.lit(block))
+    read = pieces.select("*", low.alias("from"), high.alias("to")).join(uses, ["sid", "block"], "left")
+    part = F.greatest(F.least("to", F.coalesce("last", F.lit(0))) - F.col("from"), F.lit(0))
+    length = F.coalesce((F.col("to") - F.col("from")) * F.col("uses"), F.lit(0)) + part
+    taken = read.groupBy("doc_id", "h", "sid", "size", "begin").agg(F.sum(length).cast("long").alias("taken")).drop("begin")
+    # Rows without words have no place, and none of them is told from another of its id.
+    taken = taken.unionByName(rows.where("size = 0").select("doc_id", "h", "sid", "size", F.lit(0).cast("long").alias("taken")))
     named = small_side(weighted.select("sid", "source", "source_size", "target"), n_sources, BROADCAST_SOURCES)
     return taken.join(named, "sid").select("doc_id", "h", "source", "size", "source_size", "target", "taken")
 
