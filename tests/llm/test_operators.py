@@ -322,6 +322,22 @@ def test_token_shards(documents, sample):
     assert got == want
 
 
+def test_long_texts_of_distinct_pieces(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_shards, "SLOTS", 1 << 10)
+    encoder, tokenizer = token_shards.Encoder(TOKENIZER, 2), Tokenizer.from_file(TOKENIZER)
+    rng = random.Random(5)
+    long = " ".join(f"{rng.randrange(10**9):x}" for _ in range(5000))
+    texts = ["", long, None, "a b", "x" * 3000 + " " + "é" * 800, long[:9000] + "\nend.", "", "so " * 900, ""]
+    for chunk in token_shards.chunks(pa.array(texts), token_shards.SPACED, lower=False, most=20_000):
+        ids, counts = encoder.encode(chunk)
+        want = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for t in texts[chunk.first_row : chunk.first_row + chunk.rows]]
+        assert ids.tolist() == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]
+    assert chunk.first_row + chunk.rows == len(texts)
+
+
 def test_wavelet_matrix():
     rng = np.random.default_rng(3)
     for n in (0, 1, 511, 512, 5000):

@@ -6,7 +6,8 @@ follows from the counts in the manifest, a row per shard.
 
 The tokenizer cuts a text before it merges, so a text can be cut at places where it always does: before a
 space or a line end between two characters other than white space, and between a letter and a mark.
-Pieces are hashed by array operations, and each distinct piece of a task is encoded once.
+Pieces are hashed by array operations, and each distinct piece of a task is encoded once while the table
+of pieces holds it. A long text is encoded in parts of bounded bytes, whose pieces always fit the table.
 
 Null text: empty, which is the end id alone. Null ids come first, repeated ids in the order of their
 texts. A text of any length is whole in one shard. An empty table gives no shard and no row. Other
@@ -26,11 +27,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.files import read_part, size_of, write_whole
 from tidemark.llm.wavelet import pack, unpack
-from tidemark.llm.words import SPACED, chunks
+from tidemark.llm.words import SPACED, Chunk, chunks
 from tidemark.sources.lake import new_folder, staged
 
 SHARD_IDS = 1 << 20
-#: Slots of a task's table of pieces, a power of two. It is emptied when half of them are taken.
+#: Slots of a task's table of pieces, a power of two. It is emptied when half of them are taken, and
+#: before pieces that would take more than three quarters.
 SLOTS = 1 << 21
 
 _VISIBLE = np.zeros(256, bool)
@@ -151,30 +153,50 @@ class Encoder:
 
     def encode(self, chunk) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of the chunk, each closed by the end id; number of ids of each)."""
-        if self.used > SLOTS // 2:
-            self.empty()
         starts = cuts(chunk.data, chunk.offsets)
         ends = np.append(starts[1:], len(chunk.data))
-        keys = chunk.span_hashes(starts, ends) | np.uint64(1)  # 0 is a free slot
+        bounds = np.searchsorted(starts, chunk.offsets[1:])  # pieces before the end of each text
+        ids, counts, first = [], [], 0
+        while first < len(starts) or not counts:
+            # Pieces of at most SLOTS // 2 bytes, so no more than as many pieces, or one longer piece.
+            last = first
+            if len(starts):
+                last = max(int(np.searchsorted(ends, starts[first] + SLOTS // 2, "right")), first + 1)
+            closed = bounds[(bounds > first if first else bounds >= 0) & (bounds <= last)] - first
+            x, n = self._part(chunk, starts[first:last], ends[first:last], closed)
+            ids.append(x)
+            counts.append(n)
+            first = last
+        total = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        return np.concatenate(ids), np.diff(total[bounds + np.arange(1, len(bounds) + 1)], prepend=0)
+
+    def _part(self, chunk, starts: np.ndarray, ends: np.ndarray, closed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the pieces, with the end id where a text is closed; number of ids of each piece and end)."""
+        if self.used > SLOTS // 2:
+            self.empty()
+        begin, end = (int(starts[0]), int(ends[-1])) if len(starts) else (0, 0)
+        data = chunk.data[begin:end]
+        s, e = starts - begin, ends - begin
+        keys = Chunk(0, data, chunk.offsets, s, e, closed).span_hashes(s, e) | np.uint64(1)  # 0 is a free slot
         slots = self._look(keys)
         if (new := np.flatnonzero(self.keys[slots] == 0)).size:
             fresh, first = np.unique(keys[new], return_index=True)
-            raw = chunk.data.tobytes()
             if self.used + len(fresh) > SLOTS * 3 // 4:
-                raise ValueError(f"more than {SLOTS * 3 // 4} distinct pieces in one text")
-            s, e = starts[new[first]], ends[new[first]]
-            strange, space = _strange(chunk.data), chunk.data[s] == 0x20
+                self.empty()
+                new = np.arange(len(keys))
+                fresh, first = np.unique(keys, return_index=True)
+            raw = data.tobytes()
+            s, e = s[new[first]], e[new[first]]
+            strange, space = _strange(data), data[s] == 0x20
             # A piece with one strange byte, the space before it, or with none at all.
             odd = strange[e] - strange[s]
             pieces = [raw[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)]
             self._learn(fresh, pieces, np.flatnonzero(space & (odd == 1) & (e - s > 1)), np.flatnonzero(odd == 0))
             slots[new] = self._look(keys[new])
-        bounds = np.searchsorted(starts, chunk.offsets[1:])
-        slots = np.insert(slots, bounds, SLOTS)
+        slots = np.insert(slots, closed, SLOTS)
         counts = self.count[slots]
         total = np.concatenate([[0], np.cumsum(counts)])
-        ids = self.pool[np.repeat(self.at[slots] - total[:-1], counts) + np.arange(total[-1])]
-        return ids, np.diff(total[bounds + np.arange(1, len(bounds) + 1)], prepend=0)
+        return self.pool[np.repeat(self.at[slots] - total[:-1], counts) + np.arange(total[-1])], counts
 
 
 def _write(folder: str, tokenizer_file: str, end_id: int, shard_ids: int):
