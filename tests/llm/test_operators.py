@@ -101,6 +101,30 @@ def test_disguised_spans(text, found):
     assert ",".join(f"{pii_spans.KINDS[k]}:{text[s:e]}" for s, k, e in spans) == found
 
 
+@pytest.mark.parametrize(("text", "found"), [
+    ("host one nine two dot one six eight dot zero dot one is up", "ip:one nine two dot one six eight dot zero dot one"),
+    ("host 192 dot one six eight [dot] zero dot 1 is up", "ip:192 dot one six eight [dot] zero dot 1"),
+    ("at one.two.three.four now", "ip:one.two.three.four"),
+    ("three zero zero dot one dot one dot one", ""),
+    ("call plus one four one five 555 0123 now", "phone:plus one four one five 555 0123"),
+    ("call plus one 415 555 0123 now", "phone:plus one 415 555 0123"),
+    ("call plus 1 415 555 0123 now", "phone:plus 1 415 555 0123"),
+    ("card four one one one 1111 1111 1111 ok", "card:four one one one 1111 1111 1111"),
+    ("card 4111 one one one one 1111 1111 ok", "card:4111 one one one one 1111 1111"),
+    ("card 4111 1111 1111 111 one ok", "card:4111 1111 1111 111 one"),
+    ("card four one one one 1111 1111 1112 ok", ""),
+    ("ask alice at gmail.com or so", "email:alice at gmail.com"),
+    ("ask Alice at mail dot example.co.uk, ok", "email:Alice at mail dot example.co.uk"),
+    ("ask bob at example [dot] com ok", "email:bob at example [dot] com"),
+    ("call +1 415 555 0123 two times", "phone:+1 415 555 0123"), ("one 4111 1111 1111 1111 card", "card:4111 1111 1111 1111"),
+    ("call +1 415 555 0123 two, three times", "phone:+1 415 555 0123"),
+    ("we met at noon. Later two of 12 left at 5.30", ""), ("plus one more dot com firm, at one o'clock", ""), ("one of 2 at home.", ""),
+])
+def test_spelled_and_mixed_spans(text, found):
+    spans = pii_spans.all_spans(text, pii_spans.base_spans(text))
+    assert ",".join(f"{pii_spans.KINDS[k]}:{text[s:e]}" for s, k, e in spans) == found
+
+
 def test_pii_rows(documents, sample):
     rows = sample + [(9100, "a@b.co and jоhn@exаmple.com " + "1" * 50_000)]
     got = {(r.doc_id, r.n_email, r.spans) for r in pii_spans.find_pii(documents(rows)).collect() if r.doc_id in (None, 9001, 9100)}

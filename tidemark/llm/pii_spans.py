@@ -2,8 +2,11 @@
 
 A transducer rewrites a text piece by piece: look-alike letters and digits of other scripts to ASCII,
 invisible characters to nothing, spelled digits and `plus` to their signs, and `at` and `dot` in
-brackets, or bare where they build an address, to `@` and `.`. It keeps, for every piece, where it came from.
-Identifiers are found in the rewritten text and their ends mapped back to the characters of the source.
+brackets, or bare where they build an address, to `@` and `.`. Spelled digits are rewritten in runs of two
+and more, and alone next to a digit or a dot; what is no identifier the patterns leave out. A run of fewer
+than RUN words next to an identifier of the text as it is stays, as in "+1 415 555 0123 two times". A bare
+`at` needs a domain with a known last label after it, with dots as signs, words or in brackets.
+It keeps, for every piece, where it came from. Identifiers are found in the rewritten text and their ends mapped back to the characters of the source.
 
 Base spans are found in the text as it is and always stay. A span of the rewritten text is added where
 it is not equal to, or inside, a base span of its kind. Patterns that would look at a long run again and again
@@ -96,25 +99,36 @@ _NOTHING = dict.fromkeys("­​‌‍⁠﻿", "")
 _CHARACTERS = _LETTERS | _SIGNS | _DIGIT_ROWS | _NOTHING
 _NUMBER_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9"}
 
+#: Spelled digits of a run that is rewritten even next to an identifier.
+RUN = 6
+
 # Last labels that make bare `at` and `dot` an address; fixed values.
 _TOP = "com|org|net|edu|gov|info|io|co|eu|uk|de|fr|es|it|nl|ch|at|us|ca|au|in|jp|cn|br|ru"
 
 _character = "[" + "".join(map(re.escape, _CHARACTERS)) + "]"
 _number = "|".join(_NUMBER_WORDS)
+_apart = r"[ \t,-]{1,3}"
+_bracket_dot = r"[ \t]{0,3}[\[({<][ \t]{0,2}(?:dot|\.)[ \t]{0,2}[\])}>][ \t]{0,3}"
+_dots = rf"(?: dot |\.|{_bracket_dot})"
 _REWRITE = re.compile(
     rf"(?P<character>{_character})"
-    rf"|(?P<digits>\b(?:plus[ \t,.-]{{1,3}})?(?:(?:{_number})\b(?:[ \t,-]{{1,3}}|\b)){{6,}})"
+    rf"|(?P<digits>\b(?:plus[ \t,.-]{{1,3}})?(?:{_number})\b(?:{_apart}(?:{_number})\b)*+)"
+    r"|(?P<plus>\bplus[ \t]{1,3}(?=[0-9]))"
     r"|(?P<at>[ \t]{0,3}[\[({<][ \t]{0,2}(?:at|@)[ \t]{0,2}[\])}>][ \t]{0,3})"
-    r"|(?P<dot>[ \t]{0,3}[\[({<][ \t]{0,2}(?:dot|\.)[ \t]{0,2}[\])}>][ \t]{0,3})"
-    rf"|(?P<bare>(?<=[A-Za-z0-9]) at (?=[A-Za-z0-9-]{{1,63}}(?: dot [A-Za-z0-9-]{{1,63}}){{0,4}} dot (?:{_TOP})\b))"
+    rf"|(?P<dot>{_bracket_dot})"
+    rf"|(?P<bare>(?<=[A-Za-z0-9]) at (?=[A-Za-z0-9-]{{1,63}}(?:{_dots}[A-Za-z0-9-]{{1,63}}){{0,4}}{_dots}(?:{_TOP})\b))"
     r"|(?P<bare_dot>(?<=[A-Za-z0-9]) dot (?=[A-Za-z0-9]))",
     re.IGNORECASE | re.ASCII)
+# What makes a single spelled digit one: a digit or a dot beside it.
+_BEFORE = re.compile(rf"(?:[0-9][ \t,.-]{{1,3}}|(?<=[A-Za-z0-9]) dot |[\[({{<][ \t]{{0,2}}(?:dot|\.)[ \t]{{0,2}}[\])}}>][ \t]{{0,3}}|\b(?:{_number})\.)\Z", re.IGNORECASE | re.ASCII)
+_AFTER = re.compile(rf"[ \t,.-]{{1,3}}[0-9]| dot [A-Za-z0-9]|{_bracket_dot}|\.(?:{_number})\b", re.IGNORECASE | re.ASCII)
+_GAP = re.compile(r"[ \t,.-]{0,3}")
 _CHARACTER = re.compile(_character)
 _FAR = re.compile("[\u00ad\u0250-\U0010ffff]")  # holds all of them, and is quicker to look for
-_PAIR = re.compile(rf"(?:{_number})[ \t,-]{{1,3}}(?:{_number})\b")
+_PAIR = re.compile(rf"(?:{_number})(?:[ \t,-]{{1,3}}|\.)(?:{_number})\b|\b(?:{_number}|plus)[ \t,.-]{{1,3}}[0-9]|[0-9][ \t,.-]{{1,3}}(?:{_number})\b")
+_AT = re.compile(rf" at [a-z0-9-]{{1,63}}(?:{_dots}[a-z0-9-]{{1,63}}){{0,4}}{_dots}(?:{_TOP})\b")
 _BRACKET = re.compile(r"[\[({<][ \t]{0,2}(?:at|AT|At|@|dot|DOT|Dot|\.)[ \t]{0,2}[\])}>]")
-_ONES = re.compile(r"(?:one|oh)[ \t,-]{1,3}(?:one|oh)\b")
-_OTHERS = tuple(w for w in _NUMBER_WORDS if w not in ("one", "oh"))
+_WORDS = tuple(_NUMBER_WORDS) + ("plus",)
 
 
 def _worth(text: str) -> bool:
@@ -122,7 +136,9 @@ def _worth(text: str) -> bool:
     if not text.isascii() and _FAR.search(text) and _CHARACTER.search(text) or _BRACKET.search(text):
         return True
     low = text.lower()
-    return " dot " in low or bool((_PAIR if any(w in low for w in _OTHERS) else _ONES).search(low))
+    if " dot " in low or " at " in low and _AT.search(low):
+        return True
+    return any(w in low for w in _WORDS) and bool(_PAIR.search(low))
 
 
 _NUMBER = re.compile(rf"plus|{_number}", re.IGNORECASE | re.ASCII)
@@ -131,7 +147,9 @@ _NUMBER = re.compile(rf"plus|{_number}", re.IGNORECASE | re.ASCII)
 class Rewritten:
     """The rewritten text, and for the start of each piece its place there and in the source."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, base: list[tuple[int, int, int]] = ()):
+        numbers = [(s, e) for s, kind, e in base if kind]
+        begins, finishes = {s for s, _ in numbers}, {e for _, e in numbers}
         out, self.starts, self.froms, self.copied, length, at = [], [], [], [], 0, 0
 
         def piece(new: str, begin: int, end: int, copied: bool):
@@ -143,7 +161,20 @@ class Rewritten:
                 out.append(new)
                 length += len(new)
 
+        def meant(m):
+            """Whether a run of spelled digits is rewritten."""
+            n = len(_NUMBER.findall(m[0])) - (m[0][0] in "pP")
+            if n >= RUN:
+                return True
+            before = source[max(m.start() - 3, 0) : m.start()]
+            gap = len(before) - len(before.rstrip(" \t,.-"))
+            if m.start() - gap in finishes or _GAP.match(source, m.end()).end() in begins:
+                return False
+            return n > 1 or bool(_AFTER.match(source, m.end()) or _BEFORE.search(source[max(m.start() - 16, 0) : m.start()]))
+
         for m in _REWRITE.finditer(source):
+            if m.lastgroup == "digits" and not meant(m):
+                continue
             piece(source[at : m.start()], at, m.start(), True)
             at = m.start()
             if m.lastgroup == "digits":
@@ -152,7 +183,7 @@ class Rewritten:
                     piece("+" if word == "plus" else _NUMBER_WORDS[word], w.start(), w.end(), False)
                     at = w.end()
             else:
-                new = _CHARACTERS[m[0]] if m.lastgroup == "character" else "@" if m.lastgroup in ("at", "bare") else "."
+                new = _CHARACTERS[m[0]] if m.lastgroup == "character" else "@" if m.lastgroup in ("at", "bare") else "+" if m.lastgroup == "plus" else "."
                 piece(new, m.start(), m.end(), False)
                 at = m.end()
         piece(source[at:], at, len(source), True)
@@ -173,7 +204,7 @@ def all_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
     """The base spans with those of the rewritten text that no base span of the kind holds."""
     if not _worth(text):
         return base
-    rewritten = Rewritten(text)
+    rewritten = Rewritten(text, base)
     held: dict[int, tuple[list[int], list[int]]] = {}
     for start, kind, end in base:
         starts, ends = held.setdefault(kind, ([], []))
