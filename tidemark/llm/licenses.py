@@ -3,8 +3,8 @@
 An exact set-similarity join of blocks and templates by containment. Template words are ordered by how
 often all documents have them, rarest first. A block that holds at least `need` of a template's words
 holds one of its rarest |T| - need + 1 (the prefix), so only those are looked for. Length (a block of
-fewer words than needed) and position (what can still follow the rarest word that was found) leave out
-more. What is left is checked word by word.
+fewer words than needed) and position (the places that the prefix words found leave free can hold one
+word each, of the need - 1 that are not in the prefix) leave out more. What is left is checked word by word.
 
 Blocks are BLOCK words long and begin every STRIDE words, so every stretch of STRIDE words is whole in
 one of them; a template may have at most STRIDE words. Template words are few: the templates are a
@@ -88,6 +88,15 @@ def _in_blocks(hits: DataFrame) -> DataFrame:
     return hits.withColumn("block", F.explode(blocks))
 
 
+def _candidates(hits: DataFrame) -> DataFrame:
+    """(doc_id, h, block, template) that can hold the words needed, from the prefix words found:
+    (doc_id, h, n, pos, template, rank, need), n words in the document."""
+    length = F.least(F.lit(BLOCK), F.col("n") - F.col("block") * STRIDE)
+    found = _in_blocks(hits).withColumn("length", length).where("length >= need").groupBy("doc_id", "h", "block", "template", "need").agg(
+        F.max("length").alias("length"), F.count("*").alias("places"), F.size(F.collect_set("rank")).alias("found"))
+    return found.where("found + least(need - 1, length - places) >= need").select("doc_id", "h", "block", "template")
+
+
 def scan_licenses(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, percent: int = CONTAINMENT_PERCENT) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row of docs
     (doc_id, text). The score is the largest containment of a template, and 1 where a phrase stands."""
@@ -105,17 +114,15 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TE
         order = sorted(t.words, key=lambda w: (counted.get(w, 0), w))
         need = -(-percent * len(order) // 100)
         rows.append((t.template, t.label, order, need))
-        prefix += [(w, t.template, i, len(order), need) for i, w in enumerate(order[: len(order) - need + 1])]
+        prefix += [(w, t.template, i, need) for i, w in enumerate(order[: len(order) - need + 1])]
     sets = spark.createDataFrame(rows, "template int, label string, members array<string>, need int")
-    probes = spark.createDataFrame(prefix, "word string, template int, rank int, size int, need int")
+    probes = spark.createDataFrame(prefix, "word string, template int, rank int, need int")
 
     keyed = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     split = keyed.select("doc_id", "h", split_words(F.col("text")).alias("words"))
     hits = split.select("doc_id", "h", F.size("words").alias("n"), F.posexplode("words").alias("pos", "word"))
     hits = hits.where(F.col("word").isin(sorted({p[0] for p in prefix}))).join(F.broadcast(probes), "word")
-    length = F.least(F.lit(BLOCK), F.col("n") - F.col("block") * STRIDE)
-    candidates = _in_blocks(hits).where(length >= F.col("need")).groupBy("doc_id", "h", "block", "template", "size", "need").agg(F.min("rank").alias("rank"))
-    candidates = staged(candidates.where("size - rank >= need").select("doc_id", "h", "block", "template"), "candidates")
+    candidates = staged(_candidates(hits), "candidates")
 
     # The words of candidate blocks, and how many of them are the template's.
     wanted = candidates.select(F.col("doc_id").alias("d"), F.col("h").alias("k")).distinct()
