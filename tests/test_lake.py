@@ -131,3 +131,23 @@ def test_record_cap_needs_a_limit(spark):
     with pytest.raises(TypeError):
         flat.record_cap(spark.range(3), "id")
     assert flat.record_cap(spark.range(9), "id", limit=2).count() == 2
+
+
+def test_scratch_removes_what_is_not_kept(spark):
+    import os
+
+    rows = spark.range(10).toDF("x")
+    before = spark.conf.get(lake.RELEASE, "false")
+    with lake.scratch(spark) as outer:
+        with lake.scratch(spark) as inner:
+            gone, early = lake.staged(rows, "gone"), lake.staged(rows, "early")
+            inner.drop(early)
+            assert not os.path.exists(early.staged_path)
+            kept = inner.keep(gone.where("x > 3").groupBy("x").count(), "kept")
+        assert not os.path.exists(gone.staged_path) and kept.count() == 6
+        result = outer.keep(kept, "result")
+    assert not os.path.exists(kept.staged_path) and result.count() == 6
+    with pytest.raises(ValueError), lake.scratch(spark):
+        lost = lake.staged(rows, "lost")
+        raise ValueError
+    assert not os.path.exists(lost.staged_path) and spark.conf.get(lake.RELEASE) == before

@@ -11,7 +11,9 @@ from __future__ import annotations
 import functools
 import os
 import tempfile
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +50,61 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write the frame to the shared folder and read it back, for a plan that uses it more than
     once. The table outlives executors, and later uses read only the columns they need."""
     path = new_folder(df.sparkSession, name)
+    if (scope := _SCOPE.get()) is not None:
+        scope.paths.add(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is in."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+class Scratch:
+    """The staged tables of one operator."""
+
+    def __init__(self, spark: SparkSession, outer: Scratch | None):
+        self.spark, self.outer, self.paths = spark, outer, set()
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove staged tables that nothing will read again."""
+        for path in {t.staged_path for t in tables} & self.paths:
+            remove(self.spark, path)
+            self.paths.discard(path)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """The frame as a staged table that outlives this scope: what the operator returns."""
+        table = staged(df, name)
+        self.paths.discard(table.staged_path)
+        if self.outer is not None:
+            self.outer.paths.add(table.staged_path)
+        return table
+
+
+_SCOPE: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """A scope that removes its staged tables at the end, also after a failure, and lets each query in
+    it release its shuffle files once it is done. Only what is passed to `keep` stays, so a frame that
+    still reads a staged table must not leave the scope unkept. While a query runs its files are all
+    there, and later queries read finished tables, so a lost executor needs nothing that was removed."""
+    scope, before = Scratch(spark, _SCOPE.get()), spark.conf.get(RELEASE, "false")
+    token = _SCOPE.set(scope)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        spark.conf.set(RELEASE, before)
+        for path in scope.paths:
+            remove(spark, path)
 
 
 # Landing
