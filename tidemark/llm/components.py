@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.sources.lake import staged
+from tidemark.sources.lake import scratch, staged
 
 MAX_ROUNDS = 100
 
@@ -37,15 +37,17 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the edges (a, b): the smallest node it can be reached from.
     Loops, repeated edges, either direction and an empty table are fine; edges with a null are left out.
     """
-    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges, before = staged(edges.distinct(), "edges"), None
-    for _ in range(MAX_ROUNDS):
-        edges = staged(_small_star(_large_star(edges)).where("a <> b").distinct(), "edges")
-        sign = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
-        if sign == before:
-            break
-        before = sign
-    else:
-        raise RuntimeError(f"no fixed point in {MAX_ROUNDS} rounds")
-    roots = edges.select(F.col("b").alias("a"), "b").distinct()
-    return edges.unionByName(roots).select(F.col("a").alias("node"), F.col("b").alias("component"))
+    with scratch(edges.sparkSession) as scope:
+        edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+        edges, before = staged(edges.distinct(), "edges"), None
+        for _ in range(MAX_ROUNDS):
+            last, edges = edges, staged(_small_star(_large_star(edges)).where("a <> b").distinct(), "edges")
+            scope.drop(last)
+            sign = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
+            if sign == before:
+                break
+            before = sign
+        else:
+            raise RuntimeError(f"no fixed point in {MAX_ROUNDS} rounds")
+        roots = edges.select(F.col("b").alias("a"), "b").distinct()
+        return scope.keep(edges.unionByName(roots).select(F.col("a").alias("node"), F.col("b").alias("component")), "components")

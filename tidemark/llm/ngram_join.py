@@ -15,9 +15,10 @@ binary search until T is reached or out of reach.
 * Every set has a 256-bit signature, which bounds from below how many members two sets differ in. A
   pair that the bound rules out is not probed; none that links is ruled out.
 * Members are compared with the pivots of their lists first; pairs that reach T make components. Only
-  pairs of one list in *different* components can still join anything, so only those are looked at
-  next: near copies by the thousand are never paired with each other, and no link between components
-  is lost.
+  pairs of one list in *different* components can still join anything, so only members that have such a
+  partner of a fitting size are looked at next: near copies by the thousand are never paired with each
+  other, and no link between components is lost.
+* Tables written on the way are removed when nothing reads them any more.
 * Documents with equal sets are one class. Copies are dropped where they meet, before any shuffle of
   postings, and come back with their class.
 
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.components import components
 from tidemark.llm.tables import small_side
 from tidemark.llm.words import SPACED, chunks, mixed, shingle_hashes
-from tidemark.sources.lake import staged
+from tidemark.sources.lake import Scratch, scratch, staged
 
 COUNTERS = 1 << 18
 #: Columns of a set's signature.
@@ -264,8 +265,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "members_a", "members_b").mapInArrow(_probe(percent), "a long, b long")
 
 
+def _with_rivals(lists: DataFrame, percent: int) -> DataFrame:
+    """Members of lists that hold another component's member of a size that may link. Sizes fall in
+    classes as wide as the threshold, so a partner is in the same class or one beside it."""
+    own = lists.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int"))
+    held = own.groupBy("shingle", "class").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    beside = held.select("shingle", F.explode(F.expr("array(class - 1, class, class + 1)")).alias("class"), "low", "high")
+    several = beside.groupBy("shingle", "class").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
+    return own.join(several.select("shingle", "class"), ["shingle", "class"], "left_semi").drop("class")
+
+
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs (doc_id, text)."""
+    with scratch(docs.sparkSession) as scope:
+        return scope.keep(_components(docs, size, percent, scope), "near")
+
+
+def _components(docs: DataFrame, size: int, percent: int, scope: Scratch) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described = staged(docs.mapInArrow(_describe(size), _DESCRIBED), "described")
@@ -314,8 +330,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
         of = reps.join(label, reps.rep == label.node, "left").groupBy("doc_id").agg(
             F.min(F.coalesce("component", "rep")).alias("label"), *(F.expr(f"if(min(rep) = max(rep), min({c}), NULL)").alias(c) for c in SIGN))
         marked = lists.select("shingle", "doc_id", "n", "pos").join(of, "doc_id")
-        several = marked.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        lists = staged(marked.join(several.select("shingle"), "shingle", "left_semi"), "lists")
+        last, lists = lists, staged(_with_rivals(marked, percent), "lists")
+        scope.drop(last)
         held = lists.groupBy("shingle", "label").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
         members, all_pairs = held.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum(F.expr("(m * m - s) / 2")), F.lit(0))).first()
         if all_pairs <= 2 * members or turn == MAX_TURNS:
@@ -332,6 +348,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> Dat
     pairs = aside.join(lists, "shingle").where("label < xl").where(_can_link("n", "pos", "xn", "xp", percent)).where(_signs_allow("", "x", percent))
     second = turned(by_class(pairs.select("x", F.col("doc_id").alias("y"))))
     second = staged(second.join(tested, ["a", "b"], "left_anti"), "pairs")
+    scope.drop(lists)
     more = staged(_verified(second, sets, percent), "links")
     final = components(edges.unionByName(more)) if more.take(1) else label
 

@@ -16,6 +16,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 
@@ -199,9 +200,15 @@ class Encoder:
         return self.pool[np.repeat(self.at[slots] - total[:-1], counts) + np.arange(total[-1])], counts
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(tokenizer_file: str, end_id: int) -> Encoder:
+    """One for each Python worker: a worker runs many tasks, and the pieces it has met stay known."""
+    return Encoder(tokenizer_file, end_id)
+
+
 def _write(folder: str, tokenizer_file: str, end_id: int, shard_ids: int):
     def run(batches):
-        encoder, part, seq = Encoder(tokenizer_file, end_id), TaskContext.get().partitionId(), 0
+        encoder, part, seq = _encoder(tokenizer_file, end_id), TaskContext.get().partitionId(), 0
         ids, counts, documents, held = [], [], [], 0
 
         def close():

@@ -21,10 +21,10 @@ BLOCK = 512
 
 
 class WaveletMatrix:
-    def __init__(self, n: int, zeros: list[int], planes: list[np.ndarray]):
-        """Planes are packed bits, each padded to whole blocks."""
+    def __init__(self, n: int, zeros: list[int], planes: list[np.ndarray], ranks: list[np.ndarray] | None = None):
+        """Planes are packed bits, each padded to whole blocks; without their ranks these are counted."""
         self.n, self.zeros, self.planes = n, zeros, planes
-        self.ranks = [np.concatenate([[0], np.cumsum(np.bitwise_count(p.view("<u8")).reshape(-1, BLOCK // 64).sum(1))]).astype(np.uint32) for p in planes]
+        self.ranks = ranks or [np.concatenate([[0], np.cumsum(np.bitwise_count(p.view("<u8")).reshape(-1, BLOCK // 64).sum(1))]).astype(np.uint32) for p in planes]
 
     @classmethod
     def build(cls, ids: np.ndarray, bits: int) -> WaveletMatrix:
@@ -126,11 +126,13 @@ def unpack(data: bytes) -> tuple[WaveletMatrix, np.ndarray, np.ndarray, np.ndarr
     at = 56
     raw = expand(at, documents)
     doc_ids, nulls, counts = np.frombuffer(raw, "<i8", m), np.frombuffer(raw, np.uint8, m, 8 * m), np.frombuffer(raw, "<u8", m, 9 * m)
-    at += documents + ranks
+    at += documents
+    before = np.frombuffer(expand(at, ranks), "<u4").reshape(bits, -1)
+    at += ranks
     entries = [struct.unpack_from("<2Q", data, at + 16 * i) for i in range(bits)]
     at += table
     planes = []
     for _, length in entries:
         planes.append(np.frombuffer(expand(at, length), np.uint8))
         at += length
-    return WaveletMatrix(n, [z for z, _ in entries], planes), doc_ids, nulls.astype(bool), counts
+    return WaveletMatrix(n, [z for z, _ in entries], planes, list(before)), doc_ids, nulls.astype(bool), counts
