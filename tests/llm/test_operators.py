@@ -277,8 +277,8 @@ def test_license_positions_leave_out_blocks(spark):
     # (document, words in it, places of the prefix word): five words are needed, four of them besides the prefix.
     hits = [("a", 64, [(i, 0) for i in range(61)]), ("b", 64, [(i, 0) for i in range(60)]), ("c", 64, [(i, i % 2) for i in range(61)]), ("d", 6, [(0, 0), (1, 0)]),
             ("e", 6, [(0, 0), (1, 0), (2, 0)]), ("f", 4, [(0, 0)])]
-    rows = [(d, 1, n, p, 7, r, 5) for d, n, own in hits for p, r in own]
-    df = spark.createDataFrame(rows, "doc_id string, h long, n int, pos int, template int, rank int, need int")
+    rows = [(d, 1, n, p, 7, 32, r, 5) for d, n, own in hits for p, r in own]
+    df = spark.createDataFrame(rows, "doc_id string, h long, n int, pos int, template int, stride int, rank int, need int")
     assert {r.doc_id for r in licenses._candidates(df).where("block = 0").collect()} == {"b", "c", "d"}
 
 

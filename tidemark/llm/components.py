@@ -51,3 +51,13 @@ def components(edges: DataFrame) -> DataFrame:
             raise RuntimeError(f"no fixed point in {MAX_ROUNDS} rounds")
         roots = edges.select(F.col("b").alias("a"), "b").distinct()
         return scope.keep(edges.unionByName(roots).select(F.col("a").alias("node"), F.col("b").alias("component")), "components")
+
+
+def with_rivals(lists: DataFrame, key: str, percent: int) -> DataFrame:
+    """Members (key, n, label, ...) of lists that hold another component's member of a size that may
+    link. Sizes fall in classes as wide as the threshold, so a partner is in the same class or one beside it."""
+    own = lists.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int"))
+    held = own.groupBy(key, "class").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    beside = held.select(key, F.explode(F.expr("array(class - 1, class, class + 1)")).alias("class"), "low", "high")
+    several = beside.groupBy(key, "class").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
+    return own.join(several.select(key, "class"), [key, "class"], "left_semi").drop("class")

@@ -6,10 +6,11 @@ holds one of its rarest |T| - need + 1 (the prefix), so only those are looked fo
 fewer words than needed) and position (the places that the prefix words found leave free can hold one
 word each, of the need - 1 that are not in the prefix) leave out more. What is left is checked word by word.
 
-Blocks are BLOCK words long and begin every STRIDE words, so every stretch of STRIDE words is whole in
-one of them; a template may have at most STRIDE words. Template words are few: the templates are a
-parameter of at most MAX_TEMPLATE_WORDS words in all, which are a set in the plan. Documents with a
-candidate are picked out by broadcast up to BROADCAST_DOCS and by shuffle beyond it.
+Blocks follow the template: its stride is the least power of two that holds its words (STRIDE at least),
+blocks are two strides long and begin every stride, so every stretch as long as the template is whole in one of them,
+whatever its length. Template words are a set in the plan while they are at most FEW_WORDS, and a joined
+table beyond that. Documents with a candidate are picked out by broadcast up to BROADCAST_DOCS and by
+shuffle beyond it.
 
 Besides, three fixed phrases are found as consecutive words. Null or empty text: no words, no labels.
 Rows of documents are all kept, with null and repeated ids; rows that repeat id and text have the same
@@ -23,12 +24,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import ascii_lower, plain_words, small_side, split_words
+from tidemark.llm.tables import among, plain_words, small_side, split_words
 from tidemark.sources.lake import staged
 
-BLOCK, STRIDE = 64, 32
+STRIDE = 32
 CONTAINMENT_PERCENT = 85
-MAX_TEMPLATE_WORDS = 5_000
+FEW_WORDS = 10_000
+BROADCAST_WORDS = 200_000
 BROADCAST_DOCS = 200_000
 
 #: Phrases of the fixed rule and their labels; fixed values.
@@ -49,14 +51,15 @@ TEMPLATES = {
 }
 
 
-def templates_frame(spark, templates: Mapping[str, tuple[str, ...]]) -> DataFrame:
-    """(template, label, words: distinct) of the templates."""
-    rows = [(i, label, text) for i, (label, text) in enumerate((k, t) for k, texts in templates.items() for t in texts)]
-    df = spark.createDataFrame(rows, "template int, label string, text string")
-    df = df.select("template", "label", plain_words(F.col("text")).alias("all"))
-    checked = F.when(F.size("all") <= STRIDE, F.array_distinct("all")).otherwise(
-        F.raise_error(F.lit(f"a template has more than {STRIDE} words")).cast("array<string>"))
-    return df.select("template", "label", checked.alias("words")).where(F.size("words") > 0)
+def templates_frame(spark, templates: Mapping[str, tuple[str, ...]] | DataFrame) -> DataFrame:
+    """(template, label, words: distinct, stride) of the templates, given by label or as a table (label, text)."""
+    if isinstance(templates, DataFrame):
+        df = templates.select(F.col("label").cast("string").alias("label"), F.col("text").cast("string").alias("text")).where("label IS NOT NULL").distinct()
+    else:
+        df = spark.createDataFrame([(label, text) for label, texts in templates.items() for text in texts], "label string, text string")
+    df = df.select(F.xxhash64("label", "text").alias("template"), "label", plain_words(F.col("text")).alias("all")).where(F.size("all") > 0)
+    stride = F.greatest(F.lit(STRIDE), F.pow(F.lit(2), F.ceil(F.log2(F.size("all"))))).cast("int")
+    return df.select("template", "label", F.array_distinct("all").alias("words"), stride.alias("stride"))
 
 
 def _base(docs: DataFrame) -> DataFrame:
@@ -82,46 +85,45 @@ def _base(docs: DataFrame) -> DataFrame:
 
 
 def _in_blocks(hits: DataFrame) -> DataFrame:
-    """Each hit in the two blocks that hold its place."""
-    own = F.floor(F.col("pos") / STRIDE)
+    """Each hit in the two blocks of its stride that hold its place."""
+    own = F.floor(F.col("pos") / F.col("stride"))
     blocks = F.when(own > 0, F.array(own, own - 1)).otherwise(F.array(own))
     return hits.withColumn("block", F.explode(blocks))
 
 
 def _candidates(hits: DataFrame) -> DataFrame:
-    """(doc_id, h, block, template) that can hold the words needed, from the prefix words found:
-    (doc_id, h, n, pos, template, rank, need), n words in the document."""
-    length = F.least(F.lit(BLOCK), F.col("n") - F.col("block") * STRIDE)
-    found = _in_blocks(hits).withColumn("length", length).where("length >= need").groupBy("doc_id", "h", "block", "template", "need").agg(
+    """(doc_id, h, stride, block, template) that can hold the words needed, from the prefix words found:
+    (doc_id, h, n, pos, template, stride, rank, need), n words in the document."""
+    length = F.least(2 * F.col("stride"), F.col("n") - F.col("block") * F.col("stride"))
+    found = _in_blocks(hits).withColumn("length", length).where("length >= need").groupBy("doc_id", "h", "stride", "block", "template", "need").agg(
         F.max("length").alias("length"), F.count("*").alias("places"), F.size(F.collect_set("rank")).alias("found"))
-    return found.where("found + least(need - 1, length - places) >= need").select("doc_id", "h", "block", "template")
+    return found.where("found + least(need - 1, length - places) >= need").select("doc_id", "h", "stride", "block", "template")
 
 
-def scan_licenses(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, percent: int = CONTAINMENT_PERCENT) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] | DataFrame = TEMPLATES, percent: int = CONTAINMENT_PERCENT) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row of docs
     (doc_id, text). The score is the largest containment of a template, and 1 where a phrase stands."""
     spark = docs.sparkSession
-    known = templates_frame(spark, templates).collect()
-    if sum(len(t.words) for t in known) > MAX_TEMPLATE_WORDS:
-        raise ValueError(f"templates have more than {MAX_TEMPLATE_WORDS} words")
-    vocabulary = sorted({w for t in known for w in t.words})
+    known = staged(templates_frame(spark, templates), "templates")
+    vocabulary = staged(known.select(F.explode("words").alias("word")).distinct(), "vocabulary")
+    n_words = vocabulary.count()
 
     # Global order of the template words: occurrences in all documents.
-    words = docs.select(F.explode(split_words(F.col("text"))).alias("word")).where(F.col("word").isin(vocabulary))
-    counted = {r.word: r.n for r in words.groupBy("word").agg(F.count("*").alias("n")).collect()}
-    prefix, rows = [], []
-    for t in known:
-        order = sorted(t.words, key=lambda w: (counted.get(w, 0), w))
-        need = -(-percent * len(order) // 100)
-        rows.append((t.template, t.label, order, need))
-        prefix += [(w, t.template, i, need) for i, w in enumerate(order[: len(order) - need + 1])]
-    sets = spark.createDataFrame(rows, "template int, label string, members array<string>, need int")
-    probes = spark.createDataFrame(prefix, "word string, template int, rank int, need int")
+    words = docs.select(F.explode(split_words(F.col("text"))).alias("word"))
+    counted = among(words, "word", vocabulary, n_words, FEW_WORDS, BROADCAST_WORDS).groupBy("word").agg(F.count("*").alias("n"))
+    ranks = known.select("template", F.explode("words").alias("word")).join(counted, "word", "left")
+    ranks = ranks.groupBy("template").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word"))).alias("order"))
+    need = F.ceil(F.lit(percent) * F.size("order") / F.lit(100)).cast("int")
+    sets = known.join(ranks, "template").select("template", "label", "stride", F.transform("order", lambda x: x["word"]).alias("members"), need.alias("need"))
+    sets = staged(sets, "sets")
+    prefix = F.slice("members", F.lit(1), F.size("members") - F.col("need") + 1)
+    probes = staged(sets.select("template", "stride", "need", F.posexplode(prefix).alias("rank", "word")), "probes")
+    rarest = probes.select("word").distinct()
 
     keyed = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     split = keyed.select("doc_id", "h", split_words(F.col("text")).alias("words"))
     hits = split.select("doc_id", "h", F.size("words").alias("n"), F.posexplode("words").alias("pos", "word"))
-    hits = hits.where(F.col("word").isin(sorted({p[0] for p in prefix}))).join(F.broadcast(probes), "word")
+    hits = among(hits, "word", rarest, n_words, FEW_WORDS, BROADCAST_WORDS).join(small_side(probes, probes.count(), BROADCAST_WORDS), "word")
     candidates = staged(_candidates(hits), "candidates")
 
     # The words of candidate blocks, and how many of them are the template's.
@@ -129,11 +131,16 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TE
     wanted = staged(wanted, "wanted")
     same = [F.col("doc_id").eqNullSafe(F.col("d")), F.col("h") == F.col("k")]
     chosen = keyed.join(small_side(wanted, wanted.count(), BROADCAST_DOCS), same, "left_semi")
-    found = chosen.select("doc_id", "h", F.posexplode(split_words(F.col("text"))).alias("pos", "word")).where(F.col("word").isin(vocabulary))
-    held = _in_blocks(found).groupBy("doc_id", "h", "block").agg(F.collect_set("word").alias("held"))
-    held = held.select(F.col("doc_id").alias("d"), F.col("h").alias("k"), F.col("block").alias("b"), "held")
-    checked = candidates.join(held, [F.col("doc_id").eqNullSafe(F.col("d")), F.col("h") == F.col("k"), F.col("block") == F.col("b")])
-    checked = checked.join(F.broadcast(sets), "template").withColumn("common", F.size(F.array_intersect("held", "members")))
+    found = chosen.select("doc_id", "h", F.posexplode(split_words(F.col("text"))).alias("pos", "word"))
+    found = among(found, "word", vocabulary, n_words, FEW_WORDS, BROADCAST_WORDS)
+    # A power of two for each length of templates, so a few strides.
+    strides = [r.stride for r in sets.select("stride").distinct().collect()]
+    found = found.withColumn("stride", F.explode(F.array(*[F.lit(x) for x in strides]) if strides else F.array().cast("array<int>")))
+    held = _in_blocks(found).groupBy("doc_id", "h", "stride", "block").agg(F.collect_set("word").alias("held"))
+    held = held.select(F.col("doc_id").alias("d"), F.col("h").alias("k"), F.col("stride").alias("s"), F.col("block").alias("b"), "held")
+    checked = candidates.join(held, [F.col("doc_id").eqNullSafe(F.col("d")), F.col("h") == F.col("k"), F.col("stride") == F.col("s"), F.col("block") == F.col("b")])
+    n_templates = sets.count()
+    checked = checked.join(small_side(sets.drop("stride"), n_templates, BROADCAST_WORDS // 1000), "template").withColumn("common", F.size(F.array_intersect("held", "members")))
     matched = checked.where("common >= need").groupBy(F.col("doc_id").alias("d"), F.col("h").alias("k")).agg(
         F.collect_set("label").alias("found"), F.max(F.col("common") / F.size("members")).alias("best"))
 

@@ -180,13 +180,16 @@ def mixture(docs: DataFrame, slots: int = SLOTS, weights: tuple[int, ...] = WEIG
 def mixed_documents(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """The mixed corpus, with the columns of docs: a document as often as it is read whole, and once
     more cut to the words read of it in part. `n_chars` is that of the text that stays."""
-    mix = mixture(docs, slots).groupBy(F.col("doc_id").alias("d"), F.col("h").alias("k")).agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"), F.count("*").alias("rows"))
-    mix = mix.where("taken > 0").select("d", "k", F.expr("size div rows").alias("size"), "taken")
-    once = docs.withColumn("k", F.xxhash64("text")).dropDuplicates(["doc_id", "k"])
-    rows = once.join(mix, [F.col("doc_id").eqNullSafe(F.col("d")), once.k == mix.k])
-    copies = F.sequence(F.lit(1).cast("long"), F.expr("(taken + size - 1) div size"))
-    rows = rows.withColumn("copy", F.explode(copies))
-    part = F.when(F.col("copy") * F.col("size") > F.col("taken"), F.col("taken") % F.col("size"))
+    mix = mixture(docs, slots).groupBy(F.col("doc_id").alias("_mix_id"), F.col("h").alias("_mix_hash"), F.col("source").alias("_mix_source"))
+    mix = mix.agg(F.sum("size").alias("size"), F.sum("taken").alias("_taken"), F.count("*").alias("_rows")).where("_taken > 0")
+    mix = mix.select("_mix_id", "_mix_hash", "_mix_source", F.expr("size div _rows").alias("_size"), "_taken")
+    # A row is told by id, text and source: a text that two sources have is read for each of them.
+    once = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash", "source"])
+    same = [F.col("doc_id").eqNullSafe(F.col("_mix_id")), F.col("_hash") == F.col("_mix_hash"), F.col("source").eqNullSafe(F.col("_mix_source"))]
+    rows = once.join(mix, same)
+    copies = F.sequence(F.lit(1).cast("long"), F.expr("(_taken + _size - 1) div _size"))
+    rows = rows.withColumn("_copy", F.explode(copies))
+    part = F.when(F.col("_copy") * F.col("_size") > F.col("_taken"), F.col("_taken") % F.col("_size"))
     cut = F.regexp_extract("text", r"^[\x20\x09-\x0D]*", 0)
     first = F.concat(cut, F.concat_ws(" ", F.slice(F.split(F.substr("text", F.length(cut) + 1), r"[\x20\x09-\x0D]+"), F.lit(1), part.cast("int"))))
     text = F.when(part.isNull(), F.col("text")).otherwise(first)

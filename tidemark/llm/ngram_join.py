@@ -36,8 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
-from tidemark.llm.tables import small_side
+from tidemark.llm.components import components, with_rivals
+from tidemark.llm.stars import proved
 from tidemark.llm.words import SPACED, chunks, mixed, shingle_hashes
 from tidemark.sources.lake import Scratch, scratch, staged
 
@@ -45,12 +45,11 @@ COUNTERS = 1 << 18
 #: Columns of a set's signature.
 SIGN = ["s1", "s2", "s3", "s4"]
 SLICES = 64
-#: Ids up to this many are sent to all executors to pick out documents (16 bytes each); more are joined.
-BROADCAST_IDS = 1_000_000
 #: Turns of other pivots at most. What they leave is compared pair by pair.
 MAX_TURNS = 1
-#: Bytes of sets in one Arrow batch of the probing step.
-BATCH_BYTES = 16 << 20
+#: Orders of documents by which lists choose their pivots, a power of two: with one order for all lists a
+#: document is compared with few pivots, and with several a pivot that does not link leaves others.
+PIVOTS = 4
 
 
 def _sets(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -209,21 +208,12 @@ def _can_link(n1: str, p1: str, n2: str, p2: str, percent: int):
                   f" AND 1 + least({n1} - {p1}, {n2} - {p2}) - 1 >= {need}")
 
 
-def _live_sets(size: int, shared, wanted=None):
-    """(doc_id, members: sorted shingles as bytes, n) of the documents."""
+def _ordered_sets(size: int, shared):
+    """(row, set with its shortest lists first) of each text."""
 
-    def run(batches):
-        for batch in batches:
-            rows, held, ids = [], 0, batch.column("doc_id").to_pylist()
-            for row, s in _sets(batch.column("text"), size):
-                if len(s):
-                    rows.append((ids[row], _ordered(s, shared.value).tobytes()))
-                    held += s.nbytes
-                if held > BATCH_BYTES:
-                    yield pa.RecordBatch.from_pydict({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "members": [r[1] for r in rows]})
-                    rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "members": [r[1] for r in rows]})
+    def run(texts: pa.Array):
+        for row, s in _sets(texts, size):
+            yield row, _ordered(s, shared.value)
 
     return run
 
@@ -242,37 +232,12 @@ def reaches(query: np.ndarray, lists: np.ndarray, need: int) -> bool:
     return hits >= need
 
 
-def _probe(percent: int):
-    def run(batches):
-        for batch in batches:
-            out_a, out_b = [], []
-            held_b, held = None, None
-            for a, b, x, y in zip(*(batch.column(c) for c in ("a", "b", "members_a", "members_b")), strict=True):
-                if held_b is None or held_b != y:
-                    held_b, held = y, np.sort(np.frombuffer(y.as_py(), np.uint64))
-                query = np.frombuffer(x.as_py(), np.uint64)
-                need = -(-percent * (len(query) + len(held)) // (100 + percent))
-                if reaches(query, held, need):
-                    out_a.append(a.as_py()), out_b.append(b.as_py())
-            yield pa.RecordBatch.from_pydict({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
-
-    return run
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    a = sets.select(F.col("doc_id").alias("a"), F.col("members").alias("members_a"))
-    b = sets.select(F.col("doc_id").alias("b"), F.col("members").alias("members_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "members_a", "members_b").mapInArrow(_probe(percent), "a long, b long")
-
+def _links(percent: int):
+    def test(query: np.ndarray, other: np.ndarray) -> bool:
+        need = -(-percent * (len(query) + len(other)) // (100 + percent))
+        return reaches(query, np.sort(other), need)
 
-def _with_rivals(lists: DataFrame, percent: int) -> DataFrame:
-    """Members of lists that hold another component's member of a size that may link. Sizes fall in
-    classes as wide as the threshold, so a partner is in the same class or one beside it."""
-    own = lists.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int"))
-    held = own.groupBy("shingle", "class").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    beside = held.select("shingle", F.explode(F.expr("array(class - 1, class, class + 1)")).alias("class"), "low", "high")
-    several = beside.groupBy("shingle", "class").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
-    return own.join(several.select("shingle", "class"), ["shingle", "class"], "left_semi").drop("class")
+    return test
 
 
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
@@ -295,7 +260,7 @@ def _components(docs: DataFrame, size: int, percent: int, scope: Scratch) -> Dat
 
     posted = docs.mapInArrow(_postings(size, percent, shared), "shingle long, doc_id long, n int, pos int")
     shards = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    lists = posted.repartition(shards, "shingle").sortWithinPartitions("shingle", F.xxhash64("shingle", "doc_id"), "doc_id")
+    lists = posted.repartition(shards, "shingle").sortWithinPartitions("shingle", F.xxhash64(F.col("shingle").bitwiseAND(PIVOTS - 1), "doc_id"), "doc_id")
     kept = "shingle long, doc_id long, n int, pos int, pivot long, pivot_n int, pivot_pos int"
     lists = staged(lists.mapInArrow(_with_pivots, kept), "lists")
 
@@ -313,15 +278,13 @@ def _components(docs: DataFrame, size: int, percent: int, scope: Scratch) -> Dat
     first = by_class(first.select(F.col("doc_id").alias("x"), F.col("pivot").alias("y")))
     first = staged(turned(first), "pairs")
 
-    # Every document that occurs in a list of two or more may be asked for; its set is kept once.
-    live = staged(lists.select("doc_id").distinct().join(reps, "doc_id").select(F.col("rep").alias("doc_id")).distinct(), "live")
-    chosen = docs.join(small_side(live, live.count(), BROADCAST_IDS), "doc_id", "left_semi")
-    sets = staged(chosen.mapInArrow(_live_sets(size, shared), "doc_id long, members binary"), "sets")
+    def verified(pairs: DataFrame) -> DataFrame:
+        return proved(docs, pairs, _ordered_sets(size, shared), _links(percent))
 
     # Texts that share an id belong together, whatever their sets.
     several = classes.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("m")).where("b <> m").select("doc_id", "b")
     same_id = classes.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
-    edges, tested = staged(_verified(first, sets, percent).unionByName(same_id), "links"), first
+    edges, tested = staged(verified(first).unionByName(same_id), "links"), first
     label = staged(components(edges), "labels")
 
     # What is left: members of one list in different components. Other pivots first, while all pairs of
@@ -330,7 +293,7 @@ def _components(docs: DataFrame, size: int, percent: int, scope: Scratch) -> Dat
         of = reps.join(label, reps.rep == label.node, "left").groupBy("doc_id").agg(
             F.min(F.coalesce("component", "rep")).alias("label"), *(F.expr(f"if(min(rep) = max(rep), min({c}), NULL)").alias(c) for c in SIGN))
         marked = lists.select("shingle", "doc_id", "n", "pos").join(of, "doc_id")
-        last, lists = lists, staged(_with_rivals(marked, percent), "lists")
+        last, lists = lists, staged(with_rivals(marked, "shingle", percent), "lists")
         scope.drop(last)
         held = lists.groupBy("shingle", "label").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
         members, all_pairs = held.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum(F.expr("(m * m - s) / 2")), F.lit(0))).first()
@@ -341,7 +304,7 @@ def _components(docs: DataFrame, size: int, percent: int, scope: Scratch) -> Dat
         near = turned(by_class(near.select(F.col("doc_id").alias("x"), F.col("p.doc_id").alias("y"))))
         near = staged(near.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(near)
-        edges = edges.unionByName(staged(_verified(near, sets, percent), "links"))
+        edges = edges.unionByName(verified(near))
         label = staged(components(edges), "labels")
 
     aside = lists.select("shingle", F.col("doc_id").alias("x"), F.col("n").alias("xn"), F.col("pos").alias("xp"), F.col("label").alias("xl"), *(F.col(c).alias("x" + c) for c in SIGN))
@@ -349,7 +312,7 @@ def _components(docs: DataFrame, size: int, percent: int, scope: Scratch) -> Dat
     second = turned(by_class(pairs.select("x", F.col("doc_id").alias("y"))))
     second = staged(second.join(tested, ["a", "b"], "left_anti"), "pairs")
     scope.drop(lists)
-    more = staged(_verified(second, sets, percent), "links")
+    more = verified(second)
     final = components(edges.unionByName(more)) if more.take(1) else label
 
     found = reps.join(final, reps.rep == final.node, "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, licenses, line_dedup, mixing, ngram_join, pii_spans, quality_rules, token_shards, transcripts, warc
+from tidemark.llm import bottomk, collocations, decontaminate, lexical, licenses, line_dedup, mixing, ngram_join, pii_spans, quality_rules, token_shards, transcripts, warc
 from tidemark.llm.tables import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,12 +57,83 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"), "text")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_pii, op3_quality_rules, op4_mixing, op5_licenses, op6_warc, op7_ngram_join, op8_chat_format, op9_token_shards, op10_line_dedup)
+    for f in (op1_decontaminate, op2_pii, op3_quality_rules, op4_mixing, op5_licenses, op6_warc, op7_ngram_join, op8_chat_format, op9_token_shards, op10_line_dedup,
+              op11_collocations, op12_lexical_search, op13_near_duplicates)
 }
 
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _near_sql(size: int, percent: int, columns: str) -> str:
+    """Components of the documents linked by the Jaccard similarity of their word shingles."""
+    return f"""
+        WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - {size} + 2), lambda i: array_to_string(w[i:i + {size - 1}], ' ')) END) AS x
+            FROM split),
+        sizes AS (SELECT doc_id, count(x) AS n FROM split LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+        links AS MATERIALIZED (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+            JOIN sizes m ON m.doc_id = a.doc_id JOIN sizes n ON n.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, m.n, n.n HAVING 100 * count(*) >= {percent} * (m.n + n.n - count(*))),
+        reached AS (SELECT a AS node, a AS other FROM links UNION SELECT r.node, l.b FROM reached r JOIN links l ON r.other = l.a),
+        smallest AS (SELECT node, min(other) AS low FROM reached GROUP BY node),
+        found AS (SELECT doc_id, n AS n_shingles, coalesce(low, doc_id) AS component_id FROM sizes LEFT JOIN smallest ON node = doc_id)
+        SELECT {columns} FROM found"""
+
+
 ORACLES: dict[str, str] = {
+    "op7_ngram_join": _near_sql(5, 75, "doc_id, n_shingles, component_id"),
+    "op11_collocations": f"""
+        WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+        split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+        grams AS (
+            SELECT lang, k, p, count(*) AS f
+            FROM (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS p FROM split, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k)
+            GROUP BY lang, k, p),
+        sizes AS (SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang),
+        candidates AS (SELECT lang, k, p, f AS a FROM grams WHERE k > 1 AND f >= 10),
+        covered AS (SELECT lang, p[1:2] AS p, a FROM candidates WHERE k = 3 UNION ALL SELECT lang, p[2:3], a FROM candidates WHERE k = 3),
+        kept AS (SELECT * FROM candidates c WHERE NOT EXISTS (SELECT 1 FROM covered o WHERE o.lang = c.lang AND o.p = c.p AND 100 * o.a >= 50 * c.a)),
+        cuts AS (
+            SELECT c.lang, c.p, c.a, cut, x.f AS l, y.f AS r,
+                   CAST((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+            FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept) c
+            JOIN grams x ON x.lang = c.lang AND x.p = c.p[1:c.cut] JOIN grams y ON y.lang = c.lang AND y.p = c.p[c.cut + 1:c.k]),
+        lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+        ranked AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score,
+                          row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank FROM lowest)
+        SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000""",
+    "op12_lexical_search": f"""
+        WITH split AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        held AS (SELECT doc_id, len(w) AS n, w FROM split WHERE len(w) > 0),
+        totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM held),
+        postings AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(w) AS t FROM held) GROUP BY doc_id, n, t),
+        weights AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM postings, totals GROUP BY t),
+        asked AS (
+            SELECT item_id, t, count(*) AS times
+            FROM (SELECT item_id, unnest(regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark) GROUP BY item_id, t),
+        scored AS (
+            SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words)))) AS BIGINT) AS score
+            FROM asked JOIN weights USING (t) JOIN postings USING (t), totals GROUP BY item_id, doc_id),
+        ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op13_near_duplicates": _near_sql(2, 80, "doc_id, n_shingles, component_id, doc_id = component_id AS kept"),
     "op6_warc": """
         SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
                CASE WHEN strlen(html) >= 100 AND page_id > min(page_id) OVER (PARTITION BY html) THEN 'revisit' ELSE 'response' END AS record_type,
