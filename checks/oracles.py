@@ -239,6 +239,26 @@ CTES["nested"] = f"""
 CTES["parsed"] = "SELECT * FROM flat UNION ALL SELECT * FROM nested"
 
 
+# The same chain over postings with city texts and without some companies.
+CTES["sparse_postings"] = """
+    SELECT * REPLACE (
+        CASE CAST(job_id AS BIGINT) % 5 WHEN 0 THEN '台北市' || city WHEN 1 THEN '於新竹縣' || city WHEN 2 THEN '遠端' WHEN 3 THEN city END AS city,
+        CASE WHEN CAST(job_id AS BIGINT) % 3 <> 0 THEN company END AS company)
+    FROM postings"""
+_CHAIN = ("postings", "cleaned", "ranked", "deduped", "norm", "skills", "benchmark", "kpi")
+for _name in _CHAIN[1:]:
+    _body = CTES[_name]
+    for _before in _CHAIN:
+        _body = _body.replace(f"FROM {_before}\n", f"FROM sparse_{_before}\n").replace(f"FROM {_before} ", f"FROM sparse_{_before} ").replace(f"FROM {_before})", f"FROM sparse_{_before})")
+        if _body.endswith(f"FROM {_before}"):
+            _body = _body.removesuffix(_before) + f"sparse_{_before}"
+    if _name == "cleaned":
+        _body = _body.replace("city AS region", """CASE CAST(job_id AS BIGINT) % 5 WHEN 0 THEN '台北市' WHEN 1 THEN '於新竹縣' WHEN 2 THEN '遠端' ELSE '其他' END AS region""")
+    if _name == "ranked":
+        _body = _body.replace("lower(trim(company))", "coalesce(lower(trim(company)), '')")
+    CTES[f"sparse_{_name}"] = _body
+
+
 def _sql(select: str) -> str:
     """The select with the blocks it needs, directly or through others, in order."""
     needed, text = [], select
@@ -265,6 +285,14 @@ _CITIES = """
 
 _TOPIC = "|".join(TOPIC_WORDS)
 
+REPOSTED = """
+        SELECT *, coalesce(substr(posted_date, 1, 7), substr(fetched_at, 1, 7)) AS month
+        FROM (SELECT * REPLACE (
+                  CASE WHEN source = 'f' THEN 'again ' || title ELSE title END AS title,
+                  CASE WHEN source = 'f' THEN strftime(CAST(posted_date AS DATE) + INTERVAL 1 MONTH, '%Y-%m-%d') ELSE posted_date END AS posted_date,
+                  CASE WHEN source = 'f' THEN strftime(CAST(fetched_at AS DATE) + INTERVAL 1 MONTH, '%Y-%m-%d') ELSE fetched_at END AS fetched_at)
+              FROM postings)"""
+
 SELECTS: dict[str, str] = {
     "bronze_scan": "SELECT * FROM postings",
     "bronze_landing": """
@@ -272,6 +300,8 @@ SELECTS: dict[str, str] = {
                           CASE WHEN source = 'f' THEN fetched_at || 'T01' ELSE fetched_at END
                               AS fetched_at)
         FROM postings""",
+    "bronze_merge": REPOSTED,
+    "bronze_intake": REPOSTED,
     "silver_roundtrip": "SELECT * FROM cleaned",
     "mart_sink": "SELECT * FROM benchmark",
     "mart_sink_monthly": "SELECT * FROM monthly",
@@ -281,10 +311,13 @@ SELECTS: dict[str, str] = {
         SELECT 'cleaned' AS stage, count(*) AS n_rows FROM cleaned
         UNION ALL SELECT 'deduplicated', count(*) FROM deduped
         UNION ALL SELECT 'with_pay', count(salary_monthly_mid) FROM norm
-        UNION ALL SELECT 'skill_rows', count(*) FROM skills""",
+        UNION ALL SELECT 'skill_rows', count(*) FROM skills
+        UNION ALL SELECT 'distinct_skills', count(DISTINCT skill) FROM skills""",
     "conform": "SELECT * FROM postings",
     "parse_flat": "SELECT * FROM flat",
     "parse_nested": "SELECT * FROM nested",
+    "parse_flat_json": "SELECT * FROM flat",
+    "parse_nested_json": "SELECT * FROM nested",
     "union_sources": "SELECT * FROM parsed",
     "topic_filter": f"""
         SELECT title, category, name2 AS subcategory, url
@@ -297,6 +330,11 @@ SELECTS: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY event_type, user_id
                                          ORDER BY ts DESC, event_id DESC) AS rn FROM events)
         WHERE rn = 1""",
+    "upsert_located": """
+        SELECT * EXCLUDE (rn) FROM (
+            SELECT *, row_number() OVER (PARTITION BY event_type, user_id
+                                         ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+        WHERE rn = 1""",
     "parse_number": """
         SELECT c_custkey,
                CASE WHEN c_acctbal > 0 THEN c_acctbal END AS with_commas,
@@ -353,6 +391,7 @@ SELECTS: dict[str, str] = {
         SELECT source, job_id, salary_monthly_min, salary_monthly_max, salary_monthly_mid
         FROM ({_with_pay('cleaned ')})""",
     "dedup_latest": "SELECT * FROM deduped",
+    "dedup_located": "SELECT * FROM deduped",
     "dedup_seen": """
         SELECT company, title, region, first_seen, last_seen, times_seen FROM deduped""",
     "term_match": f"""
@@ -360,9 +399,24 @@ SELECTS: dict[str, str] = {
     "term_match_documents": f"""
         SELECT doc_id, lang, {_term_list(LANGUAGE_TERMS, 'lowered')} AS terms
         FROM (SELECT doc_id, lang, lower(text) AS lowered FROM documents)""",
+    "term_match_join": """
+        WITH lowered_docs AS (SELECT doc_id, lower(text) AS t FROM documents),
+        pairs AS (SELECT DISTINCT unnest(regexp_extract_all(t, '[a-z0-9]+ [a-z0-9]+')) AS alias FROM lowered_docs),
+        parts AS (SELECT DISTINCT unnest(regexp_extract_all(t, '[a-z][éñçßäöüó][a-z]')) AS alias FROM lowered_docs),
+        split AS (SELECT doc_id, regexp_extract_all(t, '[a-z0-9]+|[^a-z0-9]+') AS k FROM lowered_docs),
+        beside AS (SELECT DISTINCT doc_id, k[i] || ' ' || k[i + 2] AS alias
+                   FROM (SELECT doc_id, k, unnest(range(1, len(k) - 1)) AS i FROM split) WHERE k[i + 1] = ' '),
+        found AS (SELECT doc_id, alias AS skill FROM beside SEMI JOIN pairs USING (alias)
+                  UNION ALL SELECT doc_id, 'part ' || alias FROM lowered_docs JOIN parts ON contains(t, alias))
+        SELECT doc_id, CAST(count(skill) AS INT) AS n_terms, md5(coalesce(string_agg(skill, ',' ORDER BY skill), '')) AS terms_md5
+        FROM lowered_docs LEFT JOIN found USING (doc_id) GROUP BY doc_id""",
     "term_extract": "SELECT * FROM skills",
     "demand_monthly": "SELECT * FROM monthly",
     "skill_totals": "SELECT * FROM totals",
+    "demand_bitmap": """
+        SELECT skill, max(category) AS category, year_month, false AS is_total, count(DISTINCT concat_ws('-', source, job_id)) AS postings
+        FROM skills GROUP BY skill, year_month
+        UNION ALL SELECT skill, category, NULL, true, total_postings FROM totals""",
     "mom_change": "SELECT * FROM mom",
     "mom_change_calendar": _mom(
         """(SELECT p.postings FROM monthly AS p WHERE p.skill = monthly.skill
@@ -373,6 +427,9 @@ SELECTS: dict[str, str] = {
     "pay_percentiles": _percentiles("skill, region, seniority", "skill, region, seniority"),
     "pay_percentiles_sketch": _percentiles("skill, region, seniority", "skill, region, seniority"),
     "salary_benchmark": "SELECT * FROM benchmark",
+    "salary_benchmark_merged": "SELECT * FROM benchmark",
+    "regions_benchmark": "SELECT * FROM sparse_benchmark",
+    "sparse_kpi": "SELECT * FROM sparse_kpi",
     "market_kpi": "SELECT * FROM kpi",
     "feed_skills": """
         SELECT * FROM overview WHERE category = 'product'

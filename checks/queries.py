@@ -10,11 +10,13 @@ from tidemark.functions import keys as K
 from tidemark.functions import pay as P
 from tidemark.functions import pii
 from tidemark.functions import text as X
+from tidemark.operators import bitmaps
 from tidemark.operators import marts as M
 from tidemark.operators import terms as T
+from tidemark.operators import term_join
 from tidemark.operators.clean import clean, posting_text
 from tidemark.operators.conform import conform
-from tidemark.operators.latest import dedup_latest, upsert_latest
+from tidemark.operators.latest import dedup_latest, dedup_located, upsert_latest, upsert_located
 from tidemark.operators.pay import pay_norm
 from tidemark.operators.percentiles import pay_percentiles
 from tidemark.plans import feeds, pipeline
@@ -58,6 +60,30 @@ def bronze_landing(spark: SparkSession, sf: str) -> DataFrame:
     return lake.scan_bronze(spark, path)
 
 
+@query
+def bronze_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Three merges into the current table: every posting, those of one source again with another title and
+    a month later, and those of another as they were before, which changes nothing."""
+    path = lake.new_folder(spark, "current")
+    first = conform(V.postings(spark, sf))
+    lake.merge_current(first, path)
+    lake.merge_current(V.reposted(first), path)
+    lake.merge_current(first.filter("source = 'o'").withColumns({"title": F.lit("early"), "fetched_at": F.lit("1990-01-01")}), path)
+    return lake.read_current(spark, path)
+
+
+@query
+def bronze_intake(spark: SparkSession, sf: str) -> DataFrame:
+    """Files put into a folder one after the other, taken in after each, and once with nothing new."""
+    source, root = lake.new_folder(spark, "incoming"), lake.new_folder(spark, "lake")
+    first = conform(V.postings(spark, sf))
+    for batch in (first, V.reposted(first)):
+        batch.write.mode("append").option("ignoreNullFields", False).json(source)
+        lake.intake(spark, source, root, files_per_batch=3)
+    lake.intake(spark, source, root)
+    return lake.read_current(spark, f"{root}/current")
+
+
 @query
 def silver_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     root = lake.new_folder(spark, "silver")
@@ -116,6 +142,31 @@ def parse_nested(spark: SparkSession, sf: str) -> DataFrame:
     return nested.parse_nested(V.nested_payloads(spark, sf), fetched_at=F.lit(V.FETCHED))
 
 
+def _one_array(spark: SparkSession, records: DataFrame, top: str, end: str) -> str:
+    """The records in one file that is a JSON array."""
+    path = lake.new_folder(spark, "array")
+    text = F.concat(F.to_json(F.struct(*records.columns)), F.lit(","))
+    ends = [spark.createDataFrame([(x,)], "value string").coalesce(1) for x in (top, end)]
+    ends[0].unionByName(records.select(text.alias("value"))).unionByName(ends[1]).coalesce(1).write.text(path)
+    return path
+
+
+@query
+def parse_flat_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Records with array, object and number fields, from one wrapped array in one file."""
+    records = V.flat_records(spark, sf).withColumns({
+        "TAGS": F.array(F.lit("a"), F.lit('b"]}')), "GEO": F.struct(F.lit(1.5).alias("x"), F.lit("{").alias("y")), "N": F.lit(7)})
+    path = _one_array(spark, records, '{"total": [1], "data": [', "null]}")
+    return flat.parse_flat(flat.read_array(spark, path, 1 << 20), fetched_at=F.lit(V.FETCHED))
+
+
+@query
+def parse_nested_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads whose lists are objects, texts and numbers, from one array in one file."""
+    path = _one_array(spark, V.nested_payloads(spark, sf), "[", "null]")
+    return nested.parse_nested(nested.read_array(spark, path, 1 << 20), fetched_at=F.lit(V.FETCHED))
+
+
 @query
 def union_sources(spark: SparkSession, sf: str) -> DataFrame:
     return nested.union_sources(parse_flat(spark, sf), parse_nested(spark, sf))
@@ -145,6 +196,14 @@ def upsert_latest_events(spark: SparkSession, sf: str) -> DataFrame:
     return upsert_latest(old, new, ("event_type", "user_id"), ("ts", "event_id"))
 
 
+@named("upsert_located")
+def upsert_located_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The same on narrow rows."""
+    events = V.table(spark, sf, "events")
+    old, new = events.filter(F.col("ts") < SPLIT_DAY), events.filter(F.col("ts") >= SPLIT_DAY)
+    return upsert_located(old, new, ("event_type", "user_id"), ("ts", "event_id"))
+
+
 # Scalar functions
 
 @query
@@ -294,6 +353,12 @@ def dedup_latest_postings(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_latest(clean(V.postings(spark, sf), region=V.region()))
 
 
+@named("dedup_located")
+def dedup_located_postings(spark: SparkSession, sf: str) -> DataFrame:
+    """The same on narrow rows, from the clean postings on disk."""
+    return dedup_located(silver_roundtrip(spark, sf))
+
+
 @query
 def dedup_seen(spark: SparkSession, sf: str) -> DataFrame:
     latest = dedup_latest(clean(V.postings(spark, sf), region=V.region(), with_text=False))
@@ -317,6 +382,14 @@ def term_match_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@named("term_match_join")
+def term_match_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """A gazetteer of hundreds of thousands of aliases, as a table, in whole documents."""
+    documents = V.table(spark, sf, "documents").select("doc_id", F.lower("text").alias("full_text"))
+    found = term_join.term_match_join(documents, V.corpus_aliases(spark, sf))
+    return found.select("doc_id", F.size("skills").alias("n_terms"), F.md5(F.array_join("skills", ",")).alias("terms_md5"))
+
+
 @query
 def term_extract(spark: SparkSession, sf: str) -> DataFrame:
     return V.skills(spark, sf)
@@ -344,6 +417,17 @@ def mom_change_calendar(spark: SparkSession, sf: str) -> DataFrame:
     return M.mom_change(demand_monthly(spark, sf), calendar=True)
 
 
+@query
+def demand_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """Postings by month and in all, from bitmaps of two loads put together."""
+    norm = lake.staged(V.norm(spark, sf), "norm")
+    first = F.col("fetched_at") < "1995-01-01"
+    numbers = bitmaps.number_postings(norm.filter(first))
+    numbers = bitmaps.number_postings(norm, numbers)
+    loads = [bitmaps.demand_bitmaps(T.term_extract(norm.filter(own), V.PART_TERMS), numbers) for own in (first, ~first)]
+    return bitmaps.rollup_from_bitmaps(bitmaps.merge_bitmaps(*loads))
+
+
 @query
 def skill_overview(spark: SparkSession, sf: str) -> DataFrame:
     return M.skill_overview(V.skills(spark, sf))
@@ -366,12 +450,34 @@ def salary_benchmark(spark: SparkSession, sf: str) -> DataFrame:
     return M.salary_benchmark(V.skills(spark, sf))
 
 
+@query
+def salary_benchmark_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The benchmark from counts of two loads, kept as tables and added up."""
+    skills = V.skills(spark, sf)
+    first = F.col("seniority") == "senior"
+    loads = [lake.staged(M.pay_counts(skills.filter(own)), "pay-counts") for own in (first, ~first)]
+    return M.benchmark_from_counts(M.merge_counts(*loads))
+
+
 @query
 def market_kpi(spark: SparkSession, sf: str) -> DataFrame:
     norm = lake.staged(V.norm(spark, sf), "norm")
     return M.market_kpi(norm, T.term_extract(norm, V.PART_TERMS))
 
 
+@query
+def regions_benchmark(spark: SparkSession, sf: str) -> DataFrame:
+    """The benchmark of a chain with the default region rule and missing companies."""
+    return M.salary_benchmark(T.term_extract(pipeline.postings_norm(V.sparse_postings(spark, sf)), V.PART_TERMS))
+
+
+@query
+def sparse_kpi(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of the same chain: missing companies are one company."""
+    norm = lake.staged(pipeline.postings_norm(V.sparse_postings(spark, sf)), "norm")
+    return M.market_kpi(norm, T.term_extract(norm, V.PART_TERMS))
+
+
 # Feeds
 
 @query

@@ -115,11 +115,37 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reposted(postings: DataFrame) -> DataFrame:
+    """Postings of one source, a month later and with another title."""
+    day = F.to_date("fetched_at")
+    later = {"title": F.concat(F.lit("again "), "title"), "posted_date": _iso(F.add_months(F.to_date("posted_date"), 1)), "fetched_at": _iso(F.add_months(day, 1))}
+    return postings.filter("source = 'f'").withColumns(later)
+
+
 def region() -> Column:
     """The view's cities are nations, so they are the regions too."""
     return F.col("city")
 
 
+def corpus_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gazetteer as large as the corpus: (skill, alias) of pairs of words in the documents, and of a
+    letter with an accent between two without."""
+    text = F.lower("text")
+    documents = table(spark, sf_dir, "documents")
+    pairs = documents.select(F.explode(F.regexp_extract_all(text, F.lit("([a-z0-9]+ [a-z0-9]+)"), 1)).alias("alias"))
+    parts = documents.select(F.explode(F.regexp_extract_all(text, F.lit("([a-z][éñçßäöüó][a-z])"), 1)).alias("alias"))
+    named = pairs.distinct().withColumn("skill", F.col("alias"))
+    return named.unionByName(parts.distinct().withColumn("skill", F.concat(F.lit("part "), "alias"))).select("skill", "alias")
+
+
+def sparse_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The postings with city texts that the default region rule reads, and companies that are missing."""
+    key = F.col("job_id").cast("long")
+    city = (F.when(key % 5 == 0, F.concat(F.lit("台北市"), "city")).when(key % 5 == 1, F.concat(F.lit("於新竹縣"), "city"))
+            .when(key % 5 == 2, F.lit("遠端")).when(key % 5 == 3, F.col("city")))
+    return postings(spark, sf_dir).withColumns({"city": city, "company": F.when(key % 3 != 0, F.col("company"))})
+
+
 def norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return postings_norm(postings(spark, sf_dir), region())
 

@@ -64,7 +64,7 @@ def mart(spark, root, name):
 
 
 def test_counts(lake_root):
-    assert lake_root[1] == {"cleaned": 7, "deduplicated": 6, "with_pay": 5, "skill_rows": 7}
+    assert lake_root[1] == {"cleaned": 7, "deduplicated": 6, "with_pay": 5, "skill_rows": 7, "distinct_skills": 3}
 
 
 def test_silver_tables(spark, lake_root):

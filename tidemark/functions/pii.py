@@ -23,10 +23,11 @@ class Rule(NamedTuple):
 
 
 # Patterns and replacements, applied in order. (?U) makes \d and \s cover
-# full-width digits and ideographic spaces.
-EMAIL_RULE = Rule(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[email-removed]", ("@",))
+# full-width digits and ideographic spaces. What a match starts with is looked at before anything
+# that costs more, and a run before an @ is not gone back into.
+EMAIL_RULE = Rule(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[email-removed]", ("@",))
 PHONE_RULE = Rule(
-    r"(?U)(?<!\d)(?:\+?886[-\s]?|0)\d{1,2}[-\s]?\d{3,4}[-\s]?\d{3,4}(?!\d)",
+    r"(?U)(?=[+08])(?<!\d)(?:\+?886[-\s]?|0)\d{1,2}[-\s]?\d{3,4}[-\s]?\d{3,4}(?!\d)",
     "[phone-removed]",
     ("0", "886"),
 )
@@ -34,7 +35,7 @@ PARITY_RULES = (EMAIL_RULE, PHONE_RULE)
 
 # Own rule: mobiles written in three groups, which the rule above leaves in the text.
 MOBILE_RULE = Rule(
-    r"(?U)(?<!\d)(?:\+?886[-\s]?|0)9\d{2}[-\s]?\d{3}[-\s]?\d{3}(?!\d)",
+    r"(?U)(?=[+08])(?<!\d)(?:\+?886[-\s]?|0)9\d{2}[-\s]?\d{3}[-\s]?\d{3}(?!\d)",
     "[phone-removed]",
     ("09", "886"),
 )

@@ -91,6 +91,12 @@ class Gazetteer:
         """(skill, category), one row per term."""
         return spark.createDataFrame(list(self.categories.items()), "skill string, category string")
 
+    def table(self, spark: SparkSession) -> DataFrame:
+        """(skill, category, alias, mode, position), one row per alias, for the join form of matching."""
+        at = {term: i for i, term in enumerate(self.terms)}
+        rows = [(a.canonical, self.categories[a.canonical], a.alias, a.mode, at[a.canonical]) for a in self.aliases]
+        return spark.createDataFrame(rows, "skill string, category string, alias string, mode string, position long")
+
     def matches(self, text: Column) -> Column:
         """array<string> of the terms found in the text, each once, in gazetteer order.
 
@@ -117,7 +123,7 @@ class Gazetteer:
             if words:
                 parts.append(_anchored(text, F.split(text, "[^a-z0-9]+"), words))
             if runs:
-                parts.append(_anchored(text, _runs(text), runs))
+                parts.append(_anchored(text, _runs(text, runs), runs))
             positions = F.sort_array(F.array_distinct(F.concat(*parts)))
             return F.transform(positions, lambda i: F.element_at(F.lit(list(self.terms)), i))
 
@@ -131,15 +137,22 @@ def _bounded_pattern(alias: str) -> str:
     return rf"\Q{literal}\E(?<![a-z0-9]\Q{literal}\E)(?![a-z0-9])"
 
 
-def _runs(text: Column) -> Column:
-    """Every character of the text, and every two that stand side by side. A character outside the
-    basic plane is kept whole."""
+def _class(characters: Iterable[str]) -> str:
+    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(set(characters))) + "]"
 
-    def pairs(characters: Column) -> Column:
-        two = F.transform(characters, lambda c, i: F.concat(c, F.coalesce(F.get(characters, i + 1), F.lit(""))))
-        return F.concat(characters, two)
 
-    return once(F.regexp_extract_all(text, F.lit(r"(?s)(.)"), 1), pairs)
+def _runs(text: Column, anchors: Iterable[str]) -> Column:
+    """The characters of the text, and every two that stand side by side, that may be one of the anchors:
+    one constant pattern looks for the first and second characters of anchors at every place."""
+    one = [a for a in anchors if len(a) == 1]
+    two = [a for a in anchors if len(a) == 2]
+    parts = []
+    if one:
+        parts.append(F.regexp_extract_all(text, F.lit(f"({_class(one)})"), 1))
+    if two:
+        pattern = f"(?=({_class(a[0] for a in two)}{_class(a[1] for a in two)}))"
+        parts.append(F.regexp_extract_all(text, F.lit(pattern), 1))
+    return F.concat(*parts)
 
 
 def _anchored(text: Column, parts: Column, anchored: dict[str, dict]) -> Column:

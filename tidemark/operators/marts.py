@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.keys import posting_uid
 from tidemark.operators.percentiles import (
     approx_percentiles,
-    exact_quantile,
+    bracket,
+    in_band,
+    quantile_within,
     pay_percentiles,
     rank_select,
 )
@@ -120,24 +122,45 @@ def salary_benchmark(
     """Pay percentiles by skill, by (skill, region) and by (skill, seniority) from one pass; the
     columns rolled up hold 'ALL'. Groups below the smallest sample are left out."""
     pay = "salary_monthly_mid"
+    if accuracy is None:
+        return benchmark_from_counts(pay_counts(skills), min_sample)
     known = skills.filter(F.col(pay).isNotNull())
-    rolled = [
-        F.grouping("region").alias("_all_regions"),
-        F.grouping("seniority").alias("_all_seniorities"),
-    ]
-    grain = ["skill", "region", "seniority", "_all_regions", "_all_seniorities"]
-    if accuracy is not None:
-        sets = [["skill"], ["skill", "region"], ["skill", "seniority"]]
-        grouped = known.groupingSets(sets, "skill", "region", "seniority")
-        out = grouped.agg(*rolled, *approx_percentiles(pay, accuracy))
-    else:
-        # Counted before the grains: only distinct amounts of a cell are expanded, not rows.
-        cells = ["skill", "region", "seniority", "_pay"]
-        whole = known.withColumn("_pay", F.round(pay)).groupBy(*cells).agg(F.count(F.lit(1)).alias("_n"))
-        sets = [["skill", "_pay"], ["skill", "region", "_pay"], ["skill", "seniority", "_pay"]]
-        grouped = whole.groupingSets(sets, "skill", "region", "seniority", "_pay")
-        out = rank_select(grouped.agg(*rolled, F.sum("_n").alias("n")), grain, "_pay")
+    sets = [["skill"], ["skill", "region"], ["skill", "seniority"]]
+    grouped = known.groupingSets(sets, "skill", "region", "seniority")
+    return _benchmark(grouped.agg(*_rolled(), *approx_percentiles(pay, accuracy)), min_sample)
+
+
+CELL = ["skill", "region", "seniority"]
+
+
+def pay_counts(skills: DataFrame) -> DataFrame:
+    """(skill, region, seniority, pay, n): rows with pay by cell and whole amount. Counts of new rows are added
+    to counts kept from earlier runs (`merge_counts`), and percentiles of both follow from the sum."""
+    known = skills.filter(F.col("salary_monthly_mid").isNotNull())
+    return known.groupBy(*CELL, F.round("salary_monthly_mid").alias("pay")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def merge_counts(*tables: DataFrame) -> DataFrame:
+    """The sum of counts. A table with negative counts takes rows back, as of a posting that was replaced;
+    what is down to nothing is left out."""
+    every = tables[0]
+    for t in tables[1:]:
+        every = every.unionByName(t)
+    return every.groupBy(*CELL, "pay").agg(F.sum("n").alias("n")).filter("n <> 0")
+
 
+def benchmark_from_counts(counts: DataFrame, min_sample: int = MIN_SAMPLE) -> DataFrame:
+    """The pay benchmark of counted amounts. The grains expand distinct amounts of a cell, not rows."""
+    sets = [["skill", "pay"], ["skill", "region", "pay"], ["skill", "seniority", "pay"]]
+    grouped = counts.groupingSets(sets, *CELL, "pay").agg(*_rolled(), F.sum("n").alias("n"))
+    return _benchmark(rank_select(grouped, [*CELL, "_all_regions", "_all_seniorities"], "pay"), min_sample)
+
+
+def _rolled() -> list[Column]:
+    return [F.grouping("region").alias("_all_regions"), F.grouping("seniority").alias("_all_seniorities")]
+
+
+def _benchmark(out: DataFrame, min_sample: int) -> DataFrame:
     def cell(name: str, flag: str) -> Column:
         return F.when(F.col(flag) == 1, F.lit(ALL)).otherwise(F.col(name)).alias(name)
 
@@ -150,21 +173,23 @@ def salary_benchmark(
 
 
 def market_kpi(postings: DataFrame, skills: DataFrame, accuracy: int | None = None) -> DataFrame:
-    """(metric, value) rows. A null company counts as one company; no pay gives a median of 0."""
+    """(metric, value) rows. A null company counts as one company; no pay gives a median of 0.
+
+    The postings are read twice for an exact median: once for the totals and a sketch that brackets it, which
+    is a job of its own with one row for the driver, and once to count around the bracket."""
     pay = "salary_monthly_mid"
+    spark = postings.sparkSession
     null_company = F.coalesce(F.max(F.col("company").isNull().cast("int")), F.lit(0))
-    totals = postings.agg(
-        F.count(F.lit(1)).alias(KPI_POSTINGS),
-        (F.count_distinct("company") + null_company).alias(KPI_COMPANIES),
-    )
-    found = skills.agg(F.count_distinct("skill").alias(KPI_SKILLS))
-    if accuracy is None:
-        median = exact_quantile(postings, pay, 0.5, KPI_MEDIAN)
-    else:
-        median = postings.agg(F.percentile_approx(pay, 0.5, accuracy).alias(KPI_MEDIAN))
-    median = median.select(F.coalesce(KPI_MEDIAN, F.lit(0.0)).alias(KPI_MEDIAN))
-    rows = [_as_rows(df) for df in (totals, found, median)]
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+    totals = [F.count(F.lit(1)).alias(KPI_POSTINGS), (F.count_distinct("company") + null_company).alias(KPI_COMPANIES)]
+    found = _as_rows(skills.agg(F.count_distinct("skill").alias(KPI_SKILLS)))
+    if accuracy is not None:
+        median = F.coalesce(F.percentile_approx(pay, 0.5, accuracy), F.lit(0.0)).alias(KPI_MEDIAN)
+        return _as_rows(postings.agg(*totals, median)).unionByName(found)
+    checked = postings.select("company", in_band(pay).alias(pay))
+    first = checked.agg(*totals, *bracket(pay, 0.5)).first()
+    known = spark.createDataFrame([(first[0], first[1])], f"{KPI_POSTINGS} long, {KPI_COMPANIES} long")
+    median = quantile_within(postings, pay, 0.5, KPI_MEDIAN, *first[2:]).select(F.coalesce(KPI_MEDIAN, F.lit(0.0)).alias(KPI_MEDIAN))
+    return _as_rows(known).unionByName(found).unionByName(_as_rows(median))
 
 
 def _as_rows(one_row: DataFrame) -> DataFrame:
@@ -173,12 +198,15 @@ def _as_rows(one_row: DataFrame) -> DataFrame:
 
 
 __all__ = [
+    "benchmark_from_counts",
     "demand_monthly",
     "demand_rollup",
     "market_kpi",
+    "merge_counts",
     "mom_change",
     "monthly_from_rollup",
     "overview_from_rollup",
+    "pay_counts",
     "pay_percentiles",
     "salary_benchmark",
     "skill_overview",

@@ -19,9 +19,8 @@ from tidemark.functions.pay import PAY_BAND
 # The percentiles of the benchmark and their column names.
 PAY_PERCENTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
-# Widths of the parts an unrounded quantile is narrowed down by. A double between 10,000 and
-# 1,000,000 has at most 39 bits after the point: 2**20 parts of a unit, 2**19 values in a part.
-PART_WIDTHS = (1.0, 2.0**-20)
+#: Rows of the sketch that brackets a quantile. Four of so many parts of the rows lie in the bracket.
+BRACKET = 100_000
 
 
 def rank_select(
@@ -43,12 +42,15 @@ def rank_select(
     )
 
 
-def _in_band(df: DataFrame, value: str, band: tuple[float, float]) -> DataFrame:
-    """The rows with a value; the query fails where one is outside the band, which is what bounds the
-    number of counts."""
+def in_band(value: str, band: tuple[float, float] = PAY_BAND) -> Column:
+    """The value where it is inside the band; the query fails where one is outside, which is what bounds the
+    number of counts. Null stays null."""
     outside = F.raise_error(F.concat(F.lit(f"{value} outside {band}: "), F.col(value).cast("string")))
-    held = F.when(F.col(value).between(*band), F.col(value)).otherwise(outside.cast("double"))
-    return df.filter(F.col(value).isNotNull()).withColumn(value, held)
+    return F.when(F.col(value).isNull() | F.col(value).between(*band), F.col(value)).otherwise(outside.cast("double"))
+
+
+def _in_band(df: DataFrame, value: str, band: tuple[float, float]) -> DataFrame:
+    return df.filter(F.col(value).isNotNull()).withColumn(value, in_band(value, band))
 
 
 def approx_percentiles(value: str, accuracy: int) -> list[Column]:
@@ -77,42 +79,33 @@ def pay_percentiles(
     return rank_select(counts, by, "_pay")
 
 
+def bracket(value: str, prob: float, accuracy: int = BRACKET) -> list[Column]:
+    """Aggregates (total, low, high): the number of values, and two of them that the quantile lies between,
+    from a bounded sketch that is off by at most one of `accuracy` parts of the rows."""
+    off = 2 / accuracy
+    sketch = F.percentile_approx(value, [max(prob - off, 0.0), min(prob + off, 1.0)], accuracy)
+    return [F.count(value).alias("total"), sketch[0].alias("low"), sketch[1].alias("high")]
+
+
+def quantile_within(df: DataFrame, value: str, prob: float, into: str, total: int, low: float | None, high: float | None, band: tuple[float, float] = PAY_BAND) -> DataFrame:
+    """One row with the unrounded discrete quantile, given its bracket, null when there are no values. One
+    pass counts the values outside the bracket and, one by one, those inside. A rank outside, which the sketch
+    rules out, fails the query."""
+    known = _in_band(df.select(value), value, band)
+    x = F.col(value)
+    side = F.when(x < low, -1).when(x > high, 1).otherwise(0)
+    counts = known.groupBy(side.alias("_side"), F.when(side == 0, x).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    every = Window.partitionBy(F.lit(0)).orderBy("_side", "_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = counts.withColumn("_upto", F.sum("_n").over(every)).filter(F.col("_upto") >= F.lit(total) * F.lit(prob))
+    first = reached.agg(F.min_by(F.struct("_side", "_value"), F.struct("_side", "_value")).alias("_first"))
+    outside = F.raise_error(F.lit(f"the {prob} quantile of {value} is not between {low} and {high}")).cast("double")
+    return first.select(F.when(F.col("_first._side") != 0, outside).otherwise(F.col("_first._value")).alias(into))
+
+
 def exact_quantile(
     df: DataFrame, value: str, prob: float, into: str, band: tuple[float, float] = PAY_BAND
 ) -> DataFrame:
-    """One row with the unrounded discrete quantile of a column, null when there are no values.
-
-    Every pass counts the rows of the range the rank is known to lie in by parts of that range,
-    and finds the part the rank falls into; the last pass counts single values. For values inside
-    the band, which is checked, no pass has more than about a million parts, whatever the number of rows.
-    """
+    """One row with the unrounded discrete quantile of a column, null when there are no values, from two
+    scans: a sketch brackets it, which is a job of its own, and a pass counts."""
     known = _in_band(df.select(value), value, band)
-    rows = known.withColumns({"_before": F.lit(0), "_total": F.lit(None).cast("long")})
-    for width in PART_WIDTHS:
-        part = F.floor(F.col(value) / width)
-        # The target is a single row, so it may be broadcast.
-        target = F.broadcast(_part_of_rank(rows, part, prob))
-        rows = known.withColumn("_part", part).join(target, "_part").drop("_part")
-    return _part_of_rank(rows, F.col(value), prob).select(F.col("_part").alias(into))
-
-
-def _part_of_rank(rows: DataFrame, part: Column, prob: float) -> DataFrame:
-    """(_part, _before, _total): the part with the rank, the rows before it, all rows. `rows` have
-    the number of rows before them, and of all rows once that is known."""
-    every = Window.partitionBy(F.lit(0))
-    upto = every.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = rows.groupBy(part.alias("_part")).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max("_before").alias("_before"),
-        F.max("_total").alias("_total"),
-    )
-    ranked = counts.withColumns(
-        {
-            "_upto": F.col("_before") + F.sum("_n").over(upto),
-            "_total": F.coalesce("_total", F.sum("_n").over(every)),
-        }
-    )
-    reached = ranked.filter(F.col("_upto") >= F.col("_total") * prob)
-    before = (F.col("_upto") - F.col("_n")).alias("_before")
-    first = F.min_by(F.struct("_part", before, "_total"), "_part")
-    return reached.agg(first.alias("_first")).select("_first.*")
+    return quantile_within(df, value, prob, into, *known.agg(*bracket(value, prob)).first(), band)

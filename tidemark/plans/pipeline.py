@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.terms import Gazetteer
 from tidemark.operators import marts as M
 from tidemark.operators.clean import clean, posting_text
-from tidemark.operators.latest import dedup_latest
+from tidemark.operators.latest import dedup_latest, dedup_located
 from tidemark.operators.pay import pay_norm
 from tidemark.operators.terms import term_extract
 from tidemark.sources import lake
@@ -46,8 +46,8 @@ def run(
     intermediate: bool = False,
     accuracy: int | None = None,
 ) -> dict[str, int]:
-    """Write silver tables under `root`/silver and marts under `root`/gold (or to a database),
-    and return the stage counts. `intermediate` also writes the tables before the pay stage."""
+    """Write silver tables under `root`/silver and a version of the marts under `root`/gold (or to a
+    database), and return the stage counts. `intermediate` also writes the tables before the pay stage."""
     spark = bronze.sparkSession
     silver = f"{root}/silver"
     counts = write_silver_tables(bronze, silver, gazetteer, region, intermediate)
@@ -66,7 +66,7 @@ def write_silver_tables(
     if intermediate:
         lake.write_silver(clean(bronze, region=region), silver, "postings_clean")
         cleaned = lake.read_silver(spark, silver, "postings_clean")
-        latest = dedup_latest(cleaned.drop(SILVER_TEXT)).withColumn(SILVER_TEXT, posting_text())
+        latest = dedup_located(cleaned.drop(SILVER_TEXT)).withColumn(SILVER_TEXT, posting_text())
         lake.write_silver(latest, silver, "postings_dedup")
         norm = pay_norm(lake.read_silver(spark, silver, "postings_dedup"))
     else:
@@ -86,7 +86,12 @@ def write_silver_tables(
     found = Observation("posting_skills")
     norm = lake.read_silver(spark, silver, "postings_norm")
     lake.write_silver(
-        term_extract(norm, gazetteer).observe(found, F.count(F.lit(1)).alias("skill_rows")),
+        term_extract(norm, gazetteer).observe(
+            found,
+            F.count(F.lit(1)).alias("skill_rows"),
+            # At most the terms of the gazetteer.
+            F.size(F.collect_set("skill")).cast("long").alias("distinct_skills"),
+        ),
         silver,
         "posting_skills",
     )
@@ -111,11 +116,15 @@ def write_marts(
         "skill_salary_benchmark": M.salary_benchmark(skills, accuracy=accuracy),
         "market_kpi": M.market_kpi(norm, skills, accuracy),
     }
+    version = None if gold is None else lake.new_version(spark, gold)
+    where = None if gold is None else lake.version_path(gold, version)
     # The marts do not depend on each other; side by side, one fills the cores another leaves idle.
     with ThreadPoolExecutor(len(marts)) as pool:
         writes = [
-            pool.submit(inheritable_thread_target(spark)(lake.write_mart), df, name, gold, jdbc)
+            pool.submit(inheritable_thread_target(spark)(lake.write_mart), df, name, where, jdbc)
             for name, df in marts.items()
         ]
         for write in writes:
             write.result()
+    if gold is not None:
+        lake.commit_version(spark, gold, version)

@@ -12,6 +12,7 @@ from tidemark.functions import pay as P
 from tidemark.functions import pii
 from tidemark.functions import text as X
 from tidemark.operators.conform import conform
+from tidemark.sources import json_array
 
 # Source label, mark that starts a key's suffix, wrappers of the array, names of
 # the record's keys, parameter with the id, labels of the requirement parts.
@@ -51,11 +52,19 @@ def bare_columns(df: DataFrame) -> DataFrame:
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Records as JSON lines, the form that splits. Keys need not be the same in every record;
     nothing is inferred, so the files are read once."""
+    return _columns_of(spark.read.text(path))
+
+
+def read_array(spark: SparkSession, path: str, range_bytes: int = json_array.RANGE_BYTES) -> DataFrame:
+    """Records of one JSON array per file, bare or inside a wrapper, read in byte ranges by many tasks."""
+    return _columns_of(json_array.read_records(spark, path, WRAPPERS, range_bytes))
+
+
+def _columns_of(texts: DataFrame) -> DataFrame:
     record = F.from_json("value", "map<string,string>")
     keys = F.transform(F.map_keys("_r"), lambda k: X.strip(F.substring_index(k, SUFFIX_MARK, 1)))
     lines = (
-        spark.read.text(path)
-        .select(record.alias("_r"))
+        texts.select(record.alias("_r"))
         # Of keys that are the same without their suffix the last one counts.
         .select(F.reverse(keys).alias("_k"), F.reverse(F.map_values("_r")).alias("_v"))
     )

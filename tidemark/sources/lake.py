@@ -1,9 +1,13 @@
-"""Landing table, silver tables and mart sink.
+"""Landing table, current table, silver tables and mart sink.
 
 The landing table is append-only and partitioned by source. A key written again is one more row,
 and the latest row of a key is the posting (`scan_bronze`), so a landing never rewrites what is
 there and a failed job leaves nothing half replaced. `compact_bronze` writes the latest rows to a
 new place. No write repartitions by source: a source may hold most of the rows.
+
+The current table holds the latest row of each key by month, and updates rewrite only the months they
+touch (`merge_current`). `intake` lands files that are new in a folder, each once, and brings them into
+the current table.
 """
 
 from __future__ import annotations
@@ -17,10 +21,12 @@ from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import schemas
+from tidemark.functions.text import year_month
 from tidemark.operators.conform import conform
-from tidemark.operators.latest import latest_version
+from tidemark.operators.latest import latest_located, latest_version, upsert_latest
 
 ROWS_PER_FILE = 5_000_000
 
@@ -58,10 +64,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder in whatever store it is in."""
+def _place(spark: SparkSession, path: str):
+    """(file system, path) in whatever store the path names."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    store, where = _place(spark, path)
+    store.delete(where, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, where = _place(spark, path)
+    return store.exists(where)
 
 
 class Scratch:
@@ -122,7 +138,9 @@ def scan_bronze(
 ) -> DataFrame:
     """Postings of a landing table: the latest row of each key, or all rows."""
     rows = conform(spark.read.schema(schemas.POSTING).format(fmt).load(path))
-    return latest_version(rows) if latest else rows
+    if not latest:
+        return rows
+    return latest_located(rows) if fmt == "parquet" else latest_version(rows)
 
 
 def scan_bronze_objects(spark: SparkSession, glob: str) -> DataFrame:
@@ -136,6 +154,86 @@ def compact_bronze(spark: SparkSession, path: str, target: str, fmt: str = "parq
     land_bronze(scan_bronze(spark, path, fmt), target, fmt)
 
 
+# Current table
+
+MONTH = "month"
+#: Month of a posting without a date.
+NO_MONTH = "none"
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The current postings and their month, by which folders are pruned."""
+    return spark.read.schema(T.StructType([*schemas.POSTING, T.StructField(MONTH, T.StringType())])).parquet(path)
+
+
+def merge_current(updates: DataFrame, path: str, key: tuple[str, ...] = ("source", "job_id"), order: tuple[str, ...] = ("fetched_at",)) -> list[str]:
+    """Bring updates into the table of current postings at `path`, made if it is not there, and return the
+    months that were written. The latest row of a key stays, an update before an existing row of its time.
+
+    Months are touched by an update or by the row that it replaces, which is found by the keys alone; only
+    these are read whole and written again. Rows without a key are left out. The merged months are
+    staged before the table is written: a merge that fails can be run again, and a merge that is run
+    again changes nothing.
+    """
+    spark = updates.sparkSession
+    with scratch(spark):
+        month = F.coalesce(year_month(F.col("posted_date"), F.col("fetched_at")), F.lit(NO_MONTH))
+        rows = conform(updates).where(" AND ".join(f"{k} IS NOT NULL" for k in key))
+        new = staged(latest_version(rows, key, order).withColumn(MONTH, month), "updates")
+        if not exists(spark, path):
+            months, merged = [r[0] for r in new.select(MONTH).distinct().collect()], new
+        else:
+            held = read_current(spark, path).select(*key, MONTH).join(new.select(*key), list(key), "left_semi")
+            months = [r[0] for r in held.select(MONTH).union(new.select(MONTH)).distinct().collect()]
+            old = read_current(spark, path).where(F.col(MONTH).isin(months))
+            merged = staged(upsert_latest(old, new, key, order), "merged")
+        # Months are rebalanced, so that a large one becomes several files and a small one a single file.
+        writer = merged.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(MONTH).parquet(path)
+        left = {r[0] for r in merged.select(MONTH).distinct().collect()}
+        for gone in set(months) - left:
+            remove(spark, os.path.join(path, f"{MONTH}={gone}"))
+    return sorted(months)
+
+
+# Intake
+
+def land_new_files(spark: SparkSession, source: str, bronze: str, checkpoint: str, fmt: str = "json", files_per_batch: int | None = None) -> None:
+    """Land the postings of files under `source` that were not landed before, and return when there are
+    none left. The checkpoint holds which files a batch is made of, and the landing table's log which
+    batches are whole: a batch that fails is run again and what it left is not seen by readers."""
+    reader = spark.readStream.schema(schemas.POSTING).format(fmt)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    landing = conform(reader.load(source)).writeStream.format("parquet").partitionBy("source")
+    query = landing.option("path", bronze).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def merge_landed(spark: SparkSession, bronze: str, current: str) -> list[str]:
+    """Bring landed files into the current table that were not merged before; the months written. The
+    names of merged files are kept beside the table, written after the merge: a file is merged again
+    after a failure, which changes nothing, and is never left out."""
+    ledger = current.rstrip("/") + "-merged-files"
+    files = spark.createDataFrame([(f,) for f in spark.read.parquet(bronze).inputFiles()], "file string")
+    if exists(spark, ledger):
+        files = files.join(spark.read.schema("file string").parquet(ledger), "file", "left_anti")
+    new = sorted(r.file for r in files.collect())
+    if not new:
+        return []
+    months = merge_current(spark.read.schema(schemas.POSTING).option("basePath", bronze).parquet(*new), current)
+    spark.createDataFrame([(f,) for f in new], "file string").coalesce(1).write.mode("append").parquet(ledger)
+    return months
+
+
+def intake(spark: SparkSession, source: str, root: str, fmt: str = "json", files_per_batch: int | None = None) -> list[str]:
+    """New files under `source` to the landing table `root`/bronze and on to the current table
+    `root`/current; the months written. Running it again, also after a failure in between, brings in
+    what is new and nothing twice."""
+    land_new_files(spark, source, os.path.join(root, "bronze"), os.path.join(root, "bronze-checkpoint"), fmt, files_per_batch)
+    return merge_landed(spark, os.path.join(root, "bronze"), os.path.join(root, "current"))
+
+
 # Silver
 
 def write_silver(df: DataFrame, root: str, name: str) -> None:
@@ -165,6 +263,20 @@ def check_mart(df: DataFrame, name: str) -> DataFrame:
     return df.select([column(f) for f in schema])
 
 
+#: The column each mart is looked up by.
+LOOKUP = {"skill_demand_monthly": "skill", "skill_overview": "skill", "skill_salary_benchmark": "skill"}
+#: Rows of a Parquet row group of a mart, so that a look-up reads few.
+MART_GROUP_BYTES = 8 << 20
+
+
+def for_lookup(df: DataFrame, column: str):
+    """A writer of rows in ranges of the column, sorted, with a Bloom filter on it: a reader that wants one
+    value skips files and row groups by their bounds, and the rest by the filter."""
+    ordered = df.repartitionByRange(column).sortWithinPartitions(column)
+    writer = ordered.write.mode("overwrite").option("parquet.block.size", MART_GROUP_BYTES)
+    return writer.option(f"parquet.bloom.filter.enabled#{column}", True)
+
+
 def write_mart(
     df: DataFrame,
     name: str,
@@ -176,12 +288,67 @@ def write_mart(
     definition and indexes stay."""
     if (root is None) == (jdbc is None):
         raise ValueError("give either root or jdbc")
-    writer = check_mart(df, name).write.mode("overwrite")
+    checked = check_mart(df, name)
     if jdbc is not None:
-        writer.format("jdbc").options(**{**jdbc, "dbtable": name, "truncate": "true"}).save()
+        checked.write.mode("overwrite").format("jdbc").options(**{**jdbc, "dbtable": name, "truncate": "true"}).save()
+    elif name in LOOKUP:
+        for_lookup(checked, LOOKUP[name]).parquet(os.path.join(root, name))
     else:
-        writer.parquet(os.path.join(root, name))
+        checked.write.mode("overwrite").parquet(os.path.join(root, name))
 
 
-def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, name))
+# Versions of the marts
+
+COMMITTED = "_COMMITTED"
+KEPT_VERSIONS = 2
+
+
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
+    """(number, whether it is whole) of the versions under `root`, in order."""
+    store, where = _place(spark, os.path.join(root, "versions"))
+    if not store.exists(where):
+        return []
+    names = [s.getPath().getName() for s in store.listStatus(where)]
+    return sorted((int(n[1:]), exists(spark, os.path.join(root, "versions", n, COMMITTED))) for n in names if n.startswith("v"))
+
+
+def version_path(root: str, number: int) -> str:
+    return os.path.join(root, "versions", f"v{number:09d}")
+
+
+def new_version(spark: SparkSession, root: str) -> int:
+    """A version that no other writer has. Nobody reads it before `commit_version`."""
+    number = max((n for n, _ in _versions(spark, root)), default=0) + 1
+    while True:
+        store, where = _place(spark, os.path.join(version_path(root, number), "_WRITER"))
+        try:
+            store.create(where, False).close()  # fails where the file is there
+            return number
+        except Exception as e:
+            if not store.exists(where):
+                raise e
+            number += 1
+
+
+def commit_version(spark: SparkSession, root: str, number: int, kept: int = KEPT_VERSIONS) -> None:
+    """Make a version the one that is read: one file made at once, so readers see either all marts of
+    this run or all of an earlier one. Whole versions before the last `kept` are removed, and what failed
+    runs before them left."""
+    store, where = _place(spark, os.path.join(version_path(root, number), COMMITTED))
+    store.create(where, False).close()
+    whole = [n for n, done in _versions(spark, root) if done]
+    oldest = whole[-kept:][0]
+    for n, _ in _versions(spark, root):
+        if n < oldest:
+            remove(spark, version_path(root, n))
+
+
+def current_version(spark: SparkSession, root: str) -> int | None:
+    """The version to read. Whoever reads several marts asks once and names it."""
+    return max((n for n, done in _versions(spark, root) if done), default=None)
+
+
+def read_mart(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """A mart of the given version, or of the current one; without versions the mart under `root`."""
+    version = current_version(spark, root) if version is None else version
+    return spark.read.parquet(os.path.join(root if version is None else version_path(root, version), name))

@@ -10,6 +10,7 @@ from tidemark.functions import pay as P
 from tidemark.functions import pii
 from tidemark.functions import text as X
 from tidemark.operators.conform import conform
+from tidemark.sources import json_array
 
 # Source label, start of a posting's URL, item lists and texts that make up the
 # requirements, in order.
@@ -35,6 +36,12 @@ def read_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> D
     return spark.read.schema(PAYLOAD).option("multiLine", multi_line).json(path)
 
 
+def read_array(spark: SparkSession, path: str, range_bytes: int = json_array.RANGE_BYTES) -> DataFrame:
+    """Payloads of one JSON array per file, read in byte ranges by many tasks."""
+    records = json_array.read_records(spark, path, range_bytes=range_bytes)
+    return records.select(F.from_json("value", PAYLOAD).alias("_r")).select("_r.*")
+
+
 class _Record:
     """Typed access to the fields a frame may or may not have."""
 
