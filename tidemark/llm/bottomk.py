@@ -11,7 +11,11 @@ both sketches.
   probability below 1e-9 for K = 64 and t = 0.8 (`missed`). Lists are found by a sort that streams.
 * The first member of a list is its pivot, and each other one is paired with it: no more pairs than
   members, however long the list. Pairs that link make components. Only members of one list in
-  *different* components, of sizes that may link, are paired after that.
+  *different* components can join anything after that.
+* Comparing a member's set with its pivot's leaves a difference: bits of the pivot's values that it lacks and of
+  the values that it has besides. Two members of a star have at most the pivot's values that neither lacks
+  in common, and what both have besides, which the bits bound without their sets. So a group of copies that
+  are near but do not link costs no pairs of sets.
 * The sketch of the union estimates the similarity of a pair. What is below the threshold by more than
   chance allows (1e-9) is dropped before sets are fetched.
 * What is left is decided by the full sets.
@@ -192,6 +196,40 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(a) + len(b) - common)
 
 
+#: Numbers of a difference: sizes, whether the pair links, values besides, bits of values lacked and besides.
+LACKS, BESIDES = ["l1", "l2", "l3", "l4"], ["e1", "e2", "e3", "e4"]
+DIFFERENCE = ["n_a", "n_b", "links", "besides", *LACKS, *BESIDES]
+
+
+def _bits(values: np.ndarray) -> list[int]:
+    """256 bits, of each value that of its highest byte once it is mixed."""
+    at = np.zeros(256, np.uint8)
+    at[(mixed(values, 5) >> np.uint64(56)).astype(np.int64)] = 1
+    return [int(x) for x in np.packbits(at).view("<i8")]
+
+
+def difference(percent: int):
+    """What a member's set says about its pivot's."""
+
+    def judge(s: np.ndarray, pivot: np.ndarray) -> tuple:
+        lacks, besides = np.setdiff1d(pivot, s, assume_unique=True), np.setdiff1d(s, pivot, assume_unique=True)
+        common = len(s) - len(besides)
+        links = 100 * common >= percent * (len(s) + len(pivot) - common)
+        return (len(s), len(pivot), int(links), len(besides), *_bits(lacks), *_bits(besides))
+
+    return judge
+
+
+def _bits_allow(a: str, b: str, percent: int):
+    """Whether two members of a star may link. In common they have at most the pivot's values without those
+    whose bits one of them lacks, and besides a value for each common bit and those that share a bit."""
+    lacked = " + ".join(f"bit_count({a}{c} | {b}{c})" for c in LACKS)
+    both = " + ".join(f"bit_count({a}{c} & {b}{c})" for c in BESIDES)
+    shared = [f"{x}besides - ({' + '.join(f'bit_count({x}{c})' for c in BESIDES)})" for x in (a, b)]
+    common = f"({a}n_b - ({lacked}) + ({both}) + least({shared[0]}, {shared[1]}))"
+    return F.expr(f"{100 + percent}L * {common} >= {percent}L * ({a}n_a + {b}n_a)")
+
+
 def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, k: int = K) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs (doc_id, text)."""
     if missed(k, percent) > MISS:
@@ -219,27 +257,49 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, k: int, scope: Sc
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         return both.mapInArrow(_estimate(k, percent), "a long, b long").distinct()
 
-    def proved(pairs: DataFrame) -> DataFrame:
-        """The pairs that link."""
-        return stars.proved(docs, pairs, lambda texts: _sets(texts, size), lambda a, b: linked(a, b, percent))
+    def sizes(n: str, m: str):
+        return F.expr(f"100L * least({n}, {m}) >= {percent}L * greatest({n}, {m})")
 
-    sizes = "100L * least(n, {0}) >= " + str(percent) + "L * greatest(n, {0})"
-    first = lists.where("doc <> pivot").where(sizes.format("pivot_n")).select(F.col("doc").alias("a"), F.col("pivot").alias("b")).distinct()
+    first = lists.where("doc <> pivot").where(sizes("n", "pivot_n")).select(F.col("doc").alias("a"), F.col("pivot").alias("b")).distinct()
     tested = staged(first, "tested")
-    fits = staged(estimated(tested), "pairs")
+    spokes = stars.compared(docs, estimated(tested), lambda texts: _sets(texts, size), difference(percent), DIFFERENCE)
     # Texts that share an id belong together, whatever their sets.
     several = named.select("doc_id", "f1", "f2", "n").distinct().groupBy("doc_id").agg(F.collect_set(F.struct("f1", "f2", "n")).alias("own")).where("size(own) > 1")
     owned = several.select("doc_id", F.explode("own").alias("o")).select("doc_id", "o.*").join(classes, ["f1", "f2", "n"])
-    edges = staged(proved(fits).unionByName(owned.select(F.col("doc").alias("a"), F.col("doc_id").alias("b")).where("a <> b")), "edges")
+    same_id = owned.select(F.col("doc").alias("a"), F.col("doc_id").alias("b")).where("a <> b")
+    edges = staged(spokes.where("links = 1").select("a", "b").unionByName(same_id), "edges")
     label = components(edges)
 
-    marked = lists.select("key", "doc", "n").join(label, lists.doc == label.node, "left").select("key", "doc", "n", F.coalesce("component", "doc").alias("label"))
+    def labelled(rows: DataFrame, doc: str) -> DataFrame:
+        return rows.join(label, rows[doc] == label.node, "left").withColumn("label", F.coalesce("component", doc)).drop("node", "component")
+
+    # Members that were compared with their list's pivot, and the pivot itself: their differences decide.
+    hubs = spokes.select(F.col("b").alias("a"), "b", F.col("n_b").alias("n_a"), "n_b").distinct()
+    nothing = {"links": F.lit(1), "besides": F.lit(0), **{c: F.lit(0) for c in LACKS + BESIDES}}
+    hubs = hubs.withColumns({c: x.cast("long") for c, x in nothing.items()})
+    star = labelled(spokes.unionByName(hubs), "a").withColumn("n", F.col("n_a"))
+    star_rows = staged(with_rivals(star, "b", percent), "stars")
+    star = star_rows.drop("n", "links")
+    other = star.select(F.col("b").alias("hub"), *(F.col(c).alias("o_" + c) for c in star.columns if c != "b"))
+    near = star.join(other, (F.col("b") == F.col("hub")) & (F.col("n_b") == F.col("o_n_b"))).where("label > o_label").where(sizes("n_a", "o_n_a")).where(_bits_allow("", "o_", percent))
+    near = near.select("a", F.col("o_a").alias("other"))
+
+    # Members of another size than their pivot, or too far from it, with any member of the list.
+    known = spokes.select(F.col("a").alias("doc"), F.col("b").alias("pivot"), F.col("n_a").alias("n"), F.col("n_b").alias("pivot_n")).distinct()
+    apart = lists.where("doc <> pivot").join(known, ["doc", "pivot", "n", "pivot_n"], "left_anti").select("key", "doc", "n")
+    asked = staged(apart.select("key").distinct(), "asked")
+    marked = labelled(lists.select("key", "doc", "n").join(asked, "key", "left_semi"), "doc")
     left = staged(with_rivals(marked, "key", percent), "left")
-    scope.drop(lists)
-    other = left.select("key", F.col("doc").alias("b"), F.col("n").alias("m"), F.col("label").alias("own"))
-    pairs = left.join(other, "key").where("label > own").where(sizes.format("m")).select(F.greatest("doc", "b").alias("a"), F.least("doc", "b").alias("b")).distinct()
-    second = staged(estimated(staged(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")), "pairs")
-    more = proved(second)
+    lone = left.join(apart, ["key", "doc", "n"], "left_semi").select("key", F.col("doc").alias("a"), F.col("n").alias("m"), F.col("label").alias("own"))
+    pairs = lone.join(left, "key").where("label <> own").where(sizes("n", "m")).select("a", F.col("doc").alias("other"))
+
+    def turned(rows: DataFrame) -> DataFrame:
+        return rows.select(F.greatest("a", "other").alias("a"), F.least("a", "other").alias("b")).distinct()
+
+    second = turned(near).unionByName(estimated(staged(turned(pairs).join(tested, ["a", "b"], "left_anti"), "pairs")))
+    second = staged(second.join(tested, ["a", "b"], "left_anti"), "second")
+    scope.drop(lists, left, star_rows)
+    more = stars.proved(docs, second, lambda texts: _sets(texts, size), lambda x, y: linked(x, y, percent))
     if more.take(1):
         label = components(edges.unionByName(more))
 

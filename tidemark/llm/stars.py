@@ -26,6 +26,7 @@ BROADCAST_DOCS = 500_000
 BATCH_BYTES = 8 << 20
 
 Sets = Callable[[pa.Array], Iterator[tuple[int, np.ndarray]]]
+Judge = Callable[[np.ndarray, np.ndarray], tuple | None]
 _SENT = "b long, place int, self boolean, a long, members binary"
 
 
@@ -55,11 +56,11 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], ["b", "place", "self", "a", "members"])
 
 
-def _compare(test: Callable[[np.ndarray, np.ndarray], bool]):
+def _compare(judge: Judge, names: list[str], kinds: list[pa.DataType]):
     def run(batches):
         at, held = None, []
         for batch in batches:
-            found_a, found_b = [], []
+            found = []
             members = batch.column("members")
             for i, (b, place, own, a) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("b", "place", "self", "a")), strict=True)):
                 if (b, place) != at:
@@ -67,16 +68,22 @@ def _compare(test: Callable[[np.ndarray, np.ndarray], bool]):
                 s = np.frombuffer(members[i].as_buffer(), np.uint64)
                 if own:  # an id may have several texts
                     held.append(s.copy())
-                elif any(test(s, x) for x in held):
-                    found_a.append(a), found_b.append(b)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+                else:
+                    found += [(a, b, *said) for x in held if (said := judge(s, x)) is not None]
+            columns = list(zip(*found, strict=True)) if found else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names)
 
     return run
 
 
 def proved(docs: DataFrame, pairs: DataFrame, sets: Sets, test: Callable[[np.ndarray, np.ndarray], bool]) -> DataFrame:
-    """The pairs (a, b) of which some texts' sets pass the test, given a's set and b's, as a staged table. `docs`
-    has doc_id and text, `sets` gives (row, set) of a batch of texts."""
+    """The pairs (a, b) of which some texts' sets pass the test, given a's set and b's, as a staged table."""
+    return compared(docs, pairs, sets, lambda x, y: () if test(x, y) else None, [])
+
+
+def compared(docs: DataFrame, pairs: DataFrame, sets: Sets, judge: Judge, columns: list[str]) -> DataFrame:
+    """(a, b, columns: numbers, given as names) of the pairs of which `judge` says something, given a's set and
+    b's, as a staged table. `docs` has doc_id and text, `sets` gives (row, set) of a batch of texts."""
     spark = docs.sparkSession
     with scratch(spark) as scope:
         pairs = staged(pairs.select("a", "b").distinct(), "pairs")
@@ -90,4 +97,6 @@ def proved(docs: DataFrame, pairs: DataFrame, sets: Sets, test: Callable[[np.nda
         sent = sent.mapInArrow(_send(sets), _SENT)
         shards = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
         sent = sent.repartition(shards, "b", "place").sortWithinPartitions("b", "place", F.desc("self"))
-        return scope.keep(sent.mapInArrow(_compare(test), "a long, b long"), "links")
+        names = ["a", "b", *columns]
+        compare = _compare(judge, names, [pa.int64()] * len(names))
+        return scope.keep(sent.mapInArrow(compare, ", ".join(f"{c} long" for c in names)), "links")
