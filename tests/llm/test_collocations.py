@@ -59,10 +59,11 @@ def frame(spark, rows):
 
 
 def test_collocations_equal_brute_force(spark, texts, monkeypatch):
-    for bytes_, pending in ((C.SHARD_BYTES, C.PENDING), (2000, 500)):  # one shard a task, and very many with many unions
+    # One shard a task; very many with many unions; and ranges reached in two steps.
+    for bytes_, pending, fan in ((C.SHARD_BYTES, C.PENDING, C.FAN), (2000, 500, C.FAN), (4000, 3000, 3)):
         monkeypatch.setattr(C, "SHARD_BYTES", bytes_)
         monkeypatch.setattr(C, "PENDING", pending)
-        automata = C.count_automata(frame(spark, texts), shard_bytes=bytes_)
+        automata = C.count_automata(frame(spark, texts), shard_bytes=bytes_, fan=fan)
         f, n = counted(texts)
         got = {(r.lang, *(x for x in (r.w1, r.w2, r.w3) if x is not None)): r.f for r in automata.select("automaton").mapInArrow(C._rows, C._ROW).collect()}
         assert got == {p: a for p, a in f.items() if a >= 10} | {(lang,): x for lang, x in n.items() if x}

@@ -9,7 +9,9 @@ phrase occurs (of the path without words: the number of words of the language).
 * Union: n-grams go by prefix (language and first two words) into ranges of the prefix's hash, so no
   word and no language fills a range, an automaton holds a shard's n-grams of one range, and a phrase of
   three words is beside its first part. A task takes the automata of a range one after the other and sums the weights of
-  equal paths; what it holds is bounded by the distinct n-grams of the range.
+  equal paths; what it holds is bounded by the distinct n-grams of the range. Ranges grow in number with the
+  texts; beyond FAN of them, automata of FAN wide ranges are put together first and then cut into the narrow ones,
+  so that automata do not become many and small.
 * Lookups: of a phrase found `least` times every part is found as often, so only such paths are kept.
   First parts of two words are looked up in the range itself, other parts are composed with the paths of
   other ranges in a join.
@@ -33,15 +35,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import small_side
-from tidemark.llm.words import chunks, mixed
+from tidemark.llm.words import Chunk, chunks, mixed
 from tidemark.sources.lake import Scratch, scratch, staged
 
 LEAST = 10
 TOP = 2000
 #: Text that a task counts at a time, and text for each range.
-SHARD_BYTES, RANGE_BYTES = 24 << 20, 16 << 20
+SHARD_BYTES, RANGE_BYTES = 8 << 20, 4 << 20
 #: n-grams held besides those already summed.
-PENDING = 1 << 21
+PENDING = 1 << 20
+#: Ranges that a shard is cut into. More than that are reached in two steps.
+FAN = 2048
 BROADCAST_WORDS = 500_000
 SALTS = 32
 
@@ -209,8 +213,7 @@ class _Shard:
         self.chunks.append(chunk), self.langs.append(langs)
         self.size += len(chunk.data)
 
-    def count(self) -> tuple[Grams, np.ndarray, np.ndarray]:
-        """(n-grams, hash of each word, hash of each language)."""
+    def count(self) -> Grams:
         hashes = np.concatenate([c.hashes() for c in self.chunks])
         hashes, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
         ids = ids + 1
@@ -228,38 +231,45 @@ class _Shard:
             piece.append(breaks + row + held)  # grows at every break and at every text
             held += int(BREAKS[chunk.data].sum()) + chunk.rows
         lang, piece = np.concatenate(lang), np.concatenate(piece)
-        zero = np.zeros(len(ids), np.int64)
-        two = np.flatnonzero(piece[1:] == piece[:-1])
-        three = two[np.isin(two + 1, two, assume_unique=True)] if len(two) else two
+        # Distinct n-grams of each length, each from a code of the ones a word shorter.
+        v = len(hashes) + 1
         n = np.bincount(lang, minlength=len(langs))
-        spoken = np.flatnonzero(n)
-        none = np.zeros(len(spoken), np.int64)
-        parts = [(spoken, none, none, none, n[spoken])]
-        for at, size in ((np.arange(len(ids)), 1), (two, 2), (three, 3)):
-            w = [ids[at + i] if i < size else zero[at] for i in range(3)]
-            parts.append((lang[at], *w, np.ones(len(at), np.int64)))
-        columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        one, n_one = np.unique(lang * v + ids, return_counts=True)
+        two = np.flatnonzero(piece[1:] == piece[:-1])
+        pairs, of, n_pairs = np.unique((lang[two] * v + ids[two]) * v + ids[two + 1], return_inverse=True, return_counts=True)
+        last = np.flatnonzero(two[1:] == two[:-1] + 1)
+        triples, n_triples = np.unique(of[last] * v + ids[two[last] + 2], return_counts=True)
+        del piece, lang, ids, of
+        parts = [(np.flatnonzero(n), 0, 0, 0, n[n > 0]), (one // v, one % v, 0, 0, n_one), (pairs // v // v, pairs // v % v, pairs % v, 0, n_pairs)]
+        begin = pairs[triples // v]
+        parts.append((begin // v // v, begin // v % v, begin % v, triples % v, n_triples))
+        columns = [np.concatenate([np.broadcast_to(np.asarray(p[i], np.int64), len(p[4])) for p in parts]) for i in range(5)]
         grams = Grams(langs, pa.array(text, pa.large_string()), columns[0], tuple(columns[1:4]), columns[4]).summed()
-        told = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in langs], np.uint64)
-        return grams, hashes, told
+        return grams
 
 
-def _ranges(grams: Grams, hashes: np.ndarray, told: np.ndarray, n_ranges: int) -> np.ndarray:
+def _ranges(grams: Grams, n_ranges: int) -> np.ndarray:
     """Range of each n-gram, by the hash of its prefix."""
-    own = np.concatenate([np.zeros(1, np.uint64), hashes])
+    told = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in grams.langs], np.uint64)
+    words = grams.words.cast(pa.large_binary())
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if len(words) else np.empty(0, np.uint8)
+    offsets = offsets - offsets[0]
+    own = np.concatenate([np.zeros(1, np.uint64), Chunk(0, data, offsets, offsets[:-1], offsets[1:], offsets).hashes()])
     prefix = mixed(told[grams.lang] + own[grams.w[0]] * _MIX[0] + own[grams.w[1]] * _MIX[1], 3)
     return ((prefix >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int64)
 
 
-def _shards(n_ranges: int, shard_bytes: int):
-    def automata(shard):
-        grams, hashes, told = shard.count()
-        where = _ranges(grams, hashes, told, n_ranges)
-        order = np.argsort(where, kind="stable")
-        edges = np.searchsorted(where[order], np.arange(n_ranges + 1))
-        for i in np.flatnonzero(np.diff(edges)).tolist():
-            yield pa.RecordBatch.from_pydict({"range": pa.array([i], pa.int32()), "automaton": pa.array([build(grams.take(order[edges[i] : edges[i + 1]]))], pa.binary())})
+def _automata(grams: Grams, n_ranges: int):
+    """An automaton for each range that the n-grams fall into."""
+    where = _ranges(grams, n_ranges)
+    order = np.argsort(where, kind="stable")
+    edges = np.searchsorted(where[order], np.arange(n_ranges + 1))
+    for i in np.flatnonzero(np.diff(edges)).tolist():
+        yield pa.RecordBatch.from_pydict({"range": pa.array([i], pa.int32()), "automaton": pa.array([build(grams.take(order[edges[i] : edges[i + 1]]))], pa.binary())})
+
 
+def _shards(n_ranges: int, shard_bytes: int):
     def run(batches):
         shard = _Shard()
         for batch in batches:
@@ -267,10 +277,28 @@ def _shards(n_ranges: int, shard_bytes: int):
             for chunk in chunks(batch.column("text"), WORD_BYTES, lower=True):
                 shard.add(chunk, langs[chunk.first_row : chunk.first_row + chunk.rows])
                 if shard.size >= shard_bytes:
-                    yield from automata(shard)
+                    yield from _automata(shard.count(), n_ranges)
                     shard = _Shard()
         if shard.chunks:
-            yield from automata(shard)
+            yield from _automata(shard.count(), n_ranges)
+
+    return run
+
+
+def _regroup(n_ranges: int):
+    """Automata sorted by wide range to automata of narrow ranges, of many shards together."""
+
+    def run(batches):
+        pending, held = [], 0
+        for batch in batches:
+            for data in batch.column("automaton"):
+                pending.append(paths(data.as_py()))
+                held += len(pending[-1])
+                if held > PENDING:
+                    yield from _automata(merged(pending).summed(), n_ranges)
+                    pending, held = [], 0
+        if pending:
+            yield from _automata(merged(pending).summed(), n_ranges)
 
     return run
 
@@ -332,15 +360,18 @@ def _rows(batches):
                 [c.split()[0] for c in _ROW.split(", ")])
 
 
-def count_automata(docs: DataFrame, least: int = LEAST, shard_bytes: int = SHARD_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def count_automata(docs: DataFrame, least: int = LEAST, shard_bytes: int = SHARD_BYTES, range_bytes: int = RANGE_BYTES, fan: int = FAN) -> DataFrame:
     """(range, automaton): the paths of all texts that occur `least` times or more, and the number of
     words of each language."""
     spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_ranges = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // range_bytes))
-    made = docs.mapInArrow(_shards(n_ranges, shard_bytes), "range int, automaton binary")
-    return made.repartition(n_ranges, "range").sortWithinPartitions("range").mapInArrow(_union(least), "range int, automaton binary")
+    kinds = "range int, automaton binary"
+    made = docs.mapInArrow(_shards(min(n_ranges, fan), shard_bytes), kinds)
+    if n_ranges > fan:
+        made = made.repartition(fan, "range").sortWithinPartitions("range").mapInArrow(_regroup(n_ranges), kinds)
+    return made.repartition(n_ranges, "range").sortWithinPartitions("range").mapInArrow(_union(least), kinds)
 
 
 def _score(a: str, left: str, right: str):
