@@ -4,6 +4,7 @@ import pytest
 
 from checks.queries import QUERIES
 from checks.views import PART_TERMS
+from tidemark.operators import bitmaps
 from tidemark.operators import marts as M
 from tidemark.operators.latest import dedup_latest
 from tidemark.operators.terms import term_extract
@@ -11,7 +12,9 @@ from tidemark.sources import lake
 from checks import views as V
 
 SF = "/root/testdata/sf0.001"
-WRITING = {"bronze_scan", "bronze_landing", "silver_roundtrip", "mart_sink", "stage_counts"}
+WRITING = {"bronze_scan", "bronze_landing", "bronze_merge", "bronze_intake", "silver_roundtrip", "mart_sink", "stage_counts"}
+# Readers of JSON arrays in byte ranges are Python.
+PYTHON = {"parse_flat_json", "parse_nested_json"}
 
 
 def plan(df):
@@ -28,7 +31,7 @@ def skills(norm):
     return lake.staged(term_extract(norm, PART_TERMS), "skills")
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING - PYTHON))
 def test_no_query_runs_python_or_a_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SF))
     for node in ("BatchEvalPython", "ArrowEvalPython", "InPandas", "CartesianProduct", "NestedLoopJoin"):
@@ -71,5 +74,23 @@ def test_benchmark_reads_the_rows_once_and_pushes_the_filter(skills):
     assert "Exchange hashpartitioning" in text[text.index("Expand") :]
 
 
+def test_kpi_reads_the_postings_once_more_after_its_sketch(norm, skills):
+    text = plan(M.market_kpi(norm, skills))
+    assert text.count("FileScan") == 2  # the postings for the median, the long table for its terms
+    assert "ReadSchema: struct<salary_monthly_mid:double>" in text
+
+
+def test_bitmaps_shuffle_the_long_table_once(norm, skills):
+    numbers = bitmaps.number_postings(norm)
+    text = plan(bitmaps.demand_bitmaps(skills, numbers))
+    assert "Expand" not in text and text.count("FileScan") == 2
+    assert "ReadSchema: struct<skill:string,source:string,job_id:string,year_month:string,category:string>" in text
+
+
+def test_term_join_is_an_equi_join_on_anchors(spark):
+    text = plan(QUERIES["term_match_join"](spark, SF))
+    assert "salt" in text and "anchor" in text and "Python" not in text
+
+
 def test_feeds_take_the_top_without_a_full_sort(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["feed_skills"](spark, SF))
