@@ -95,7 +95,8 @@ def _pairs_of_windows(windows: DataFrame) -> DataFrame:
 
 
 def _close_pairs(met: DataFrame, near: int, size: int) -> DataFrame:
-    """(doc_id, h, item, low, high): offsets less than `size` apart whose beginnings are at most `near` apart.
+    """(doc_id, h, item, low, high): offsets less than `size` apart, of two words of the document, whose
+    beginnings are at most `near` apart.
     Beginnings are compared in stretches, to which the first ones of the next stretch are added."""
     stretch = F.floor(F.col("begin") / STRETCH).cast("int")
     own = F.when(F.pmod("begin", F.lit(STRETCH)) < near, F.array(stretch, stretch - 1)).otherwise(F.array(stretch))
@@ -103,7 +104,7 @@ def _close_pairs(met: DataFrame, near: int, size: int) -> DataFrame:
     # Of different beginnings in order, at most near + 1 lie between one and `near` words on.
     after = lambda a, i: F.filter(F.slice("l", i + 1, near + 1), lambda b: b["begin"] - a["begin"] <= near)
     two = lambda a, b: F.flatten(F.transform(a["offsets"], lambda x: F.transform(
-        F.filter(b["offsets"], lambda y: (x != y) & (F.abs(x - y) < size)), lambda y: F.struct(F.least(x, y).alias("low"), F.greatest(x, y).alias("high")))))
+        F.filter(b["offsets"], lambda y: (x != y) & (F.abs(x - y) < size) & (a["begin"] + x != b["begin"] + y)), lambda y: F.struct(F.least(x, y).alias("low"), F.greatest(x, y).alias("high")))))
     pairs = F.flatten(F.transform("l", lambda a, i: F.flatten(F.transform(after(a, i), lambda b: two(a, b)))))
     some = lists.where((F.size("l") > 1) | (F.size(F.col("l")[0]["offsets"]) > 1))
     return some.select("doc_id", "h", "item", F.explode(F.array_distinct(pairs)).alias("p")).select("doc_id", "h", "item", "p.*")

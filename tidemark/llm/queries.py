@@ -98,6 +98,27 @@ def _near_sql(size: int, percent: int, columns: str) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op1_decontaminate": f"""
+        WITH split AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        words AS (SELECT doc_id, i AS pos, w[i] AS t FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM split)),
+        items AS (SELECT item_id, w, least(10, len(w)) AS size
+                  FROM (SELECT item_id, regexp_extract_all({LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark) WHERE len(w) > 0),
+        windows AS (SELECT item_id, s, size, w[s:s + size - 1] AS ws FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS s FROM items)),
+        grams AS (SELECT doc_id, pos, size, w[pos:pos + size - 1] AS ws
+                  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM split, (SELECT DISTINCT size FROM windows) WHERE len(w) >= size)),
+        hits AS (SELECT DISTINCT doc_id, pos, size, item_id FROM grams JOIN windows USING (size, ws)),
+        hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS p FROM hits) GROUP BY doc_id),
+        found AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id),
+        counted AS (SELECT t, count(*) AS n FROM words GROUP BY t),
+        looked AS (SELECT * FROM (SELECT item_id, s, ws[i] AS t, s + i AS o FROM (SELECT item_id, s, ws, unnest(range(1, size + 1)) AS i FROM windows))
+                   JOIN counted USING (t) QUALIFY row_number() OVER (PARTITION BY item_id, s ORDER BY n, o) <= 3),
+        pairs AS (SELECT DISTINCT a.item_id, a.t AS ta, b.t AS tb, b.o - a.o AS gap FROM looked a JOIN looked b ON a.item_id = b.item_id AND a.s = b.s AND a.o < b.o),
+        near AS (SELECT x.doc_id, count(DISTINCT item_id) AS n_near FROM pairs JOIN words x ON x.t = ta JOIN words y ON y.t = tb AND y.doc_id = x.doc_id
+                 WHERE x.pos <> y.pos AND abs(y.pos - x.pos - gap) <= 8 GROUP BY x.doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+        FROM split LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id) LEFT JOIN near USING (doc_id)""",
     "op7_ngram_join": _near_sql(5, 75, "doc_id, n_shingles, component_id"),
     "op11_collocations": f"""
         WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
