@@ -6,8 +6,7 @@ neighbours, and the phone rules put the neighbours back.
 
 from __future__ import annotations
 
-from checks.views import FETCHED, LANGUAGE_TERMS, PART_TERMS
-from tidemark.functions.terms import Gazetteer
+from checks.views import FETCHED, LANGUAGE_TREE, PART_SUBSTRINGS, PART_TREE
 from tidemark.sources.flat import TOPIC_WORDS
 
 # Building blocks: name -> body; each may use the ones before it.
@@ -84,31 +83,38 @@ def _with_pay(table: str) -> str:
                        {_monthly('salary_max')} AS salary_monthly_max FROM {table}))"""
 
 
-def _alias_test(alias, text: str) -> str:
-    quoted = alias.alias.replace("'", "''")
-    if alias.mode != "bounded":
+def _alias_test(alias: str, bounded: bool, text: str) -> str:
+    quoted = alias.replace("'", "''")
+    if not bounded:
         return f"contains({text}, '{quoted}')"
     return f"regexp_matches({text}, '(?:^|[^a-z0-9]){quoted}(?:$|[^a-z0-9])')"
 
 
-def _term_tests(gazetteer: Gazetteer, text: str) -> dict[str, str]:
+def _term_tests(tree: dict, text: str, substrings: frozenset[str] | set[str] = frozenset()) -> dict[str, str]:
+    """Term -> test, from the gazetteer's source text and not from its compiled form: an alias of ASCII letters,
+    digits, space and . + # / is bounded unless it is listed as a substring."""
     tests: dict[str, list[str]] = {}
-    for a in gazetteer.aliases:
-        tests.setdefault(a.canonical, []).append(_alias_test(a, text))
+    for terms in tree.values():
+        for term, aliases in terms.items():
+            for a in aliases:
+                plain = all(c.isascii() and (c.isalnum() or c in " .+#/") for c in a)
+                tests.setdefault(term, []).append(_alias_test(a, plain and a not in substrings, text))
     return {term: " OR ".join(ts) for term, ts in tests.items()}
 
 
-def _term_list(gazetteer: Gazetteer, text: str) -> str:
-    cases = [f"CASE WHEN {t} THEN '{k}' END" for k, t in _term_tests(gazetteer, text).items()]
+def _term_list(tree: dict, text: str, substrings: frozenset[str] | set[str] = frozenset()) -> str:
+    cases = [f"CASE WHEN {t} THEN '{k}' END" for k, t in _term_tests(tree, text, substrings).items()]
     return "concat_ws(',', " + ",\n        ".join(cases) + ")"
 
 
+PART_CATEGORY = {term: category for category, terms in PART_TREE.items() for term in terms}
+
 CTES["norm"] = _with_pay("deduped")
 CTES["skills"] = "\n    UNION ALL ".join(
     f"""SELECT '{term}' AS skill, source, job_id, year_month, region, seniority,
-           salary_monthly_mid, company, title, '{PART_TERMS.categories[term]}' AS category
+           salary_monthly_mid, company, title, '{PART_CATEGORY[term]}' AS category
     FROM norm WHERE {test}"""
-    for term, test in _term_tests(PART_TERMS, "full_text").items()
+    for term, test in _term_tests(PART_TREE, "full_text", PART_SUBSTRINGS).items()
 )
 CTES["monthly"] = """
     SELECT skill, year_month, count(DISTINCT concat_ws('-', source, job_id)) AS postings
@@ -395,9 +401,9 @@ SELECTS: dict[str, str] = {
     "dedup_seen": """
         SELECT company, title, region, first_seen, last_seen, times_seen FROM deduped""",
     "term_match": f"""
-        SELECT source, job_id, {_term_list(PART_TERMS, 'full_text')} AS skills FROM cleaned""",
+        SELECT source, job_id, {_term_list(PART_TREE, 'full_text', PART_SUBSTRINGS)} AS skills FROM cleaned""",
     "term_match_documents": f"""
-        SELECT doc_id, lang, {_term_list(LANGUAGE_TERMS, 'lowered')} AS terms
+        SELECT doc_id, lang, {_term_list(LANGUAGE_TREE, 'lowered')} AS terms
         FROM (SELECT doc_id, lang, lower(text) AS lowered FROM documents)""",
     "term_match_join": """
         WITH lowered_docs AS (SELECT doc_id, lower(text) AS t FROM documents),

@@ -12,53 +12,51 @@ from tidemark.sources import lake
 
 FETCHED = "2024-02-01T00:00:00+00:00"
 
-PART_TERMS = Gazetteer.from_mapping(
-    {
-        "product": {w: [w] for w in ("widget", "gear", "bolt", "ring", "anvil", "gizmo", "plate", "rod")},
-        "trait": {w: [w] for w in ("red", "hot", "old")},
-        "combo": {"red-widget": ["red widget"]},
-        "fragment": {"any-idget": ["idget"]},
-    },
-    modes={"idget": SUBSTRING},
-)
+PART_TREE = {
+    "product": {w: [w] for w in ("widget", "gear", "bolt", "ring", "anvil", "gizmo", "plate", "rod")},
+    "trait": {w: [w] for w in ("red", "hot", "old")},
+    "combo": {"red-widget": ["red widget"]},
+    "fragment": {"any-idget": ["idget"]},
+}
+PART_SUBSTRINGS = {"idget"}
+PART_TERMS = Gazetteer.from_mapping(PART_TREE, modes=dict.fromkeys(PART_SUBSTRINGS, SUBSTRING))
 
 # Function words, phrases and letters that tell the languages of the documents apart.
-LANGUAGE_TERMS = Gazetteer.from_mapping(
-    {
-        "en": {
-            "en-article": ["the", "a", "an"],
-            "en-pronoun": ["it", "this", "that", "they", "you", "she", "he", "we", "who", "which"],
-            "en-verb": ["is", "was", "are", "were", "be", "been", "have", "has", "had", "do", "does"],
-            "en-preposition": ["of", "to", "in", "for", "with", "from", "by", "on", "at", "into"],
-            "en-link": ["and", "or", "but", "because", "while"],
-            "en-phrase": ["of the", "in the", "to the", "on the", "for the", "with the", "and the",
-                          "that the", "is the", "at the", "it is", "this is"],
-        },
-        "fr": {
-            "fr-article": ["le", "la", "les", "une", "des"],
-            "fr-pronoun": ["elle", "il", "nous", "vous", "qui", "que"],
-            "fr-preposition": ["dans", "avec", "pour", "sur", "sans", "par"],
-            "fr-link": ["et", "ou", "mais", "donc"],
-            "fr-phrase": ["de la", "de les", "et la", "et les", "pour la", "dans le", "dans la"],
-            "fr-letters": ["é", "è", "ê", "ç", "eaux", "où"],
-        },
-        "de": {
-            "de-article": ["der", "die", "das", "ein", "eine"],
-            "de-pronoun": ["ich", "wir", "sie", "ihr"],
-            "de-preposition": ["mit", "von", "auf", "zu", "bei"],
-            "de-link": ["und", "oder", "aber"],
-            "de-phrase": ["in der", "und die", "von der", "auf die", "mit der", "zu der"],
-            "de-letters": ["ß", "ä", "ö", "ü", "heiß"],
-        },
-        "es": {
-            "es-article": ["el", "los", "las", "una", "uno"],
-            "es-preposition": ["con", "para", "por", "sin"],
-            "es-link": ["y", "pero", "como"],
-            "es-phrase": ["en el", "de los", "con la", "para el", "por la"],
-            "es-letters": ["ñ", "á", "í", "ó", "ú", "ción"],
-        },
+LANGUAGE_TREE = {
+    "en": {
+        "en-article": ["the", "a", "an"],
+        "en-pronoun": ["it", "this", "that", "they", "you", "she", "he", "we", "who", "which"],
+        "en-verb": ["is", "was", "are", "were", "be", "been", "have", "has", "had", "do", "does"],
+        "en-preposition": ["of", "to", "in", "for", "with", "from", "by", "on", "at", "into"],
+        "en-link": ["and", "or", "but", "because", "while"],
+        "en-phrase": ["of the", "in the", "to the", "on the", "for the", "with the", "and the",
+                      "that the", "is the", "at the", "it is", "this is"],
+    },
+    "fr": {
+        "fr-article": ["le", "la", "les", "une", "des"],
+        "fr-pronoun": ["elle", "il", "nous", "vous", "qui", "que"],
+        "fr-preposition": ["dans", "avec", "pour", "sur", "sans", "par"],
+        "fr-link": ["et", "ou", "mais", "donc"],
+        "fr-phrase": ["de la", "de les", "et la", "et les", "pour la", "dans le", "dans la"],
+        "fr-letters": ["é", "è", "ê", "ç", "eaux", "où"],
+    },
+    "de": {
+        "de-article": ["der", "die", "das", "ein", "eine"],
+        "de-pronoun": ["ich", "wir", "sie", "ihr"],
+        "de-preposition": ["mit", "von", "auf", "zu", "bei"],
+        "de-link": ["und", "oder", "aber"],
+        "de-phrase": ["in der", "und die", "von der", "auf die", "mit der", "zu der"],
+        "de-letters": ["ß", "ä", "ö", "ü", "heiß"],
+    },
+    "es": {
+        "es-article": ["el", "los", "las", "una", "uno"],
+        "es-preposition": ["con", "para", "por", "sin"],
+        "es-link": ["y", "pero", "como"],
+        "es-phrase": ["en el", "de los", "con la", "para el", "por la"],
+        "es-letters": ["ñ", "á", "í", "ó", "ú", "ción"],
     },
-)
+}
+LANGUAGE_TERMS = Gazetteer.from_mapping(LANGUAGE_TREE)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
