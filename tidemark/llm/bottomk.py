@@ -15,7 +15,8 @@ both sketches.
 * Comparing a member's set with its pivot's leaves a difference: bits of the pivot's values that it lacks and of
   the values that it has besides. Two members of a star have at most the pivot's values that neither lacks
   in common, and what both have besides, which the bits bound without their sets. So a group of copies that
-  are near but do not link costs no pairs of sets.
+  are near but do not link costs no pairs of sets. Members too far from their pivot for that, as of texts that share
+  a passage, are told apart by 256 parity bits of each set: every bit that differs is a value that only one has.
 * The sketch of the union estimates the similarity of a pair. What is below the threshold by more than
   chance allows (1e-9) is dropped before sets are fetched.
 * What is left is decided by the full sets.
@@ -96,18 +97,36 @@ def _keys(sketch: np.ndarray, length: int) -> np.ndarray:
     return mixed(total, length)
 
 
+#: Columns of a set's parity.
+PARITY = ["p1", "p2", "p3", "p4"]
+
+
+def _parity(s: np.ndarray) -> np.ndarray:
+    """256 bits of a set: in each, whether an odd number of its values falls there."""
+    odd = np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view("<i8")
+
+
+def _parity_allows(a: str, b: str, n: str, m: str, percent: int):
+    """Whether sets of n and m values may link: then only one of them has at most (1 - t) / (1 + t) of both."""
+    apart = " + ".join(f"bit_count({a}{c} ^ {b}{c})" for c in PARITY)
+    return F.expr(f"{100 + percent}L * ({apart}) <= {100 - percent}L * ({n} + {m})")
+
+
 def _describe(size: int, k: int):
     def run(batches):
         for batch in batches:
-            n, f1, f2, sketches = [], [], [], []
+            n, f1, f2, sketches, parity = [], [], [], [], []
             for _, s in _sets(batch.column("text"), size):
                 n.append(len(s))
                 f1.append(mixed(s, 1).sum(dtype=np.uint64))
                 f2.append(mixed(s, 2).sum(dtype=np.uint64))
                 sketches.append(s[:k].tobytes())
+                parity.append(_parity(mixed(s, 6)))
+            parity = np.array(parity, np.int64).reshape(len(n), len(PARITY))
             f1, f2 = (pa.array(np.array(f, np.uint64).view(np.int64)) for f in (f1, f2))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), f1, f2, pa.array(sketches, pa.binary())],
-                                             ["doc_id", "n", "f1", "f2", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), f1, f2, pa.array(sketches, pa.binary()), *(pa.array(x) for x in parity.T)],
+                                             ["doc_id", "n", "f1", "f2", "sketch", *PARITY])
 
     return run
 
@@ -241,9 +260,9 @@ def near_duplicates(docs: DataFrame, size: int = 2, percent: int = 80, k: int =
 def _near_duplicates(docs: DataFrame, size: int, percent: int, k: int, scope: Scratch) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = staged(docs.mapInArrow(_describe(size, k), "doc_id long, n long, f1 long, f2 long, sketch binary"), "described")
+    rows = staged(docs.mapInArrow(_describe(size, k), f"doc_id long, n long, f1 long, f2 long, sketch binary, {', '.join(f'{c} long' for c in PARITY)}"), "described")
     named = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = staged(named.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch")), "classes")
+    classes = staged(named.groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("doc"), F.first("sketch").alias("sketch"), *(F.min(c).alias(c) for c in PARITY)), "classes")
 
     postings = classes.mapInArrow(_postings(percent), "key long, doc long, n int")
     shards = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -289,9 +308,11 @@ def _near_duplicates(docs: DataFrame, size: int, percent: int, k: int, scope: Sc
     apart = lists.where("doc <> pivot").join(known, ["doc", "pivot", "n", "pivot_n"], "left_anti").select("key", "doc", "n")
     asked = staged(apart.select("key").distinct(), "asked")
     marked = labelled(lists.select("key", "doc", "n").join(asked, "key", "left_semi"), "doc")
+    marked = marked.join(classes.select("doc", "n", *PARITY), ["doc", "n"])
     left = staged(with_rivals(marked, "key", percent), "left")
-    lone = left.join(apart, ["key", "doc", "n"], "left_semi").select("key", F.col("doc").alias("a"), F.col("n").alias("m"), F.col("label").alias("own"))
-    pairs = lone.join(left, "key").where("label <> own").where(sizes("n", "m")).select("a", F.col("doc").alias("other"))
+    lone = left.join(apart, ["key", "doc", "n"], "left_semi")
+    lone = lone.select("key", F.col("doc").alias("a"), F.col("n").alias("m"), F.col("label").alias("own"), *(F.col(c).alias("o_" + c) for c in PARITY))
+    pairs = lone.join(left, "key").where("label <> own").where(sizes("n", "m")).where(_parity_allows("", "o_", "n", "m", percent)).select("a", F.col("doc").alias("other"))
 
     def turned(rows: DataFrame) -> DataFrame:
         return rows.select(F.greatest("a", "other").alias("a"), F.least("a", "other").alias("b")).distinct()
