@@ -46,7 +46,7 @@ SHARD_BYTES, RANGE_BYTES = 8 << 20, 4 << 20
 PENDING = 1 << 20
 #: Ranges that a shard is cut into. More than that are reached in two steps.
 FAN = 2048
-BROADCAST_WORDS = 500_000
+BROADCAST_WORDS = 100_000
 SALTS = 32
 
 BREAKS = np.zeros(256, bool)
@@ -125,14 +125,27 @@ def _unpacked(data: bytes, at: int) -> tuple[np.ndarray, int]:
     return np.frombuffer(data, _KINDS[kind], n, at + 9).astype(np.int64), at + 9 + size
 
 
+def _bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(length of each word, all their bytes)."""
+    words = words.cast(pa.large_binary())
+    if not len(words):
+        return np.empty(0, np.int64), np.empty(0, np.uint8)
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    return np.diff(offsets), np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.empty(0, np.uint8)
+
+
 def build(grams: Grams) -> bytes:
     """The automaton of sorted, summed n-grams. Its arcs over language and two words are rows with a weight
     and the state they lead to; the arcs of a state are a third word and a weight. Each distinct state is
     registered once; state 0 has no arcs."""
-    used = np.unique(np.concatenate([*grams.w, [0]]))[1:]
+    there = np.zeros(len(grams.words) + 1, bool)
+    for w in grams.w:
+        there[w] = True
+    used = np.flatnonzero(there[1:])
     number = np.zeros(len(grams.words) + 1, np.int64)
-    number[used] = np.arange(1, len(used) + 1)
-    alphabet = grams.words.take(pa.array(used - 1))
+    number[used + 1] = np.arange(1, len(used) + 1)
+    sizes, text = _bytes(grams.words.take(pa.array(used)))
     prefix = grams.prefix()
     rows = _firsts(prefix)
     third = grams.w[2] > 0
@@ -159,10 +172,9 @@ def build(grams: Grams) -> bytes:
     kept = np.isin(owner, registered) if len(arcs) else np.empty(0, bool)
     # A row's own weight; a row that is only passed through has none.
     ends = np.where(third[rows], 0, grams.weight[rows])
-    text = [x.as_py().encode() for x in alphabet]
     arrays = [grams.lang[rows], number[grams.w[0][rows]], number[grams.w[1][rows]], ends, state, n_arcs[registered], word[kept], weight[kept],
-              np.array([len(x) for x in text], np.int64), np.array([len(x.encode()) for x in grams.langs], np.int64)]
-    return b"".join(_packed(x) for x in arrays) + b"".join(text) + "".join(grams.langs).encode()
+              sizes, np.array([len(x.encode()) for x in grams.langs], np.int64)]
+    return b"".join(_packed(x) for x in arrays) + text.tobytes() + "".join(grams.langs).encode()
 
 
 def paths(automaton: bytes) -> Grams:
@@ -217,10 +229,14 @@ class _Shard:
         hashes = np.concatenate([c.hashes() for c in self.chunks])
         hashes, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
         ids = ids + 1
-        begins = np.cumsum([0] + [len(c.starts) for c in self.chunks])
-        which = np.searchsorted(begins, first, "right") - 1
-        raw = [c.data.tobytes() for c in self.chunks]
-        text = [raw[k][c.starts[i - begins[k]] : c.ends[i - begins[k]]].decode() for i, k in zip(first.tolist(), which.tolist(), strict=True) for c in (self.chunks[k],)]
+        data = np.concatenate([c.data for c in self.chunks])
+        shift = np.cumsum([0] + [len(c.data) for c in self.chunks])
+        starts = np.concatenate([c.starts + x for c, x in zip(self.chunks, shift, strict=False)])[first]
+        sizes = np.concatenate([c.ends - c.starts for c in self.chunks])[first]
+        ends = np.cumsum(sizes)
+        letters = data[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        offsets = pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64).tobytes())
+        words = pa.LargeStringArray.from_buffers(len(sizes), offsets, pa.py_buffer(letters.tobytes()))
         langs = sorted({x for own in self.langs for x in own})
         number = {x: i for i, x in enumerate(langs)}
         lang, piece, held = [], [], 0
@@ -240,24 +256,32 @@ class _Shard:
         last = np.flatnonzero(two[1:] == two[:-1] + 1)
         triples, n_triples = np.unique(of[last] * v + ids[two[last] + 2], return_counts=True)
         del piece, lang, ids, of
-        parts = [(np.flatnonzero(n), 0, 0, 0, n[n > 0]), (one // v, one % v, 0, 0, n_one), (pairs // v // v, pairs // v % v, pairs % v, 0, n_pairs)]
-        begin = pairs[triples // v]
-        parts.append((begin // v // v, begin // v % v, begin % v, triples % v, n_triples))
-        columns = [np.concatenate([np.broadcast_to(np.asarray(p[i], np.int64), len(p[4])) for p in parts]) for i in range(5)]
-        grams = Grams(langs, pa.array(text, pa.large_string()), columns[0], tuple(columns[1:4]), columns[4]).summed()
-        return grams
+        # Their places in the order of paths: of each phrase the ones before it, length by length.
+        spoken, of = np.flatnonzero(n), triples // v
+        before = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(pairs)))])  # triples before each pair
+        first, langs_of = pairs // v, pairs // v // v
+        at_pair = np.arange(len(pairs)) + before[:-1] + np.searchsorted(one, first, "right") + np.searchsorted(spoken, langs_of, "right")
+        at_triple = at_pair[of] + 1 + np.arange(len(triples)) - before[of]
+        earlier = np.searchsorted(first, one)
+        at_one = np.arange(len(one)) + earlier + before[earlier] + np.searchsorted(spoken, one // v, "right")
+        earlier = np.searchsorted(langs_of, spoken)
+        at_lang = np.arange(len(spoken)) + np.searchsorted(one // v, spoken) + earlier + before[earlier]
+        columns = np.zeros((5, len(spoken) + len(one) + len(pairs) + len(triples)), np.int64)
+        for at, *own in ((at_lang, spoken, 0, 0, 0, n[spoken]), (at_one, one // v, one % v, 0, 0, n_one),
+                         (at_pair, langs_of, first % v, pairs % v, 0, n_pairs), (at_triple, langs_of[of], first[of] % v, pairs[of] % v, triples % v, n_triples)):
+            for column, x in zip(columns, own, strict=True):
+                column[at] = x
+        return Grams(langs, words, columns[0], tuple(columns[1:4]), columns[4])
 
 
 def _ranges(grams: Grams, n_ranges: int) -> np.ndarray:
     """Range of each n-gram, by the hash of its prefix."""
     told = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in grams.langs], np.uint64)
-    words = grams.words.cast(pa.large_binary())
-    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
-    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if len(words) else np.empty(0, np.uint8)
-    offsets = offsets - offsets[0]
+    sizes, data = _bytes(grams.words)
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
     own = np.concatenate([np.zeros(1, np.uint64), Chunk(0, data, offsets, offsets[:-1], offsets[1:], offsets).hashes()])
     prefix = mixed(told[grams.lang] + own[grams.w[0]] * _MIX[0] + own[grams.w[1]] * _MIX[1], 3)
-    return ((prefix >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int64)
+    return ((prefix >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.uint16 if n_ranges <= 1 << 16 else np.int64)
 
 
 def _automata(grams: Grams, n_ranges: int):
