@@ -37,13 +37,17 @@ _RANGE = "path string, number int, start long, stop long, size long"
 
 
 def _ranges(spark: SparkSession, path: str, range_bytes: int) -> DataFrame:
-    """(path, number, start, stop, size) of all files, spread over tasks."""
+    """(path, number, start, stop, size) of all files."""
     listed = spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("size"))
     count = F.greatest(F.ceil(F.col("size") / range_bytes), F.lit(1))
     rows = listed.select("path", "size", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))).alias("number"))
     start = F.col("number").cast("long") * range_bytes
-    rows = rows.select("path", "number", start.alias("start"), F.least(start + range_bytes, F.col("size")).alias("stop"), "size")
-    return rows.repartition("path", "number")
+    return rows.select("path", "number", start.alias("start"), F.least(start + range_bytes, F.col("size")).alias("stop"), "size")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """A task for each range: rows are few and small, and would else be brought together in one."""
+    return rows.repartition(max(rows.count(), 1))
 
 
 def _open(path: str):
@@ -103,7 +107,7 @@ def _states(ranges: DataFrame) -> DataFrame:
     """Ranges with the state they begin in: inside a text or not, depth, and the first byte of the file."""
     # A row per range: what a window sorts is smaller than the file by RANGE_BYTES.
     before = Window.partitionBy("path").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    rows = ranges.mapInArrow(_summaries, f"{_RANGE}, first string, odd int, outside long, inside long")
+    rows = _dealt(ranges).mapInArrow(_summaries, f"{_RANGE}, first string, odd int, outside long, inside long")
     rows = rows.withColumn("within", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1)
     change = F.when(F.col("within"), F.col("inside")).otherwise(F.col("outside"))
     rows = rows.withColumn("change", change).withColumn("depth", F.coalesce(F.sum("change").over(before), F.lit(0)))
@@ -211,7 +215,7 @@ def read_records(spark: SparkSession, path: str, wrappers: Sequence[str] = (), r
     held = states.where("top = '['").withColumns({"level": F.lit(1), "open": F.lit(-1).cast("long"), "until": F.col("size")}).select(columns)
     if wrappers:
         top = states.where("top = '{'")
-        opened = staged(top.repartition("path", "number").mapInArrow(_containers(wrappers), "path string, open long, rank int"), "arrays")
+        opened = staged(_dealt(top).mapInArrow(_containers(wrappers), "path string, open long, rank int"), "arrays")
         # A key that is there twice counts with its last array.
         chosen = opened.where("rank IS NOT NULL").groupBy("path").agg(F.min(F.struct("rank", (-F.col("open")).alias("back"))).alias("first"))
         chosen = chosen.select("path", (-F.col("first.back")).alias("open"))
@@ -219,4 +223,4 @@ def read_records(spark: SparkSession, path: str, wrappers: Sequence[str] = (), r
         bounds = chosen.join(later, "path", "left")
         wrapped = top.join(bounds, "path").withColumns({"level": F.lit(2), "until": F.coalesce("until", "size")})
         held = held.unionByName(wrapped.select(columns))
-    return held.repartition("path", "number").mapInArrow(_cut, "value string")
+    return _dealt(held).mapInArrow(_cut, "value string")
