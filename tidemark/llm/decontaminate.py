@@ -94,20 +94,26 @@ def _pairs_of_windows(windows: DataFrame) -> DataFrame:
     return windows.select("item", "item_id", F.explode(two).alias("p")).select("item", "item_id", "p.*").distinct()
 
 
-def _close_pairs(met: DataFrame, near: int, size: int) -> DataFrame:
-    """(doc_id, h, item, low, high): offsets less than `size` apart, of two words of the document, whose
-    beginnings are at most `near` apart.
-    Beginnings are compared in stretches, to which the first ones of the next stretch are added."""
+def _lists(shifted: DataFrame, near: int, least: int) -> DataFrame:
+    """(doc_id, h, item, stretch, l: beginnings in order, each with its offsets). Beginnings are kept in stretches,
+    to which the first ones of the next stretch are added; stretches in which nothing meets are left out. All
+    from one shuffle of the shifted lists."""
+    met = shifted.repartition("doc_id", "h", "item").groupBy("doc_id", "h", "item", "begin").agg(F.collect_set("offset").alias("offsets"))
     stretch = F.floor(F.col("begin") / STRETCH).cast("int")
     own = F.when(F.pmod("begin", F.lit(STRETCH)) < near, F.array(stretch, stretch - 1)).otherwise(F.array(stretch))
     lists = met.withColumn("stretch", F.explode(own)).groupBy("doc_id", "h", "item", "stretch").agg(F.array_sort(F.collect_list(F.struct("begin", "offsets"))).alias("l"))
+    return lists.where((F.size("l") > 1) | (F.size(F.col("l")[0]["offsets"]) >= min(least, 2)))
+
+
+def _close_pairs(lists: DataFrame, near: int, size: int) -> DataFrame:
+    """(doc_id, h, item, low, high): offsets less than `size` apart, of two words of the document, whose
+    beginnings are at most `near` apart."""
     # Of different beginnings in order, at most near + 1 lie between one and `near` words on.
     after = lambda a, i: F.filter(F.slice("l", i + 1, near + 1), lambda b: b["begin"] - a["begin"] <= near)
     two = lambda a, b: F.flatten(F.transform(a["offsets"], lambda x: F.transform(
         F.filter(b["offsets"], lambda y: (x != y) & (F.abs(x - y) < size) & (a["begin"] + x != b["begin"] + y)), lambda y: F.struct(F.least(x, y).alias("low"), F.greatest(x, y).alias("high")))))
     pairs = F.flatten(F.transform("l", lambda a, i: F.flatten(F.transform(after(a, i), lambda b: two(a, b)))))
-    some = lists.where((F.size("l") > 1) | (F.size(F.col("l")[0]["offsets"]) > 1))
-    return some.select("doc_id", "h", "item", F.explode(F.array_distinct(pairs)).alias("p")).select("doc_id", "h", "item", "p.*")
+    return lists.select("doc_id", "h", "item", F.explode(F.array_distinct(pairs)).alias("p")).select("doc_id", "h", "item", "p.*")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, near: int = NEAR) -> DataFrame:
@@ -132,14 +138,14 @@ def _decontaminate(docs: DataFrame, benchmark: DataFrame, size: int, near: int)
     # Shifted lists: where each test text would begin by each of its terms looked up.
     shifted = postings.join(small_side(anchors, anchors.count(), BROADCAST_ROWS), "term")
     shifted = shifted.select("doc_id", "h", "item", (F.col("pos") - F.col("offset")).alias("begin"), "offset")
-    met = shifted.repartition("doc_id", "h", "item").groupBy("doc_id", "h", "item", "begin").agg(F.collect_set("offset").alias("offsets"))
-    met = staged(met, "met")
+    exact = windows.where("whole").select("item", "item_id", "start", "words", "probes", F.element_at("probes", 1).alias("offset"), F.size("probes").alias("n"))
+    least = exact.agg(F.coalesce(F.min("n"), F.lit(2))).first()[0]
+    lists = staged(_lists(shifted, near, least), "lists")
     n_windows = windows.count()
 
     # Exact: the windows all of whose terms looked up meet at one beginning.
-    exact = windows.where("whole").select("item", "item_id", "start", "words", "probes", F.element_at("probes", 1).alias("offset"), F.size("probes").alias("n"))
-    least = exact.agg(F.coalesce(F.min("n"), F.lit(1))).first()[0]
-    begun = met.where(F.size("offsets") >= least).select("doc_id", "h", "item", "begin", "offsets", F.explode("offsets").alias("offset"))
+    begun = lists.select("doc_id", "h", "item", F.explode("l").alias("m")).select("doc_id", "h", "item", "m.*").where(F.size("offsets") >= least)
+    begun = begun.select("*", F.explode("offsets").alias("offset"))
     candidates = begun.join(small_side(exact, n_windows, BROADCAST_ROWS), ["item", "offset"])
     candidates = candidates.where(F.forall("probes", lambda p: F.array_contains("offsets", p))).where("begin + start >= 0")
     candidate = F.struct((F.col("begin") + F.col("start")).alias("at"), "words", "item_id")
@@ -147,7 +153,7 @@ def _decontaminate(docs: DataFrame, benchmark: DataFrame, size: int, near: int)
 
     # Proximity: pairs of offsets of one window, of beginnings at most `near` apart.
     pairs = _pairs_of_windows(windows)
-    close = _close_pairs(met, near, size).join(small_side(pairs, n_windows * RAREST, BROADCAST_ROWS), ["item", "low", "high"]).select("doc_id", "h", "item_id").distinct()
+    close = _close_pairs(lists, near, size).join(small_side(pairs, n_windows * RAREST, BROADCAST_ROWS), ["item", "low", "high"]).select("doc_id", "h", "item_id").distinct()
     close = close.groupBy(F.col("doc_id").alias("near_id"), F.col("h").alias("near_h")).agg(F.count("*").alias("n_near"))
 
     found = found.join(close, [F.col("id").eqNullSafe(F.col("near_id")), F.col("k") == F.col("near_h")], "full")
