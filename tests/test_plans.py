@@ -94,3 +94,13 @@ def test_term_join_is_an_equi_join_on_anchors(spark):
 
 def test_feeds_take_the_top_without_a_full_sort(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["feed_skills"](spark, SF))
+
+
+def test_kpi_keeps_no_sketch_by_company(norm, skills, monkeypatch):
+    plans, first = [], type(norm).first
+    monkeypatch.setattr(type(norm), "first", lambda df: plans.append(plan(df)) or first(df))
+    M.market_kpi(norm, skills)
+    plans.append(plan(M.market_kpi(norm, skills, accuracy=1000)))
+    assert sum("percentile_approx" in p for p in plans) == 2
+    aggregates = [line for p in plans for line in p.splitlines() if "percentile_approx" in line]
+    assert not [a for a in aggregates if "company" in a]

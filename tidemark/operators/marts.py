@@ -175,20 +175,21 @@ def _benchmark(out: DataFrame, min_sample: int) -> DataFrame:
 def market_kpi(postings: DataFrame, skills: DataFrame, accuracy: int | None = None) -> DataFrame:
     """(metric, value) rows. A null company counts as one company; no pay gives a median of 0.
 
-    The postings are read twice for an exact median: once for the totals and a sketch that brackets it, which
-    is a job of its own with one row for the driver, and once to count around the bracket."""
+    The postings are read twice more for an exact median: once for a sketch that brackets it, and once to count
+    around the bracket. The totals and the sketch are jobs of their own with one row each for the driver. The sketch
+    is never in one aggregate with the distinct count, which would keep a sketch for every company and merge them all
+    in one task."""
     pay = "salary_monthly_mid"
     spark = postings.sparkSession
     null_company = F.coalesce(F.max(F.col("company").isNull().cast("int")), F.lit(0))
-    totals = [F.count(F.lit(1)).alias(KPI_POSTINGS), (F.count_distinct("company") + null_company).alias(KPI_COMPANIES)]
+    counted = postings.agg(F.count(F.lit(1)).alias(KPI_POSTINGS), (F.count_distinct("company") + null_company).alias(KPI_COMPANIES))
     found = _as_rows(skills.agg(F.count_distinct("skill").alias(KPI_SKILLS)))
     if accuracy is not None:
         median = F.coalesce(F.percentile_approx(pay, 0.5, accuracy), F.lit(0.0)).alias(KPI_MEDIAN)
-        return _as_rows(postings.agg(*totals, median)).unionByName(found)
-    checked = postings.select("company", in_band(pay).alias(pay))
-    first = checked.agg(*totals, *bracket(pay, 0.5)).first()
-    known = spark.createDataFrame([(first[0], first[1])], f"{KPI_POSTINGS} long, {KPI_COMPANIES} long")
-    median = quantile_within(postings, pay, 0.5, KPI_MEDIAN, *first[2:]).select(F.coalesce(KPI_MEDIAN, F.lit(0.0)).alias(KPI_MEDIAN))
+        return _as_rows(counted).unionByName(_as_rows(postings.agg(median))).unionByName(found)
+    around = postings.select(in_band(pay).alias(pay)).agg(*bracket(pay, 0.5)).first()
+    known = spark.createDataFrame([tuple(counted.first())], f"{KPI_POSTINGS} long, {KPI_COMPANIES} long")
+    median = quantile_within(postings, pay, 0.5, KPI_MEDIAN, *around).select(F.coalesce(KPI_MEDIAN, F.lit(0.0)).alias(KPI_MEDIAN))
     return _as_rows(known).unionByName(found).unionByName(_as_rows(median))
 
 
