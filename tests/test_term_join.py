@@ -62,3 +62,16 @@ def test_no_alias_in_the_plan_and_salted(spark):
     plan = df._jdf.queryExecution().toString()
     assert "zq5" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan and "salt" in plan
     assert df.first().skills == ["zq5"]
+
+
+def test_anchors_and_texts_are_joined_by_short_hashes(spark):
+    def matched_and_wide(alias):
+        rows = spark.createDataFrame([("s", alias)], "skill string, alias string")
+        df = term_match_join(frame(spark, ["a b c", "xa b cx", "é"]), rows)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        join = plan[plan.index("Join Inner"):]
+        return [r.skills for r in df.orderBy("i").collect()], "md5" in join
+
+    assert matched_and_wide("a b") == ([["s"], [], []], False)
+    assert matched_and_wide("a b c") == ([["s"], [], []], False)
+    assert matched_and_wide("é") == ([[], [], ["s"]], False)

@@ -5,11 +5,12 @@ a text meets an alias by a join on the alias's anchor: of a bounded alias its ``
 longest two of its words that follow each other, which do so in every text the alias occurs in; of any other
 alias its first two characters, or its only one. Nothing of the gazetteer is in the plan, on the driver or broadcast by force.
 
-* Texts are cut into distinct anchors that some alias may have; equal texts are one, told by a digest.
-* An anchor may be in most texts. Alias rows are written out SALTS times and texts are dealt over the
-  copies, so the texts of one anchor are joined by SALTS tasks; adaptive execution splits what is left.
-* An alias that is its own anchor, as one bounded word is, is found by the join alone. The other
-  candidates of a text are gathered with it once, and looked for in it one by one.
+* Texts are cut into distinct anchors of the kinds that the aliases have. What is shuffled of an anchor and of
+  its text are hashes, of four and eight bytes: candidates are a superset, and each alias is looked for in the text.
+* The aliases of a run, and those of three and more words, may share their anchor with any number of others.
+  Their rows are written out SALTS times and texts are dealt over the copies, so the texts of one anchor are
+  joined by SALTS tasks. Other aliases are written once; adaptive execution splits what is in very many texts.
+* The compiled aliases are staged, so the gazetteer is computed once and its shuffle files are gone by the join.
 
 Null texts have no terms. An alias is lowered and trimmed, and left out where that leaves nothing; a
 repeated one counts once.
@@ -22,9 +23,13 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.terms import BOUNDED, SUBSTRING
 from tidemark.functions.text import once
+from tidemark.sources.lake import scratch
 
 SALTS = 8
 
+#: Shared anchors, of four bytes each, up to which they are broadcast, so that no others of a text are shuffled.
+BROADCAST_ANCHORS = 1_000_000
+
 
 def compile_aliases(gazetteer: DataFrame) -> DataFrame:
     """(anchor, is_word, alias, bounded, sure, skill, position) from rows (skill, alias) with an optional
@@ -54,16 +59,44 @@ def _pairs(words: Column) -> Column:
     return F.filter(follow, lambda x: x.isNotNull())
 
 
-def _anchors(text: Column, runs: bool) -> Column:
-    """Distinct (is_word, anchor) of a text: its words alone and by two, and its characters alone and by two."""
-    both = once(F.split(text, "[^a-z0-9]+"), lambda w: F.array_distinct(F.concat(w, _pairs(w))))
-    words = F.transform(both, lambda w: F.struct(F.lit(True).alias("is_word"), w.alias("anchor")))
-    if not runs:
-        return words
-    # Every place is looked at once for two characters, a surrogate pair being one character.
-    two = F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(..?))."), 1))
-    every = once(two, lambda t: F.array_distinct(F.concat(t, F.transform(t, lambda x: F.substring(x, 1, 1)))))
-    return F.concat(words, F.transform(every, lambda x: F.struct(F.lit(False).alias("is_word"), x.alias("anchor"))))
+#: Kinds of anchors, each with the aliases that have it: a word, two words, two words of more, one character, two.
+KINDS = {
+    "word": "is_word AND n_words = 1", "pair": "is_word AND n_words = 2", "part": "is_word AND n_words > 2",
+    "one": "NOT is_word AND length(anchor) = 1", "two": "NOT is_word AND length(anchor) > 1",
+}
+SHARED = ("part", "one", "two")
+
+
+def _key(anchor: Column, is_word: Column | bool) -> Column:
+    """Four bytes that stand for an anchor in the join."""
+    return F.hash(F.lit(is_word) if isinstance(is_word, bool) else is_word, anchor)
+
+
+def _anchors(text: Column, kinds: set[str]) -> Column:
+    """Distinct (anchor, shared) of a text, for the given kinds: its words alone and by two, and its characters
+    alone and by two."""
+    def marked(parts: Column, is_word: bool, shared: bool) -> Column:
+        return F.transform(parts, lambda x: F.struct(_key(x, is_word).alias("anchor"), F.lit(shared).alias("shared")))
+
+    def of_words(words: Column) -> Column:
+        parts = [F.array().cast("array<struct<anchor:int,shared:boolean>>")]
+        if "word" in kinds:
+            parts.append(marked(F.array_distinct(words), True, False))
+        if kinds & {"pair", "part"}:
+            parts.append(once(F.array_distinct(_pairs(words)), lambda p: F.concat(*[marked(p, True, k == "part") for k in ("pair", "part") if k in kinds])))
+        return F.concat(*parts)
+
+    every = once(F.filter(F.split(text, "[^a-z0-9]+"), lambda w: w != ""), of_words)
+    if kinds & {"one", "two"}:
+        # Every place is looked at once for two characters, a surrogate pair being one character.
+        def of_runs(two: Column) -> Column:
+            # The last character stands alone, so what is no longer than one is no run of two.
+            long = F.filter(two, lambda x: F.length(x) > 1) if "two" in kinds else F.array().cast("array<string>")
+            return F.concat(long, F.array_distinct(F.transform(two, lambda x: F.substring(x, 1, 1)))) if "one" in kinds else long
+
+        runs = once(F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(..?))."), 1)), of_runs)
+        every = F.concat(every, marked(runs, False, True))
+    return every
 
 
 def _holds(text: Column, alias: Column, bounded: Column) -> Column:
@@ -75,20 +108,29 @@ def _holds(text: Column, alias: Column, bounded: Column) -> Column:
 def term_match_join(df: DataFrame, gazetteer: DataFrame, text: str = "full_text", into: str = "skills", salts: int = SALTS) -> DataFrame:
     """Adds the array of terms found in the text, each once, in order of position and name; empty where
     there is none. Lower-case the text first. `gazetteer` is a table, see `compile_aliases`."""
-    aliases = compile_aliases(gazetteer)
-    # A term listed at several positions is at its first.
-    aliases = aliases.withColumn("position", F.min("position").over(Window.partitionBy("skill")))
-    any_runs = bool(aliases.where("NOT is_word").take(1))
-    texts = df.select(F.md5(F.col(text)).alias("_digest"), F.col(text).alias("_text")).where("_text IS NOT NULL")
-    found = texts.select("_digest", F.explode(_anchors(F.col("_text"), any_runs)).alias("_a")).select("_digest", "_a.*").where("anchor <> ''")
-    dealt = found.withColumn("salt", F.pmod(F.xxhash64("_digest"), F.lit(salts)).cast("int"))
-    copies = aliases.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    candidates = dealt.join(copies, ["anchor", "is_word", "salt"])
-    entry = F.struct("position", "skill", "alias", "bounded", "sure")
+    with scratch(df.sparkSession) as scope:
+        aliases = compile_aliases(gazetteer).withColumn("n_words", F.when(F.col("is_word"), F.size(F.regexp_extract_all("alias", F.lit("([a-z0-9]+)"), 1))))
+        kind = F.coalesce(*[F.when(F.expr(holds), F.lit(k)) for k, holds in KINDS.items()])
+        if "position" in gazetteer.columns:
+            # A term listed at several positions is at its first.
+            aliases = aliases.withColumn("position", F.min("position").over(Window.partitionBy("skill")))
+        aliases = scope.keep(aliases.select(_key(F.col("anchor"), F.col("is_word")).alias("anchor"), kind.alias("kind"), "alias", "bounded", "skill", "position"), "aliases")
+        kinds = {r.kind for r in aliases.select("kind").distinct().collect()}
+        shared = aliases.where(F.col("kind").isin(*SHARED)).select("anchor").distinct()
+        few = shared.count() <= BROADCAST_ANCHORS
+    texts = df.select(F.xxhash64(F.col(text)).alias("_digest"), F.col(text).alias("_text")).where("_text IS NOT NULL")
+    found = texts.select("_digest", F.inline(_anchors(F.col("_text"), kinds)))
+    if few:
+        found = found.join(F.broadcast(shared.withColumn("_held", F.lit(True))), "anchor", "left").where("_held OR NOT shared")
+    share = F.pmod(F.col("_digest"), F.lit(salts)) + 1
+    dealt = found.select("_digest", "anchor", F.when(F.col("shared"), share).otherwise(0).cast("int").alias("salt"))
+    places = F.when(F.col("kind").isin(*SHARED), F.sequence(F.lit(1), F.lit(salts))).otherwise(F.array(F.lit(0)))
+    candidates = dealt.join(aliases.select("*", F.explode(places).alias("salt")), ["anchor", "salt"])
+    entry = F.struct("position", "skill", "alias", "bounded")
     gathered = candidates.groupBy("_digest").agg(F.collect_set(entry).alias("_found"))
-    both = df.withColumn("_digest", F.md5(F.col(text))).join(gathered, "_digest", "left")
+    both = df.withColumn("_digest", F.xxhash64(F.col(text))).join(gathered, "_digest", "left")
     body = F.col(text)
-    hits = F.filter("_found", lambda e: e["sure"] | _holds(body, e["alias"], e["bounded"]))
+    hits = F.filter("_found", lambda e: _holds(body, e["alias"], e["bounded"]))
     terms = F.sort_array(F.array_distinct(F.transform(hits, lambda e: F.struct(e["position"].alias("p"), e["skill"].alias("s")))))
     names = F.coalesce(F.transform(terms, lambda e: e["s"]), F.array().cast("array<string>"))
     return both.select(*[F.col(f"`{c}`") for c in df.columns if c != into], names.alias(into))
