@@ -453,7 +453,7 @@ def salary_benchmark(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def salary_benchmark_merged(spark: SparkSession, sf: str) -> DataFrame:
     """The benchmark from counts of two loads, kept as tables and added up."""
-    skills = V.skills(spark, sf)
+    skills = lake.staged(V.skills(spark, sf), "skills")
     first = F.col("seniority") == "senior"
     loads = [lake.staged(M.pay_counts(skills.filter(own)), "pay-counts") for own in (first, ~first)]
     return M.benchmark_from_counts(M.merge_counts(*loads))

@@ -104,3 +104,10 @@ def test_kpi_keeps_no_sketch_by_company(norm, skills, monkeypatch):
     assert sum("percentile_approx" in p for p in plans) == 2
     aggregates = [line for p in plans for line in p.splitlines() if "percentile_approx" in line]
     assert not [a for a in aggregates if "company" in a]
+
+
+def test_both_loads_of_the_merged_benchmark_read_one_long_table(spark, monkeypatch):
+    plans, staged = [], lake.staged
+    monkeypatch.setattr(lake, "staged", lambda df, name: plans.append(plan(df)) or staged(df, name))
+    QUERIES["salary_benchmark_merged"](spark, SF)
+    assert sum("lineitem" in p for p in plans) == 1
