@@ -65,7 +65,7 @@ def bronze_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Three merges into the current table: every posting, those of one source again with another title and
     a month later, and those of another as they were before, which changes nothing."""
     path = lake.new_folder(spark, "current")
-    first = conform(V.postings(spark, sf))
+    first = lake.staged(conform(V.postings(spark, sf)), "first")
     lake.merge_current(first, path)
     lake.merge_current(V.reposted(first), path)
     lake.merge_current(first.filter("source = 'o'").withColumns({"title": F.lit("early"), "fetched_at": F.lit("1990-01-01")}), path)

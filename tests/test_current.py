@@ -117,3 +117,42 @@ def test_failed_batch_leaves_no_rows(spark, tmp_path):
     assert lake.scan_bronze(spark, f"{root}/bronze", latest=False).count() == 6
     assert lake.intake(spark, source, root) == []
     assert lake.scan_bronze(spark, f"{root}/bronze").agg(F.count("*")).first()[0] == 6
+
+
+def test_updates_older_than_what_is_there_write_nothing(spark, tmp_path):
+    path = str(tmp_path / "current")
+    lake.merge_current(postings(spark, ROWS), path)
+    before = files(path)
+    late = [("a", "1", "late", "2024-01-05", "2024-01-01", 1), ("b", "1", "late", "2024-06-07", "2024-01-01", 1), ("b", "3", "again", None, None, 1)]
+    assert lake.merge_current(postings(spark, late[:2]), path) == [] and files(path) == before
+    # Of the same time: the update stays, and only its month is written.
+    assert lake.merge_current(postings(spark, late), path) == ["none"]
+    assert current(spark, path)[("b", "3")] == ("again", "none") and len(current(spark, path)) == 6
+
+
+def test_merges_leave_the_latest_row_of_every_key(spark, tmp_path, monkeypatch):
+    path, every = str(tmp_path / "current"), {}
+    monkeypatch.setattr(lake, "ROWS_PER_PART", 2)
+    for turn in range(4):
+        rows = [("ab"[i % 2], str(i % 13), f"{turn}-{i}", [None, "2024-01-05", "2024-02-06", "2024-03-07"][(i * 7 + turn * i) % 4], [None, "2024-02-01", "2024-03-01"][(i * 5 + turn) % 3], i)
+                for i in range(turn, 13, turn + 1)]
+        lake.merge_current(postings(spark, rows), path)
+        for source, job, title, posted, fetched, _ in rows:
+            if (source, job) not in every or (fetched or "") >= every[source, job][0]:
+                every[source, job] = (fetched or "", title, (posted or fetched or "none")[:7])
+        assert current(spark, path) == {k: v[1:] for k, v in every.items()}
+        assert lake.read_current(spark, path).count() == len(every)
+
+
+def test_merge_shuffles_whole_rows_once(spark, tmp_path, monkeypatch):
+    path, plans, staged = str(tmp_path / "current"), {}, lake.staged
+
+    def seen(df, name, *by):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, name, *by)
+
+    lake.merge_current(postings(spark, ROWS), path)
+    monkeypatch.setattr(lake, "staged", seen)
+    lake.merge_current(postings(spark, ROWS[:2]), path)
+    assert plans["merged"].count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(month" in plans["merged"]
+    assert "requirements" not in plans["met"]

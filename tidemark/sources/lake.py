@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.functions.text import year_month
 from tidemark.operators.conform import conform
-from tidemark.operators.latest import latest_located, latest_version, upsert_latest
+from tidemark.operators.latest import latest_located, latest_version
 
 ROWS_PER_FILE = 5_000_000
 
@@ -52,13 +52,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{os.urandom(8).hex()}")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write the frame to the shared folder and read it back, for a plan that uses it more than
-    once. The table outlives executors, and later uses read only the columns they need."""
+    once. The table outlives executors, and later uses read only the columns they need. `by` is a last
+    column by whose values it is laid out in folders."""
     path = new_folder(df.sparkSession, name)
     if (scope := _SCOPE.get()) is not None:
         scope.paths.add(path)
-    df.write.parquet(path)
+    (df.write if by is None else df.write.partitionBy(by)).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.staged_path = path
     return table
@@ -166,36 +167,80 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T.StructType([*schemas.POSTING, T.StructField(MONTH, T.StringType())])).parquet(path)
 
 
+#: Rows of a month that one task merges and writes.
+ROWS_PER_PART = 1 << 18
+
+
 def merge_current(updates: DataFrame, path: str, key: tuple[str, ...] = ("source", "job_id"), order: tuple[str, ...] = ("fetched_at",)) -> list[str]:
     """Bring updates into the table of current postings at `path`, made if it is not there, and return the
     months that were written. The latest row of a key stays, an update before an existing row of its time.
 
-    Months are touched by an update or by the row that it replaces, which is found by the keys alone; only
-    these are read whole and written again. Rows without a key are left out. The merged months are
-    staged before the table is written: a merge that fails can be run again, and a merge that is run
-    again changes nothing.
+    Months are touched by an update that is not older than the rows of its key, and by the rows that it replaces;
+    both are found by keys, order and month alone. Only these months are read whole and written again, and whole
+    rows are shuffled once, by month: a key that changes its month leaves a mark there that its row is gone.
+    Rows without a key are left out. The merged months are staged before the table is written: a merge that fails
+    can be run again, and a merge that is run again changes nothing.
     """
     spark = updates.sparkSession
     with scratch(spark):
         month = F.coalesce(year_month(F.col("posted_date"), F.col("fetched_at")), F.lit(NO_MONTH))
         rows = conform(updates).where(" AND ".join(f"{k} IS NOT NULL" for k in key))
-        new = staged(latest_version(rows, key, order).withColumn(MONTH, month), "updates")
+        new = latest_version(rows, key, order).withColumn(MONTH, month)
         if not exists(spark, path):
-            months, merged = [r[0] for r in new.select(MONTH).distinct().collect()], new
-        else:
-            held = read_current(spark, path).select(*key, MONTH).join(new.select(*key), list(key), "left_semi")
-            months = [r[0] for r in held.select(MONTH).union(new.select(MONTH)).distinct().collect()]
-            old = read_current(spark, path).where(F.col(MONTH).isin(months))
-            merged = staged(upsert_latest(old, new, key, order), "merged")
-        # Months are rebalanced, so that a large one becomes several files and a small one a single file.
-        writer = merged.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(MONTH).parquet(path)
+            # Months are rebalanced, so that a large one becomes several files and a small one a single file.
+            _overwrite_months(new.hint("rebalance", MONTH), path)
+            return sorted(r[0] for r in read_current(spark, path).select(MONTH).distinct().collect())
+        new = staged(new, "updates")
+        met = staged(_met(read_current(spark, path), new, key, order), "met")
+        months = _touched(new, met)
+        old = read_current(spark, path).where(F.col(MONTH).isin(months))
+        merged = staged(_merged(old, new.where(F.col(MONTH).isin(months)), met, key, order), "merged", MONTH)
+        _overwrite_months(merged, path)
         left = {r[0] for r in merged.select(MONTH).distinct().collect()}
         for gone in set(months) - left:
             remove(spark, os.path.join(path, f"{MONTH}={gone}"))
     return sorted(months)
 
 
+def _overwrite_months(rows: DataFrame, path: str) -> None:
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(MONTH).parquet(path)
+
+
+def _met(old: DataFrame, new: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
+    """Keys that the table and the updates hold: their latest row's order, `_new` and month, the update's month
+    and the months of the table's rows. These are several only after a merge that failed."""
+    rank = F.struct(*order, F.lit(0).alias("_new"), MONTH)
+    update = new.select(*key, F.struct(*order, F.lit(1).alias("_new"), MONTH).alias("_update"))
+    both = old.select(*key, rank.alias("_held")).join(update, list(key)).groupBy(*key)
+    found = both.agg(F.greatest(F.max("_held"), F.max("_update")).alias("_best"), F.max("_update").alias("_update"), F.collect_set(f"_held.{MONTH}").alias("held"))
+    return found.select(*key, "_best", F.col(f"_update.{MONTH}").alias("arrives"), "held")
+
+
+def _touched(new: DataFrame, met: DataFrame) -> list[str]:
+    """Months that an update comes into, and those with a row that is no longer the latest of its key."""
+    late = met.where("_best._new = 0").select(F.col("arrives").alias(MONTH), F.lit(-1).alias("n"))
+    comes = new.select(MONTH, F.lit(1).alias("n")).unionByName(late).groupBy(MONTH).agg(F.sum("n").alias("n")).where("n > 0")
+    goes = met.select("_best", F.explode("held").alias(MONTH)).where(f"_best._new = 1 OR _best.{MONTH} <> {MONTH}")
+    return [r[0] for r in comes.select(MONTH).union(goes.select(MONTH)).distinct().collect()]
+
+
+def _merged(old: DataFrame, new: DataFrame, met: DataFrame, key: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
+    """The latest row of each key in the months of `old` and `new`. A key whose latest row is in another month is
+    marked as gone by a row without content that outranks what is there."""
+    spark, rank = old.sparkSession, [*order, "_new", "_gone"]
+    at = F.explode(F.array_distinct(F.concat("held", F.array("arrives")))).alias(MONTH)
+    gone = met.select(*key, "_best", at).where(f"_best.{MONTH} <> {MONTH}")
+    gone = gone.select(*key, MONTH, *[F.col(f"_best.{c}").alias(c) for c in order if c not in key], F.lit(1).alias("_new"), F.lit(1).alias("_gone"))
+    rows = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1))).withColumn("_gone", F.lit(0))
+    sizes = old.select(MONTH).unionByName(new.select(MONTH)).groupBy(MONTH).agg(F.ceil(F.count("*") / ROWS_PER_PART).cast("int").alias("_parts"))
+    sizes = F.broadcast(spark.createDataFrame([tuple(r) for r in sizes.collect()], f"{MONTH} string, _parts int"))
+    dealt = rows.unionByName(gone, allowMissingColumns=True).join(sizes, MONTH).withColumn("_part", F.pmod(F.xxhash64(*key), "_parts"))
+    row = F.struct(*rank, *[c for c in old.columns if c not in order])
+    best = dealt.repartition(MONTH, "_part").groupBy(MONTH, "_part", *key).agg(F.max(row).alias("_row"))
+    return best.where("_row._gone = 0").select(*[F.col(f"_row.`{c}`").alias(c) for c in old.columns])
+
+
 # Intake
 
 def land_new_files(spark: SparkSession, source: str, bronze: str, checkpoint: str, fmt: str = "json", files_per_batch: int | None = None) -> None:
