@@ -76,9 +76,9 @@ def bronze_merge(spark: SparkSession, sf: str) -> DataFrame:
 def bronze_intake(spark: SparkSession, sf: str) -> DataFrame:
     """Files put into a folder one after the other, taken in after each, and once with nothing new."""
     source, root = lake.new_folder(spark, "incoming"), lake.new_folder(spark, "lake")
-    first = conform(V.postings(spark, sf))
+    first = lake.staged(conform(V.postings(spark, sf)), "first")
     for batch in (first, V.reposted(first)):
-        batch.write.mode("append").option("ignoreNullFields", False).json(source)
+        batch.write.mode("append").options(ignoreNullFields=False, compression="gzip").json(source)
         lake.intake(spark, source, root, files_per_batch=3)
     lake.intake(spark, source, root)
     return lake.read_current(spark, f"{root}/current")
