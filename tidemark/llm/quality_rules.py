@@ -1,12 +1,13 @@
 """Quality rules: statistics of every text, two fixed rules, and an isolation forest.
 
-Trees split a bounded sample of labelled rows at random values of random statistics; a text that few
-splits set apart from the rest has short paths and is anomalous. The threshold on the score is the one
-that, over the labelled rows of the sample, rejects most rows labelled bad less COST times the rows
-labelled good. Where no row is labelled bad or good, no threshold holds and the fixed rules alone decide.
+Trees split labelled rows at random values of random statistics; a text that few splits set apart from the
+rest has short paths and is anomalous. As the method has it, each tree is grown on ROWS_PER_TREE rows, which it
+draws from all labelled rows. The threshold on the score is the one that, over all labelled rows, rejects most
+rows labelled bad less COST times the rows labelled good. Where no row is labelled bad or good, no threshold
+holds and the fixed rules alone decide.
 
-The forest and its threshold have a size that does not grow (TREES trees on SAMPLE rows). Statistics
-are taken by array operations over whole Arrow batches, each text by itself, without a shuffle.
+The forest has a size that does not grow. Its scores of the labelled rows are added up in order, range by range.
+Statistics are taken by array operations over whole Arrow batches, each text by itself, without a shuffle.
 
 Null or empty text: no words, so it fails the first rule. Null ids and repeated ids are kept as rows of
 their own; of the texts of a labelled id one is learnt from. Labels that are null are left out.
@@ -27,8 +28,10 @@ from tidemark.llm.words import SPACED, chunks, window_hashes
 from tidemark.llm.tables import small_side
 from tidemark.sources.lake import scratch, staged
 
-#: Labelled rows, chosen by a hash of the id, that the forest and its threshold are fitted on.
-SAMPLE = 20_000
+#: Labelled rows from which the trees draw theirs in the driver; of more, only what they draw is sent to it.
+LOCAL_ROWS = 20_000
+#: Labelled ids that are sent to all executors; more are joined.
+BROADCAST_IDS = 500_000
 TREES = 100
 ROWS_PER_TREE = 256
 #: How much worse it is to reject a good row than to keep a bad one.
@@ -115,7 +118,8 @@ class Forest:
     threshold: float = np.inf
 
     @classmethod
-    def fit(cls, rows: np.ndarray, trees: int = TREES, per_tree: int = ROWS_PER_TREE, seed: int = 7) -> Forest:
+    def fit(cls, rows: np.ndarray, trees: int = TREES, per_tree: int = ROWS_PER_TREE, seed: int = 7, draws: list[np.ndarray] | None = None) -> Forest:
+        """Each tree draws its rows, or has them given by their places in `draws`."""
         rng = np.random.default_rng(seed)
         size = min(per_tree, len(rows))
         limit = int(np.ceil(np.log2(max(size, 2))))
@@ -123,7 +127,7 @@ class Forest:
         feature = np.full((trees, width), -1)
         value, depth, child = np.zeros((trees, width)), np.zeros((trees, width)), np.zeros((trees, width), int)
         for t in range(trees):
-            todo, used = [(0, rng.choice(len(rows), size, replace=False), 0)], 1
+            todo, used = [(0, rng.choice(len(rows), size, replace=False) if draws is None else draws[t], 0)], 1
             while todo:
                 node, own, level = todo.pop()
                 x = rows[own]
@@ -182,27 +186,83 @@ def _measure(batches):
         yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), **stats})
 
 
-def _fit(labelled: DataFrame, sample: int) -> Forest:
-    """On labelled statistics (doc_id, quality, STATS), about `sample` rows at most: beyond that the ids with the
-    smallest hashes, by a bound that follows from the number of rows, so that no task gathers more than its own."""
+def _fit(labelled: DataFrame, local: int = LOCAL_ROWS) -> Forest:
+    """On labelled statistics (doc_id, quality, STATS): trees that draw from all of them, and the threshold of all."""
     names = list(STATS)
     one = labelled.groupBy("doc_id", "quality").agg(F.min(F.struct(*names)).alias("s"))  # an id may have any number of rows
     labelled = staged(one.select("doc_id", "quality", "s.*"), "labelled")
-    rows = _under_bound(labelled, labelled.count(), sample).orderBy(F.xxhash64("doc_id"), "doc_id", *names).toPandas()
-    if not len(rows):
+    n = labelled.count()
+    if not n:
         return Forest(*(np.full((1, 1), -1), np.zeros((1, 1)), np.zeros((1, 1), int), np.zeros((1, 1))), usual=1.0)
-    stats = {n: rows[n].to_numpy() for n in names}
-    x, bad = features(stats), rows["quality"].to_numpy() == 0
-    forest = Forest.fit(x)
-    open_rows = ~base_failed(stats)  # what the fixed rules leave is what the threshold decides on
-    return forest.calibrated(forest.scores(x[open_rows]), bad[open_rows])
-
-
-def _under_bound(rows: DataFrame, n: int, sample: int) -> DataFrame:
-    """The rows whose id's hash is under the bound that lets `sample` of n rows through."""
-    if n <= sample:
-        return rows
-    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) < F.lit((1 << 31) * sample // n))
+    if n <= local:
+        rows = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", *names).toPandas()
+        forest = Forest.fit(features({c: rows[c].to_numpy() for c in names}))
+    else:
+        rows = _drawn(labelled, n)
+        tree = rows["tree"].to_numpy()
+        forest = Forest.fit(features({c: rows[c].to_numpy() for c in names}), draws=[np.flatnonzero(tree == t) for t in range(TREES)])
+    forest.threshold = _threshold(labelled, forest)
+    return forest
+
+
+def _drawn(labelled: DataFrame, n: int):
+    """(tree, STATS): ROWS_PER_TREE of the n rows for each tree, those with the smallest hashes of id and tree. A
+    bound on the hash lets about twice as many through, whatever n is."""
+    h = F.pmod(F.xxhash64("doc_id", "tree"), F.lit(1 << 31))
+    every = labelled.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))).withColumn("h", h)
+    under = every.where(F.col("h") < F.lit((1 << 31) * 2 * ROWS_PER_TREE // n))
+    return under.orderBy("tree", "h", "doc_id", *STATS).select("tree", *STATS).toPandas().groupby("tree").head(ROWS_PER_TREE)
+
+
+def _threshold(labelled: DataFrame, forest: Forest, cost: float = COST) -> float:
+    """`Forest.calibrated` over all rows, wherever they are: scores are dealt in descending ranges, each task sums
+    the gains of its own, and the driver puts one row of each range together."""
+    shared = labelled.sparkSession.sparkContext.broadcast(forest)
+
+    def score(batches):
+        for batch in batches:
+            stats = {c: batch.column(c).to_numpy() for c in STATS}
+            left = ~base_failed(stats)  # what the fixed rules leave is what the threshold decides on
+            if left.any():
+                scores = shared.value.scores(features({c: x[left] for c, x in stats.items()}))
+                yield pa.RecordBatch.from_pydict({"score": scores, "bad": (batch.column("quality").to_numpy()[left] == 0).astype(np.int64)})
+
+    def summed(batches):
+        first, last, total, bad, rows, best = None, None, 0.0, 0, 0, None
+        for batch in batches:
+            own, b, n = (batch.column(c).to_numpy() for c in ("score", "bad", "n"))
+            if not len(own):
+                continue
+            if best is not None and best[2] is None:
+                best = (best[0], best[1], own[0])
+            gain = total + np.cumsum(b - cost * (n - b))
+            i = int(np.argmax(gain))
+            if best is None or gain[i] > best[0]:
+                best = (gain[i], own[i], own[i + 1] if i + 1 < len(own) else None)
+            first, last, total, bad, rows = own[0] if first is None else first, own[-1], gain[-1], bad + b.sum(), rows + n.sum()
+        if best is not None:
+            values = (first, last, total, bad, rows, *best)
+            yield pa.RecordBatch.from_pydict({k: [None if v is None else t(v)] for (k, t), v in zip(_RANGE.items(), values, strict=True)}, schema=_RANGE_ROW)
+
+    scored = labelled.mapInArrow(score, "score double, bad long")
+    each = scored.groupBy("score").agg(F.sum("bad").alias("bad"), F.count("*").alias("n"))
+    ordered = each.repartitionByRange(F.desc("score")).sortWithinPartitions(F.desc("score"))
+    ranges = sorted(ordered.mapInArrow(summed, "first double, last double, total double, bad long, n long, gain double, at double, next double").collect(), key=lambda r: -r.first)
+    bad, rows = sum(r.bad for r in ranges), sum(r.n for r in ranges)
+    if not bad or bad == rows:
+        return np.inf
+    before, best, threshold = 0.0, 0.0, np.inf
+    for r, after in zip(ranges, [*ranges[1:], None], strict=True):
+        if before + r.gain > best:
+            best = before + r.gain
+            below = r.next if r.next is not None else after.first if after is not None else r.at - 1e-6
+            threshold = float((r.at + below) / 2)
+        before += r.total
+    return threshold
+
+
+_RANGE = {"first": float, "last": float, "total": float, "bad": int, "n": int, "gain": float, "at": float, "next": float}
+_RANGE_ROW = pa.schema([(k, pa.int64() if t is int else pa.float64()) for k, t in _RANGE.items()])
 
 
 def _judge(stats: dict[str, np.ndarray], forest: Forest) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -224,15 +284,15 @@ def known_quality(labels: DataFrame) -> DataFrame:
     return known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("int")).alias("quality"))
 
 
-def train(measured: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Forest:
+def train(measured: DataFrame, labels: DataFrame) -> Forest:
     """Forest and threshold from the measured rows that `labels` (doc_id, quality) covers."""
-    return _fit(measured.join(known_quality(labels), "doc_id"), sample)
+    return _fit(measured.join(known_quality(labels), "doc_id"))
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, STATS, base_failed, kept, score of every row of docs (doc_id, text)."""
     measured = staged(measure(docs), "measured")
-    forest = docs.sparkSession.sparkContext.broadcast(train(measured, labels, sample))
+    forest = docs.sparkSession.sparkContext.broadcast(train(measured, labels))
 
     def judge(batches):
         for batch in batches:
@@ -245,14 +305,13 @@ def quality_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     return measured.mapInArrow(judge, f"doc_id long, {kinds}, base_failed boolean, kept boolean, score double")
 
 
-def filter_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with all their columns. Texts are measured as they are judged; before
-    that only those of the labelled sample are."""
+    that only those with a label are."""
     with scratch(docs.sparkSession):
         covered = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().join(known_quality(labels), "doc_id"), "covered")
-        chosen = _under_bound(covered, covered.count(), sample)
-        some = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(small_side(chosen.select("doc_id"), sample, sample), "doc_id", "left_semi")
-        forest = docs.sparkSession.sparkContext.broadcast(_fit(measure(some).join(chosen, "doc_id"), sample))
+        some = docs.withColumn("doc_id", F.col("doc_id").cast("long")).join(small_side(covered.select("doc_id"), covered.count(), BROADCAST_IDS), "doc_id", "left_semi")
+        forest = docs.sparkSession.sparkContext.broadcast(_fit(measure(some).join(covered, "doc_id")))
 
     def keep(batches):
         for batch in batches:
