@@ -68,10 +68,10 @@ def _iso(day: Column) -> Column:
 
 
 def order_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(l_orderkey, description): the distinct part names of an order, sorted and joined. The
-    distinct comes first, on two numbers, so an order with very many lines is reduced before its
-    names are gathered."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").distinct()
+    """(l_orderkey, description): the distinct part names of an order, sorted and joined. Names are
+    gathered as sets in the tasks of the join, before the shuffle by order, so an order with very many
+    lines is reduced there and the lines are shuffled once."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     sold = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     names = F.sort_array(F.collect_set("p_name"))

@@ -111,3 +111,8 @@ def test_both_loads_of_the_merged_benchmark_read_one_long_table(spark, monkeypat
     monkeypatch.setattr(lake, "staged", lambda df, name: plans.append(plan(df)) or staged(df, name))
     QUERIES["salary_benchmark_merged"](spark, SF)
     assert sum("lineitem" in p for p in plans) == 1
+
+
+def test_lines_of_an_order_are_shuffled_by_order_once(spark):
+    text = plan(V.order_texts(spark, SF))
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1 and "partial_collect_set(p_name" in text
