@@ -183,10 +183,17 @@ def mixed_documents(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     mix = mixture(docs, slots).groupBy(F.col("doc_id").alias("_mix_id"), F.col("h").alias("_mix_hash"), F.col("source").alias("_mix_source"))
     mix = mix.agg(F.sum("size").alias("size"), F.sum("taken").alias("_taken"), F.count("*").alias("_rows")).where("_taken > 0")
     mix = mix.select("_mix_id", "_mix_hash", "_mix_source", F.expr("size div _rows").alias("_size"), "_taken")
-    # A row is told by id, text and source: a text that two sources have is read for each of them.
-    once = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash", "source"])
-    same = [F.col("doc_id").eqNullSafe(F.col("_mix_id")), F.col("_hash") == F.col("_mix_hash"), F.col("source").eqNullSafe(F.col("_mix_source"))]
-    rows = once.join(mix, same)
+    # A row is told by id, text and source: a text that two sources have is read for each of them. Repeats go
+    # after the join, by its very keys, so texts are shuffled once.
+    none = F.lit(0).cast(docs.schema["doc_id"].dataType)
+
+    def told(doc_id: Column, source: Column) -> dict[str, Column]:
+        source = source.cast("string")
+        return {"_mix_id": F.coalesce(doc_id, none), "_mix_no_id": doc_id.isNull(), "_mix_of": F.coalesce(source, F.lit("")), "_mix_no_of": source.isNull()}
+
+    mix = mix.select(*(c.alias(k) for k, c in told(F.col("_mix_id"), F.col("_mix_source")).items()), F.col("_mix_hash").alias("_hash"), "_size", "_taken")
+    own = told(F.col("doc_id"), F.col("source")) | {"_hash": F.xxhash64("text")}
+    rows = docs.withColumns(own).join(mix, [*own]).dropDuplicates([*own])
     copies = F.sequence(F.lit(1).cast("long"), F.expr("(_taken + _size - 1) div _size"))
     rows = rows.withColumn("_copy", F.explode(copies))
     part = F.when(F.col("_copy") * F.col("_size") > F.col("_taken"), F.col("_taken") % F.col("_size"))
