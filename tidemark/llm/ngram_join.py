@@ -10,12 +10,14 @@ binary search until T is reached or out of reach.
   in, then by hash. The counters are a fixed number, summed over all documents, so their broadcast
   does not grow; what they confuse costs time and never a result.
 * Postings of short lists are dealt out by shingle and sorted, which merges the lists of all queries
-  at once. The merge streams: the first member of a list is its pivot, and each other member is paired
-  with it, so a list of any length takes no memory and gives no more pairs than members.
-* Every set has a 256-bit signature, which bounds from below how many members two sets differ in. A
-  pair that the bound rules out is not probed; none that links is ruled out.
+  at once. The merge streams. Most lists have a few members: all their pairs are written and the list is
+  done with. The first member of a longer list is its pivot, and each other member is paired with it, so a
+  list of any length takes no memory and gives a few times as many pairs as members at most.
+* Every set has a 256-bit signature, which bounds from below how many members two sets differ in, and a
+  wide one of a bit or two per member, as 256 bits say nothing of large sets. A pair that a bound rules out
+  is not probed; none that links is ruled out.
 * Members are compared with the pivots of their lists first; pairs that reach T make components. Only
-  pairs of one list in *different* components can still join anything, so only members that have such a
+  pairs of one longer list in *different* components can still join anything, so only members that have such a
   partner of a fitting size are looked at next: near copies by the thousand are never paired with each
   other, and no link between components is lost.
 * Tables written on the way are removed when nothing reads them any more.
@@ -45,6 +47,8 @@ COUNTERS = 1 << 18
 #: Columns of a set's signature.
 SIGN = ["s1", "s2", "s3", "s4"]
 SLICES = 64
+#: Members of a list whose pairs are all looked at when it is merged. Longer lists go by their pivots.
+SMALL = 8
 #: Turns of other pivots at most. What they leave is compared pair by pair.
 MAX_TURNS = 1
 #: Orders of documents by which lists choose their pivots, a power of two: with one order for all lists a
@@ -73,6 +77,23 @@ def _sign(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _wide(s: np.ndarray) -> np.ndarray:
+    """The same by the lowest bits of the members, in as many bits as there are members or up to twice that."""
+    width = max(1 << (len(s) - 1).bit_length(), 64) if len(s) else 64
+    odd = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _wide_allow(percent: int):
+    """The bound of `_signs_allow` by wide signatures (a_wide, b_wide): the longer one is folded onto the other."""
+    fold = "zip_with(slice({0}, 1, size({1})), slice({0}, size({1}) + 1, size({1})), (p, q) -> p ^ q)"
+    meet = "aggregate(zip_with({0}, {1}, (p, q) -> bit_count(p ^ q)), 0, (s, x) -> s + x)"
+    a, b = "a_wide", "b_wide"
+    apart = (f"CASE WHEN size({a}) = size({b}) THEN {meet.format(a, b)} WHEN size({a}) = 2 * size({b}) THEN {meet.format(fold.format(a, b), b)}"
+             f" WHEN size({b}) = 2 * size({a}) THEN {meet.format(a, fold.format(b, a))} ELSE 0 END")
+    return F.expr(f"{100 + percent}L * ({apart}) <= {100 - percent}L * (a_n + b_n)")
+
+
 def _signs_allow(a: str, b: str, percent: int):
     """Whether sets with these signatures may reach the threshold. Every bit that differs is a member
     that only one of them has, and a pair that links has at most (1 - t) / (1 + t) of both sizes of those."""
@@ -84,33 +105,33 @@ def _describe(size: int):
     """One row for each document (its set's size and fingerprint), and one for each slice of the
     partition's counters."""
 
-    names = ["doc_id", "n", "f1", "f2", *SIGN, "slice", "counts"]
+    names = ["doc_id", "n", "f1", "f2", *SIGN, "wide", "slice", "counts"]
 
     def run(batches):
         counts = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            n, f1, f2, signs = [], [], [], []
+            n, f1, f2, signs, wide = [], [], [], [], []
             for _, s in _sets(batch.column("text"), size):
                 counts += np.bincount(s & np.uint64(COUNTERS - 1), minlength=COUNTERS) if len(s) > COUNTERS // 8 else 0
                 if len(s) <= COUNTERS // 8:
                     np.add.at(counts, (s & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
                 a, b = _finger(s)
-                n.append(len(s)), f1.append(a), f2.append(b), signs.append(_sign(s))
+                n.append(len(s)), f1.append(a), f2.append(b), signs.append(_sign(s)), wide.append(_wide(s))
             m = len(n)
             signs = np.array(signs, np.int64).reshape(m, len(SIGN))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(f1, pa.int64()),
-                 pa.array(f2, pa.int64()), *(pa.array(x) for x in signs.T), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
+                 pa.array(f2, pa.int64()), *(pa.array(x) for x in signs.T), pa.array(wide, pa.list_(pa.int64())), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary())], names)
         width = COUNTERS // SLICES
         parts = [counts[i * width : (i + 1) * width].astype("<u4").tobytes() for i in range(SLICES)]
         null = pa.nulls(SLICES, pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [null, null, null, null, *(null for _ in SIGN), pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names)
+            [null, null, null, null, *(null for _ in SIGN), pa.nulls(SLICES, pa.list_(pa.int64())), pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names)
 
     return run
 
 
-_DESCRIBED = f"doc_id long, n long, f1 long, f2 long, {', '.join(f'{c} long' for c in SIGN)}, slice int, counts binary"
+_DESCRIBED = f"doc_id long, n long, f1 long, f2 long, {', '.join(f'{c} long' for c in SIGN)}, wide array<long>, slice int, counts binary"
 
 
 def _add_slices(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,30 +195,70 @@ def _record(columns, names):
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names)
 
 
-def _with_pivots(batches):
-    """Sorted postings to (shingle, doc_id, n, pos, pivot, pivot_n, pivot_pos), for lists of two or
-    more. Only the pivot of the list under way is kept from batch to batch."""
+def _merged(percent: int):
+    """Sorted postings to (shingle, doc_id, n, pos, pivot, pivot_n, pivot_pos). Of a list of up to SMALL
+    members come all pairs that may link, without the shingle: the list is done with. Of a longer one come
+    all members, each with the list's pivot. Kept from batch to batch: the first members of the list under
+    way while they are few, then its pivot."""
     names = ["shingle", "doc_id", "n", "pos", "pivot", "pivot_n", "pivot_pos"]
-    pivot, lone = None, False
-    for batch in batches:
-        k, d, n, p = (batch.column(c).to_numpy() for c in ("shingle", "doc_id", "n", "pos"))
-        if not len(k):
-            continue
-        new = np.ones(len(k), bool)
-        new[1:] = k[1:] != k[:-1]
-        new[0] = pivot is None or k[0] != pivot[0]
-        at = np.maximum.accumulate(np.where(new, np.arange(len(k)), -1))
-        carried = at < 0
-        pd_, pn, pp = (np.where(carried, c, x[np.maximum(at, 0)]) for c, x in zip(pivot[1:] if pivot else (0, 0, 0), (d, n, p), strict=True))
-        member = ~new
-        # A pivot is itself a row of the list once a second member has come.
-        second = np.flatnonzero(member & np.concatenate([[lone and not new[0]], new[:-1]]))
-        take = lambda x, y: np.concatenate([x[member], y[second]])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(take(k, k)), pa.array(take(d, pd_)), pa.array(take(n, pn).astype(np.int32)), pa.array(take(p, pp).astype(np.int32)),
-             pa.array(take(pd_, pd_)), pa.array(take(pn, pn).astype(np.int32)), pa.array(take(pp, pp).astype(np.int32))], names)
-        lone = bool(new[-1])
-        pivot = (k[-1], pd_[-1], pn[-1], pp[-1])
+
+    def run(batches):
+        held, pivot = None, None
+        for batch in batches:
+            own = tuple(batch.column(c).to_numpy() for c in names[:4])
+            if not len(own[0]):
+                continue
+            rows = own if held is None else tuple(np.concatenate(x) for x in zip(held, own, strict=True))
+            k = rows[0]
+            begins = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            lengths = np.diff(np.append(begins, len(k)))
+            carried = pivot is not None and k[0] == pivot[0]
+            long = lengths > SMALL
+            long[0] |= carried
+            held = None
+            if not long[-1]:  # its other members may be in the next batch
+                held = tuple(x[begins[-1] :] for x in rows)
+                begins, lengths, long = begins[:-1], lengths[:-1], long[:-1]
+            yield from _small_pairs(rows, begins[~long], lengths[~long], percent, names)
+            at, many = begins[long], lengths[long]
+            if len(at):
+                first = [x[at] for x in rows]
+                if carried:
+                    for x, value in zip(first, pivot, strict=True):
+                        x[0] = value
+                take = np.repeat(at - np.cumsum(many) + many, many) + np.arange(many.sum())
+                yield _columns([*(x[take] for x in rows), *(np.repeat(x, many) for x in first[1:])], names)
+                pivot = tuple(x[-1] for x in first) if held is None else None
+            else:
+                pivot = None
+        if held is not None:
+            one = np.array([0])
+            yield from _small_pairs(held, one, np.array([len(held[0])]), percent, names)
+
+    return run
+
+
+def _small_pairs(rows, begins: np.ndarray, lengths: np.ndarray, percent: int, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """All pairs of each list that may link, for lists of few members."""
+    _, d, n, p = rows
+    x, y = [], []
+    for apart in range(1, SMALL):
+        for place in range(SMALL - apart):
+            at = begins[lengths > place + apart] + place
+            x.append(at + apart), y.append(at)
+    x, y = np.concatenate(x), np.concatenate(y)
+    n1, n2 = n[x].astype(np.int64), n[y].astype(np.int64)
+    need = -(-percent * (n1 + n2) // (100 + percent))
+    may = (d[x] != d[y]) & (100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)) & (np.minimum(n1 - p[x], n2 - p[y]) >= need)
+    x, y = x[may], y[may]
+    if len(x):
+        yield _columns([None, d[x], n[x], p[x], d[y], n[y], p[y]], names)
+
+
+def _columns(columns, names):
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+    m = len(columns[1])
+    return pa.RecordBatch.from_arrays([pa.nulls(m, t) if x is None else pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names)
 
 
 def _can_link(n1: str, p1: str, n2: str, p2: str, percent: int):
@@ -255,14 +316,13 @@ def _components(docs: DataFrame, size: int, percent: int, scope: Scratch) -> Dat
 
     named = rows.where("n > 0 AND doc_id IS NOT NULL")
     heads = named.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"))
-    classes = staged(named.join(heads, ["f1", "f2"]).select("doc_id", "n", "rep", *SIGN), "classes")
-    reps = classes.distinct()
+    reps = staged(named.join(heads, ["f1", "f2"]).select("doc_id", "n", "rep", *SIGN).distinct(), "classes")
 
     posted = docs.mapInArrow(_postings(size, percent, shared), "shingle long, doc_id long, n int, pos int")
     shards = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     lists = posted.repartition(shards, "shingle").sortWithinPartitions("shingle", F.xxhash64(F.col("shingle").bitwiseAND(PIVOTS - 1), "doc_id"), "doc_id")
     kept = "shingle long, doc_id long, n int, pos int, pivot long, pivot_n int, pivot_pos int"
-    lists = staged(lists.mapInArrow(_with_pivots, kept), "lists")
+    merged = staged(lists.mapInArrow(_merged(percent), kept), "lists")
 
     def by_class(pairs: DataFrame) -> DataFrame:
         """Pairs of documents (x, y) to pairs of class representatives (a, b), each once."""
@@ -274,27 +334,35 @@ def _components(docs: DataFrame, size: int, percent: int, scope: Scratch) -> Dat
     def turned(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    first = lists.where("doc_id <> pivot").where(_can_link("n", "pos", "pivot_n", "pivot_pos", percent))
+    def bounded(pairs: DataFrame) -> DataFrame:
+        """Without the pairs that wide signatures rule out. Of an id with several sets any may allow a pair."""
+        wide = described.where("n > 0")
+        a, b = (wide.select(F.col("doc_id").alias(x), F.col("n").alias(x + "_n"), F.col("wide").alias(x + "_wide")) for x in "ab")
+        return pairs.join(a, "a").join(b, "b").where(_wide_allow(percent)).select("a", "b")
+
+    first = merged.where("doc_id <> pivot").where(_can_link("n", "pos", "pivot_n", "pivot_pos", percent))
     first = by_class(first.select(F.col("doc_id").alias("x"), F.col("pivot").alias("y")))
     first = staged(turned(first), "pairs")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return proved(docs, pairs, _ordered_sets(size, shared), _links(percent))
+        return proved(docs, bounded(pairs), _ordered_sets(size, shared), _links(percent))
 
     # Texts that share an id belong together, whatever their sets.
-    several = classes.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("m")).where("b <> m").select("doc_id", "b")
-    same_id = classes.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
+    several = reps.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("m")).where("b <> m").select("doc_id", "b")
+    same_id = reps.join(several, "doc_id").select(F.col("rep").alias("a"), "b")
     edges, tested = staged(verified(first).unionByName(same_id), "links"), first
     label = staged(components(edges), "labels")
 
-    # What is left: members of one list in different components. Other pivots first, while all pairs of
+    # What is left: members of one long list in different components. Other pivots first, while all pairs of
     # them would be many more than the members.
+    lists = merged.where("shingle IS NOT NULL")
     for turn in range(MAX_TURNS + 1):
         of = reps.join(label, reps.rep == label.node, "left").groupBy("doc_id").agg(
             F.min(F.coalesce("component", "rep")).alias("label"), *(F.expr(f"if(min(rep) = max(rep), min({c}), NULL)").alias(c) for c in SIGN))
         marked = lists.select("shingle", "doc_id", "n", "pos").join(of, "doc_id")
-        last, lists = lists, staged(with_rivals(marked, "shingle", percent), "lists")
+        last, lists = merged, staged(with_rivals(marked, "shingle", percent), "lists")
         scope.drop(last)
+        merged = lists
         held = lists.groupBy("shingle", "label").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("s"))
         members, all_pairs = held.agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.sum(F.expr("(m * m - s) / 2")), F.lit(0))).first()
         if all_pairs <= 2 * members or turn == MAX_TURNS:
