@@ -5,7 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 from test_terms import TECH, definition
-from tidemark.functions.terms import BOUNDED, SUBSTRING, Alias, Gazetteer
+from tidemark.functions.terms import BOUNDED, SUBSTRING, Alias, Gazetteer, char_class
+from tidemark.operators import term_join
 from tidemark.operators.term_join import compile_aliases, term_match_join
 
 SCHEMA = "i long, full_text string, alias string, salt int"
@@ -75,3 +76,24 @@ def test_anchors_and_texts_are_joined_by_short_hashes(spark):
     assert matched_and_wide("a b") == ([["s"], [], []], False)
     assert matched_and_wide("a b c") == ([["s"], [], []], False)
     assert matched_and_wide("é") == ([[], [], ["s"]], False)
+
+
+def test_aliases_that_are_their_anchor_are_not_looked_for_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(term_join, "_holds", lambda *_: F.lit(False))
+    rows = spark.createDataFrame([(a, a) for a in ("b", "b, c", "資料庫", "é", "x")] + [("named", "b")], "skill string, alias string")
+    df = term_match_join(frame(spark, ["a b, c", "a 資料庫é", "ab b"]), rows.withColumn("mode", F.when(F.col("alias") == "b, c", BOUNDED)))
+    assert [r.skills for r in df.orderBy("i").collect()] == [["b", "b, c", "named"], ["é", "資料庫"], ["b", "named"]]
+
+
+def test_anchors_of_the_same_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(term_join, "_key", lambda *_: F.lit(7) + F.length(F.lit("")))
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(["react", "native", "c++", "-", "機器學習", "蟒蛇", "go"], k=6)) for _ in range(30)]
+    assert matched(spark, TECH, texts, salts=2) == {i: definition(TECH, t) for i, t in enumerate(texts)}
+
+
+def test_class_of_characters(values):
+    assert char_class("aé") == r"[\x{61}\x{e9}]"
+    far = [chr(x) for x in (300, 302, 303, 400, 500, 0x1F600)]
+    assert char_class(far) == r"[\x{12c}-\x{12f}\x{190}-\x{190}\x{1f4}-\x{1f4}\x{1f600}-\x{1f600}]"
+    assert values(lambda c: F.rlike(c, F.lit(char_class([*far, "]", "^", "-"]))), [*far, "]", "^", "-", "a"]) == [True] * 9 + [False]

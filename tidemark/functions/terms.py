@@ -137,6 +137,17 @@ def _bounded_pattern(alias: str) -> str:
     return rf"\Q{literal}\E(?<![a-z0-9]\Q{literal}\E)(?![a-z0-9])"
 
 
+def char_class(characters: Iterable[str], ranges: int = 4) -> str:
+    """Class of a pattern with the characters, and with the ones between where those behind U+00FF are in more ranges.
+    Up to there they are named one by one, which is one look-up in a table."""
+    points = sorted({ord(c) for c in characters})
+    near, far = [p for p in points if p < 256], [p for p in points if p > 255]
+    gaps = sorted((a - b, a, b) for a, b in zip(far, far[1:], strict=False) if b - a > 1)[: ranges - 1]
+    cuts = sorted((a, b) for _, a, b in gaps)
+    spans = zip([*far[:1], *(b for _, b in cuts)], [*(a for a, _ in cuts), *far[-1:]], strict=True)
+    return "[" + "".join(f"\\x{{{p:x}}}" for p in near) + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
+
+
 def _class(characters: Iterable[str]) -> str:
     return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(set(characters))) + "]"
 
