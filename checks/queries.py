@@ -24,6 +24,7 @@ from tidemark.sources import flat, lake, nested
 
 PAREN_PHONE_RULE = (r"\(\d{3}\) \d{3}-\d{4}", "[phone-removed]")
 SPLIT_DAY = "2024-01-16"
+COPY_BYTES = 4 << 20
 
 QUERIES = {}
 
@@ -143,11 +144,30 @@ def parse_nested(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _one_array(spark: SparkSession, records: DataFrame, top: str, end: str) -> str:
-    """The records in one file that is a JSON array."""
-    path = lake.new_folder(spark, "array")
-    text = F.concat(F.to_json(F.struct(*records.columns)), F.lit(","))
-    ends = [spark.createDataFrame([(x,)], "value string").coalesce(1) for x in (top, end)]
-    ends[0].unionByName(records.select(text.alias("value"))).unionByName(ends[1]).coalesce(1).write.text(path)
+    """The records in one file that is a JSON array. Tasks write a file each, and these are put one after another
+    as bytes, each removed once it is there."""
+    path, parts = lake.new_folder(spark, "array"), lake.new_folder(spark, "parts")
+    records.select(F.concat(F.to_json(F.struct(*records.columns)), F.lit(","))).write.text(parts)
+    hadoop = spark._jvm.org.apache.hadoop
+    conf = spark._jsc.hadoopConfiguration()
+    whole, folder = hadoop.fs.Path(f"{path}/array.json"), hadoop.fs.Path(parts)
+    store = whole.getFileSystem(conf)
+    out = store.create(whole)
+    try:
+        out.write(bytearray(f"{top}\n".encode()))
+        for name in sorted(f.getPath().getName() for f in store.listStatus(folder)):
+            if name.startswith("part-"):
+                part = hadoop.fs.Path(folder, name)
+                lines = store.open(part)
+                try:
+                    hadoop.io.IOUtils.copyBytes(lines, out, COPY_BYTES, False)
+                finally:
+                    lines.close()
+                store.delete(part, False)
+        out.write(bytearray(f"{end}\n".encode()))
+    finally:
+        out.close()
+    lake.remove(spark, parts)
     return path
 
 

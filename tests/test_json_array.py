@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources import flat, json_array, nested
+from checks import queries
+from tidemark.sources import flat, json_array, lake, nested
 
 TEXTS = ["", "plain", 'quote " and \\ back\\\\', "}{][,:", "\\", '"', "新竹縣é😀", 'a\\"}', "{\"data\": [{\"x\": 1}]}", "line\nbreak\t", "\\" * 70 + '"']
 
@@ -83,3 +84,52 @@ def test_flat_and_nested_readers_equal_the_readers_of_whole_documents(spark, tmp
     (tmp_path / "n.json").write_text(json.dumps(payloads, ensure_ascii=False), encoding="utf-8")
     parsed = [nested.parse_nested(df).drop("fetched_at") for df in (nested.read_array(spark, str(tmp_path / "n.json"), 50), nested.read_payloads(spark, str(tmp_path / "n.json"), True))]
     assert sorted(map(str, parsed[0].collect())) == sorted(map(str, parsed[1].collect())) and parsed[0].count() == 6
+
+
+def test_small_ranges_are_dealt_over_tasks_by_their_bytes(spark, tmp_path):
+    path = tmp_path / "a.json"
+    path.write_text(json.dumps({"data": [{"i": i, "t": "x" * 50} for i in range(300)]}))
+    df = json_array.read_records(spark, str(path), ("data",), 40)
+    assert df.count() == 300
+    assert 2 < df.selectExpr("spark_partition_id() as p").distinct().count() <= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_only_ranges_at_the_top_are_read_for_the_wrapper(spark, tmp_path, monkeypatch):
+    path, read = tmp_path / "a.json", []
+    path.write_text(json.dumps({"total": [1], "data": [{"i": i, "t": [{"x": "}]"}]} for i in range(300)], "more": {"data": []}}))
+    dealt = json_array._dealt
+    monkeypatch.setattr(json_array, "_dealt", lambda rows: read.append(rows.count()) or dealt(rows))
+    assert json_array.read_records(spark, str(path), ("data",), 100).count() == 300
+    assert read[0] == read[2] > 50 and read[1] < 5
+
+
+def test_marks_are_those_of_the_definition():
+    rng = random.Random(4)
+    for _ in range(2000):
+        raw, escaped = bytes(rng.choices(b'\\\\\\""{}[],a', k=rng.randint(0, 14))), rng.random() < 0.5
+        expected, odd = [], escaped
+        for place, c in enumerate(raw):
+            if c in b"{}[]" or (c == ord('"') and not odd):
+                expected.append((place, c))
+            odd = c == ord("\\") and not odd
+        at, marks = json_array._marks(raw, escaped)
+        assert list(zip(at.tolist(), marks.tolist(), strict=True)) == expected
+
+
+def test_long_records_and_bytes_that_are_no_text(spark, tmp_path):
+    records = [{"i": i, "t": ('x"{\\' * 30_000 if i % 3 else "y") + "é"} for i in range(8)]
+    path = tmp_path / "a.json"
+    path.write_text(json.dumps(records, ensure_ascii=False), encoding="utf-8")
+    assert read(spark, path, 5000) == records
+    path.write_bytes(b'[{"i": 1, "t": "a\xff"}, {"i": 2, "t": "\xc3\xa9"}]')
+    assert [r["t"] for r in read(spark, path, 1000)] == ["a�", "é"]
+
+
+def test_records_are_put_in_one_array_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lake, "new_folder", lambda _, name: str(tmp_path / name))
+    records = spark.range(100, numPartitions=4).withColumn("t", F.lit('新 "x"'))
+    path = queries._one_array(spark, records, '{"total": [1], "data": [', "null]}")
+    files = [p for p in (tmp_path / "array").iterdir() if not p.name.startswith((".", "_"))]
+    assert str(tmp_path / "array") == path and len(files) == 1 and not (tmp_path / "parts").exists()
+    data = json.loads(files[0].read_text(encoding="utf-8"))
+    assert sorted(r["id"] for r in data["data"][:-1]) == list(range(100)) and data["data"][-1] is None and data["data"][0]["t"] == '新 "x"'

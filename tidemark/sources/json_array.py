@@ -3,13 +3,13 @@
 A file with one array of objects has no line to split at, and whether a brace is one or a part of a text
 depends on all quotes before it. So a file is read twice by many tasks:
 
-1. Each range counts its quotes and, for a start outside and inside a text, how much deeper it ends. A sum
-   over the ranges before gives every range the state it begins in.
+1. Each range counts its quotes and, for a start outside and inside a text, how much deeper it ends and how low it
+   gets. A sum over the ranges before gives every range the state it begins in.
 2. Each range cuts out the records that begin in it, reading on behind its end for the last one.
 
 A file whose top is an object holds its array under one of the wrapper keys; an earlier key counts before a later one,
-unless its array is empty. Where arrays open is found by the same ranges, between the two passes, and only for
-such files. An escape before a range is told by the bytes just before it, so ranges may begin anywhere, also
+unless its array is empty. Where arrays open is found between the two passes, only for such files and by the ranges
+that get as low as the top object. An escape before a range is told by the bytes just before it, so ranges may begin anywhere, also
 inside a character.
 
 Records come as JSON text, unparsed and in no order; what an array holds besides objects is left out, and
@@ -32,7 +32,14 @@ from tidemark.sources.lake import staged
 RANGE_BYTES = 32 << 20
 #: Text of records in one Arrow batch.
 BATCH_BYTES = 8 << 20
-_OPEN, _CLOSE, _QUOTE, _BACKSLASH = (np.frombuffer(x, np.uint8) for x in (b"{[", b"}]", b'"', b"\\"))
+#: Text of the ranges that one task reads.
+TASK_BYTES = 32 << 20
+#: First piece read behind a range for its last record; the next ones are twice as long each.
+BEHIND_BYTES = 1 << 14
+_QUOTE, _BACKSLASH, _OBJECT, _OBJECT_END, _ARRAY = b'"\\{}['
+_MARKS = bytes(c in b'"\\{}[]' for c in range(256))
+_STEPS = np.zeros(256, np.int8)
+_STEPS[list(b"{[")], _STEPS[list(b"}]")] = 1, -1
 _RANGE = "path string, number int, start long, stop long, size long"
 
 
@@ -46,8 +53,11 @@ def _ranges(spark: SparkSession, path: str, range_bytes: int) -> DataFrame:
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """A task for each range: rows are few and small, and would else be brought together in one."""
-    return rows.repartition(max(rows.count(), 1))
+    """Ranges dealt over tasks of about TASK_BYTES, but over every core, also where the ranges are small: rows are few
+    and small, and would else be brought together in one."""
+    n, size = rows.agg(F.count("*"), F.sum(F.col("stop") - F.col("start"))).first()
+    tasks = max(-(-(size or 0) // TASK_BYTES), 4 * rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(max(min(n, tasks), 1))
 
 
 def _open(path: str):
@@ -71,48 +81,59 @@ def _escaped(file, start: int) -> bool:
     return run % 2 == 1
 
 
-def _quotes(data: np.ndarray, escaped: bool) -> np.ndarray:
-    """Which bytes are quotes that begin or end a text."""
-    at = np.arange(len(data))
-    plain = data != _BACKSLASH[0]
-    last = np.maximum.accumulate(np.where(plain, at, -1))
-    before = np.concatenate([[-1], last[:-1]])  # the last byte before that is no backslash
-    run = at - 1 - before + ((before < 0) & escaped)
-    return (data == _QUOTE[0]) & (run % 2 == 0)
-
-
-def _steps(data: np.ndarray, quotes: np.ndarray, inside: bool) -> np.ndarray:
+def _marks(raw: bytes, escaped: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(place, byte) of the quotes that begin or end a text, and of all brackets. What follows is done on these alone."""
+    at = np.flatnonzero(np.frombuffer(raw.translate(_MARKS), np.bool_))
+    marks = np.frombuffer(raw, np.uint8)[at]
+    slash, quote = marks == _BACKSLASH, marks == _QUOTE
+    literal = np.zeros(len(at), bool)
+    if slash.any():
+        order = np.arange(len(at))
+        beside = np.diff(at, prepend=-2) == 1
+        goes_on = slash & beside & np.concatenate([[False], slash[:-1]])
+        begin = np.maximum.accumulate(np.where(slash & ~goes_on, order, 0))
+        odd = (order - begin + 1 + ((at[begin] == 0) & escaped)) % 2 == 1
+        literal[1:] = quote[1:] & beside[1:] & (slash & odd)[:-1]
+    if escaped and len(at) and at[0] == 0:
+        literal[0] = quote[0]
+    kept = ~(slash | literal)
+    return at[kept], marks[kept]
+
+
+def _steps(marks: np.ndarray, inside: bool) -> np.ndarray:
     """+1 where an object or array opens, -1 where one closes, else 0."""
-    outside = (np.cumsum(quotes) + inside) % 2 == 0
-    return (np.isin(data, _OPEN).astype(np.int8) - np.isin(data, _CLOSE)) * outside
+    outside = (np.cumsum(marks == _QUOTE) + inside) % 2 == 0
+    return _STEPS[marks] * outside
 
 
 def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(..., first: first byte of the file that is no space, odd: quotes, outside and inside: change of depth)."""
+    """(..., first: first byte of the file that is no space, odd: quotes, outside and inside: change of depth,
+    low_outside and low_inside: the least depth on the way, 0 at the begin)."""
     for batch in batches:
-        first, odd, out, into = [], [], [], []
+        rows = []
         for r in batch.to_pylist():
             with _open(r["path"]) as f:
-                data = np.frombuffer(f.read_at(r["stop"] - r["start"], r["start"]), np.uint8)
-                quotes = _quotes(data, _escaped(f, r["start"]))
-            first.append(data.tobytes()[:4096].lstrip()[:1].decode("latin-1") if r["number"] == 0 else None)
-            odd.append(int(quotes.sum()) % 2)
-            out.append(int(_steps(data, quotes, False).sum()))
-            into.append(int(_steps(data, quotes, True).sum()))
-        columns = [*batch.columns, pa.array(first, pa.string()), pa.array(odd, pa.int32()), pa.array(out, pa.int64()), pa.array(into, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "first", "odd", "outside", "inside"])
+                raw = f.read_at(r["stop"] - r["start"], r["start"])
+                _, marks = _marks(raw, _escaped(f, r["start"]))
+            depths = [np.cumsum(_steps(marks, inside), dtype=np.int64) for inside in (False, True)]
+            rows.append((raw[:4096].lstrip()[:1].decode("latin-1") if r["number"] == 0 else None, int((marks == _QUOTE).sum()) % 2,
+                         *(int(d[-1]) if len(d) else 0 for d in depths), *(int(d.min(initial=0)) for d in depths)))
+        found = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), (pa.string(), pa.int32(), *[pa.int64()] * 4), strict=True)] if rows else None
+        if found:
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found], [*batch.schema.names, "first", "odd", "outside", "inside", "low_outside", "low_inside"])
 
 
 def _states(ranges: DataFrame) -> DataFrame:
-    """Ranges with the state they begin in: inside a text or not, depth, and the first byte of the file."""
+    """Ranges with the state they begin in: inside a text or not, depth, least depth, and the first byte of the file."""
     # A row per range: what a window sorts is smaller than the file by RANGE_BYTES.
     before = Window.partitionBy("path").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    rows = _dealt(ranges).mapInArrow(_summaries, f"{_RANGE}, first string, odd int, outside long, inside long")
+    rows = _dealt(ranges).mapInArrow(_summaries, f"{_RANGE}, first string, odd int, outside long, inside long, low_outside long, low_inside long")
     rows = rows.withColumn("within", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2 == 1)
     change = F.when(F.col("within"), F.col("inside")).otherwise(F.col("outside"))
     rows = rows.withColumn("change", change).withColumn("depth", F.coalesce(F.sum("change").over(before), F.lit(0)))
+    rows = rows.withColumn("low", F.col("depth") + F.when(F.col("within"), F.col("low_inside")).otherwise(F.col("low_outside")))
     top = F.first("first", ignorenulls=True).over(Window.partitionBy("path").orderBy("number").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return rows.withColumn("top", top).select(*[c.split()[0] for c in _RANGE.split(", ")], "within", "depth", "top")
+    return rows.withColumn("top", top).select(*[c.split()[0] for c in _RANGE.split(", ")], "within", "depth", "low", "top")
 
 
 def _containers(wrappers: Sequence[str]):
@@ -124,12 +145,12 @@ def _containers(wrappers: Sequence[str]):
             found = []
             for r in batch.to_pylist():
                 with _open(r["path"]) as f:
-                    data = np.frombuffer(f.read_at(r["stop"] - r["start"], r["start"]), np.uint8)
-                    steps = _steps(data, _quotes(data, _escaped(f, r["start"])), r["within"])
-                    depth = r["depth"] + np.cumsum(steps)
-                    for at in np.flatnonzero((steps == 1) & (depth == 2)).tolist():
-                        place = r["start"] + at
-                        rank = _key_rank(f, place, wrappers) if data[at] == _OPEN[1] else None
+                    places, marks = _marks(f.read_at(r["stop"] - r["start"], r["start"]), _escaped(f, r["start"]))
+                    steps = _steps(marks, r["within"])
+                    depth = r["depth"] + np.cumsum(steps, dtype=np.int64)
+                    for i in np.flatnonzero((steps == 1) & (depth == 2)).tolist():
+                        place = r["start"] + int(places[i])
+                        rank = _key_rank(f, place, wrappers) if marks[i] == _ARRAY else None
                         found.append((r["path"], place, None if _next(f, place + 1, r["size"]) == b"]" else rank))
             yield pa.RecordBatch.from_pydict({"path": pa.array([x[0] for x in found], pa.string()), "open": pa.array([x[1] for x in found], pa.int64()),
                                               "rank": pa.array([x[2] for x in found], pa.int32())})
@@ -165,47 +186,51 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, held = [], 0
         for r in batch.to_pylist():
             with _open(r["path"]) as f:
-                for place, value in _records(f, r):
-                    if not r["open"] < place < r["until"]:
-                        continue
-                    rows.append(value.decode("utf-8", "replace"))
+                for value in _records(f, r):
+                    rows.append(value)
                     held += len(value)
                     if held >= BATCH_BYTES:
-                        yield pa.RecordBatch.from_pydict({"value": pa.array(rows, pa.string())})
+                        yield pa.RecordBatch.from_arrays([_texts(rows)], ["value"])
                         rows, held = [], 0
         if rows:
-            yield pa.RecordBatch.from_pydict({"value": pa.array(rows, pa.string())})
+            yield pa.RecordBatch.from_arrays([_texts(rows)], ["value"])
+
+
+def _texts(values: list[bytes]) -> pa.Array:
+    try:
+        return pa.array(values, pa.binary()).cast(pa.string())
+    except pa.ArrowInvalid:  # not UTF-8
+        return pa.array([v.decode("utf-8", "replace") for v in values], pa.string())
 
 
-def _records(file, r: dict) -> Iterator[tuple[int, bytes]]:
+def _records(file, r: dict) -> Iterator[bytes]:
     level = r["level"]
     raw = file.read_at(r["stop"] - r["start"], r["start"])
-    data = np.frombuffer(raw, np.uint8)
-    escaped = _escaped(file, r["start"])
-    quotes = _quotes(data, escaped)
-    steps = _steps(data, quotes, r["within"])
-    depth = r["depth"] + np.cumsum(steps)
-    begins = np.flatnonzero((steps == 1) & (depth == level + 1) & (data == _OPEN[0]))
-    ends = np.flatnonzero((steps == -1) & (depth == level) & (data == _CLOSE[0]))
+    at, marks = _marks(raw, _escaped(file, r["start"]))
+    steps = _steps(marks, r["within"])
+    depth = r["depth"] + np.cumsum(steps, dtype=np.int64)
+    place = at + r["start"]
+    begins = at[(steps == 1) & (depth == level + 1) & (marks == _OBJECT) & (r["open"] < place) & (place < r["until"])]
+    ends = at[(steps == -1) & (depth == level) & (marks == _OBJECT_END)]
     following = np.searchsorted(ends, begins)
-    for begin, i in zip(begins.tolist(), following.tolist(), strict=True):
-        if i < len(ends):
-            yield r["start"] + begin, raw[begin : int(ends[i]) + 1]
-        else:  # the last one, which goes on behind the range
-            at, parts, inside, deep = r["stop"], [raw[begin:]], bool((int(quotes.sum()) + r["within"]) % 2), int(depth[-1])
-            while at < r["size"]:
-                more = file.read_at(min(1 << 20, r["size"] - at), at)
-                part = np.frombuffer(more, np.uint8)
-                own = _quotes(part, _escaped(file, at))
-                step = _steps(part, own, inside)
-                now = deep + np.cumsum(step)
-                end = np.flatnonzero((step == -1) & (now == level))
-                if len(end):
-                    parts.append(more[: int(end[0]) + 1])
-                    yield r["start"] + begin, b"".join(parts)
-                    break
-                parts.append(more)
-                inside, deep, at = bool((int(own.sum()) + inside) % 2), int(now[-1]), at + len(more)
+    whole = int(np.searchsorted(following, len(ends)))
+    for begin, end in zip(begins[:whole].tolist(), ends[following[:whole]].tolist(), strict=True):
+        yield raw[begin : end + 1]
+    if whole < len(begins):  # the last one, which goes on behind the range
+        begin, behind, size = int(begins[whole]), r["stop"], BEHIND_BYTES
+        parts, inside, deep = [raw[begin:]], bool((int((marks == _QUOTE).sum()) + r["within"]) % 2), int(depth[-1])
+        while behind < r["size"]:
+            more = file.read_at(min(size, r["size"] - behind), behind)
+            at, marks = _marks(more, _escaped(file, behind))
+            step = _steps(marks, inside)
+            now = deep + np.cumsum(step, dtype=np.int64)
+            end = at[(step == -1) & (now == level)]
+            if len(end):
+                yield b"".join([*parts, more[: int(end[0]) + 1]])
+                break
+            parts.append(more)
+            inside, behind, size = bool((int((marks == _QUOTE).sum()) + inside) % 2), behind + len(more), min(2 * size, 1 << 24)
+            deep = int(now[-1]) if len(now) else deep
 
 
 def read_records(spark: SparkSession, path: str, wrappers: Sequence[str] = (), range_bytes: int = RANGE_BYTES) -> DataFrame:
@@ -215,7 +240,8 @@ def read_records(spark: SparkSession, path: str, wrappers: Sequence[str] = (), r
     held = states.where("top = '['").withColumns({"level": F.lit(1), "open": F.lit(-1).cast("long"), "until": F.col("size")}).select(columns)
     if wrappers:
         top = states.where("top = '{'")
-        opened = staged(_dealt(top).mapInArrow(_containers(wrappers), "path string, open long, rank int"), "arrays")
+        # An array opens in the top object only where the depth is 1, which is not so within a large array.
+        opened = staged(_dealt(top.where("low <= 1")).mapInArrow(_containers(wrappers), "path string, open long, rank int"), "arrays")
         # A key that is there twice counts with its last array.
         chosen = opened.where("rank IS NOT NULL").groupBy("path").agg(F.min(F.struct("rank", (-F.col("open")).alias("back"))).alias("first"))
         chosen = chosen.select("path", (-F.col("first.back")).alias("open"))
